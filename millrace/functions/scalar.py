@@ -197,6 +197,8 @@ def iso_is_zoneless(c: Column) -> Column:
 def iso_epoch(c: Column) -> Column:
     """Seconds since 1970 of an ISO-8601 text, null when malformed. Zone-less text is UTC."""
     text = F.replace(strip_text(c), F.lit(","), F.lit("."))
+    # The cast wants seconds in front of an offset.
+    text = F.regexp_replace(text, rf"^({ISO_DATE}[T ]\d{{2}}:\d{{2}})([Z+-])", "$1:00$2")
     stamp = F.when(text.rlike(ISO_PATTERN), text.try_cast("timestamp"))
     return F.unix_micros(stamp) / F.lit(1e6)
 

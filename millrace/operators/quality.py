@@ -239,7 +239,7 @@ def duplicate_counts(df: DataFrame, columns: Sequence[str], *, count_nulls: bool
     """
     keyed = df.select(*[_name(c).alias(f"k{i}") for i, c in enumerate(columns)])
     if not count_nulls:
-        keyed = keyed.na.drop("any")
+        keyed = keyed.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keyed.columns]))
     per_key = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("surplus_rows"),

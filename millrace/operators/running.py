@@ -1,18 +1,26 @@
 """Running maximum over an ordered sequence, computed in parallel.
 
-A window over one key (or over no key at all) puts the whole sequence into one task. Here the
-sequence is cut into slices of about equal row count: each slice folds to one maximum, the slice
-maxima are scanned (a handful of rows per key), and each slice then runs its own window with the
-carried-in maximum. Key and slice together decide the partition, so a hot key is spread out.
+A window over one key (or over no key at all) puts the whole sequence of that key into one task.
+Here the sequences of hot keys are cut into slices of about equal row count: each slice folds to one
+maximum, the slice maxima are scanned (at most one row per slice and key), and each slice then runs
+its own window from the maximum carried in. Key and slice together form the *place* of a row, which
+decides its partition. Keys that are not hot have a single slice and nothing to carry.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-DEFAULT_SLICES = 64
+FEWEST_SLICES, MOST_SLICES = 16, 10_000
+
+
+def default_slices(df: DataFrame) -> int:
+    """As many slices as the session has shuffle partitions, within bounds."""
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(FEWEST_SLICES, min(MOST_SLICES, wanted))
 
 
 def _position(c: Column, data_type: T.DataType) -> Column:
@@ -24,14 +32,24 @@ def _position(c: Column, data_type: T.DataType) -> Column:
     raise ValueError("slices need a numeric or time-like first order column")
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], slices: int) -> DataFrame:
+    """Keys holding more than one ``slices``-th of all rows.
+
+    There can be fewer than ``slices`` of them whatever the data, so the list may pass through the
+    driver. The counts are folded in each task before they move.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    least = df.count() / slices
+    found = counts.filter(F.col("n") > least).select(*keys).collect()
+    return df.sparkSession.createDataFrame(found, df.select(*keys).schema)
+
+
 def slice_bounds(df: DataFrame, order: str, slices: int) -> list:
     """At most ``slices - 1`` cut points of the order column, from one column scan."""
-    if slices <= 1:
-        return []
     position = _position(F.col(order), df.schema[order].dataType)
     cuts = [i / slices for i in range(1, slices)]
-    # One row with one short array: its size is set by `slices`, not by the data.
-    found = df.agg(F.percentile_approx(position, cuts, 10_000).alias("cuts")).first()["cuts"]
+    # One row with one array: its length is set by `slices`, not by the data.
+    found = df.agg(F.percentile_approx(position, cuts, 100 * slices).alias("cuts")).first()["cuts"]
     return sorted(set(found or []))
 
 
@@ -39,55 +57,74 @@ def slice_number(c: Column, data_type: T.DataType, bounds: list) -> Column:
     """How many bounds lie below the value, by binary search; null sorts first."""
     if not bounds:
         return F.lit(0)
-    step = 1
-    while step * 2 <= len(bounds):
-        step *= 2
-    steps = []
-    while step:
-        steps.append(step)
-        step //= 2
+    widths = [1]
+    while widths[0] * 2 <= len(bounds):
+        widths.insert(0, widths[0] * 2)
     position = _position(c, data_type)
-    cuts = F.array(*[F.lit(b) for b in bounds])
+    cuts = F.array(*map(F.lit, bounds))
 
     def advance(at: Column, width: Column) -> Column:
-        reached = F.get(cuts, at + width - 1) < position
-        return F.when(reached, at + width).otherwise(at)
+        return F.when(F.get(cuts, at + width - 1) < position, at + width).otherwise(at)
+
+    return F.coalesce(F.aggregate(F.array(*map(F.lit, widths)), F.lit(0), advance), F.lit(0))
+
 
-    return F.coalesce(F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), advance), F.lit(0))
+@dataclass(frozen=True)
+class Placed:
+    """A table whose rows know their place; ``sliced`` tells whether any key has several slices."""
 
+    df: DataFrame
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    sliced: bool
 
-def with_slice(df: DataFrame, order: str, slices: int = DEFAULT_SLICES) -> DataFrame:
-    """Add ``__slice``, which never decreases along the order column."""
-    bounds = slice_bounds(df, order, slices)
-    return df.withColumn("__slice", slice_number(F.col(order), df.schema[order].dataType, bounds))
+    def but(self, df: DataFrame) -> Placed:
+        """The same places for a table derived from this one."""
+        return replace(self, df=df)
 
 
-def earlier_max(
-    sliced: DataFrame,
-    value: Column,
-    *,
-    keys: Sequence[str],
-    order: Sequence[str],
-    out: str,
-) -> DataFrame:
+def place_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None
+) -> Placed:
+    """Add ``__place``, made of key and slice number, and ``__hot`` for keys that are sliced.
+
+    ``order`` must be unique within a key. Slice numbers never decrease along its first column. The
+    place is a struct, so that a null key is a value like any other in joins and windows.
+    """
+    slices = slices or default_slices(df)
+    hot = hot_keys(df, keys, slices) if keys else None
+    if hot is not None and hot.isEmpty():
+        df = df.withColumns({"__hot": F.lit(False), "__slice": F.lit(0)})
+        return Placed(df.withColumn("__place", F.struct(*keys, "__slice")), tuple(keys), tuple(order), False)
+    if hot is None:
+        df = df.withColumn("__hot", F.lit(True))
+    else:
+        tag = hot.select(F.struct(*keys).alias("__key"), F.lit(True).alias("__listed"))
+        # Fewer than `slices` rows by construction.
+        df = df.join(F.broadcast(tag), F.struct(*keys) == F.col("__key"), "left")
+        df = df.withColumn("__hot", F.col("__listed").isNotNull()).drop("__listed", "__key")
+    bounds = slice_bounds(df.filter("__hot"), order[0], slices)
+    number = slice_number(F.col(order[0]), df.schema[order[0]].dataType, bounds)
+    df = df.withColumn("__slice", F.when(F.col("__hot"), number).otherwise(F.lit(0)))
+    return Placed(df.withColumn("__place", F.struct(*keys, "__slice")), tuple(keys), tuple(order), True)
+
+
+def earlier_max(placed: Placed, value: Column, out: str) -> Placed:
     """Add ``out``: the greatest value among earlier rows of the same key, null when there is none.
 
-    ``sliced`` comes from :func:`with_slice`; ``order`` must be unique within a key.
+    Rows move once, to their place; a second running maximum over the result finds them there.
     """
-    place = [*keys, "__slice"]
-    valued = sliced.withColumn("__value", value)
-    per_slice = valued.groupBy(*place).agg(F.max("__value").alias("__slice_max"))
-    scan = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_slice.select(
-        *[F.col(k).alias(f"__c_{k}") for k in place], F.max("__slice_max").over(scan).alias("__carried")
+    valued = placed.df.withColumn("__value", value)
+    within = Window.partitionBy("__place").orderBy(*placed.order).rowsBetween(Window.unboundedPreceding, -1)
+    local = F.max("__value").over(within)
+    if not placed.sliced:
+        return placed.but(valued.withColumn(out, local).drop("__value"))
+    per_slice = (
+        valued.filter("__hot").groupBy(*placed.keys, "__slice", "__place").agg(F.max("__value").alias("__top"))
     )
-    same_place = None
-    for k in place:
-        test = F.col(k).eqNullSafe(F.col(f"__c_{k}"))
-        same_place = test if same_place is None else same_place & test
-    within = Window.partitionBy(*place).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        valued.join(carried, same_place, "left")
-        .withColumn(out, F.greatest(F.max("__value").over(within), F.col("__carried")))
-        .drop("__value", "__carried", *[f"__c_{k}" for k in place])
+    scan = Window.partitionBy(*placed.keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_slice.select(F.col("__place").alias("__from"), F.max("__top").over(scan).alias("__carried"))
+    joined = valued.join(carried, F.col("__place") == F.col("__from"), "left")
+    return placed.but(
+        joined.withColumn(out, F.greatest(local, F.col("__carried"))).drop("__value", "__carried", "__from")
     )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions import event_epoch, number_text
-from millrace.operators.running import DEFAULT_SLICES, earlier_max, with_slice
+from millrace.operators.running import Placed, earlier_max, place_rows
 
 ALL = "__all"
 
@@ -34,26 +34,17 @@ def _comparable_id(df: DataFrame, id_column: str) -> Column:
     ))
 
 
-def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    return (df, list(keys)) if keys else (df.withColumn(ALL, F.lit(0)), [ALL])
-
-
-def _passes(
-    df: DataFrame, value: Column, mark: str, *, keys: list[str], order: Sequence[str], marks: DataFrame | None
-) -> DataFrame:
+def _passes(placed: Placed, value: Column, mark: str, marks: DataFrame | None) -> Placed:
     """Rows whose value is null or greater than the mark left by the rows before them."""
-    marked = earlier_max(df.withColumn("__v", value), F.col("__v"), keys=keys, order=order, out="__before")
+    marked = earlier_max(placed.but(placed.df.withColumn("__v", value)), F.col("__v"), "__before").df
     before = F.col("__before")
     if marks is not None:
-        start = marks.select(*[F.col(k).alias(f"__m_{k}") for k in keys], F.col(mark).alias("__start"))
-        same = None
-        for k in keys:
-            test = F.col(k).eqNullSafe(F.col(f"__m_{k}"))
-            same = test if same is None else same & test
-        marked = marked.join(start, same, "left")
+        start = marks.select(F.struct(*placed.keys, ALL).alias("__mark_of"), F.col(mark).alias("__start"))
+        own = F.struct(*placed.keys, F.lit(0).alias(ALL))
+        marked = marked.join(start, own == F.col("__mark_of"), "left")
         before = F.greatest(before, F.col("__start"))
     kept = marked.filter(F.col("__v").isNull() | before.isNull() | (F.col("__v") > before))
-    return kept.drop("__v", "__before", "__start", *[f"__m_{k}" for k in keys])
+    return placed.but(kept.drop("__v", "__before", "__start", "__mark_of"))
 
 
 def high_water_filter(
@@ -63,7 +54,7 @@ def high_water_filter(
     keys: Sequence[str] = (),
     id_column: str | None = None,
     time_column: str | None = None,
-    slices: int = DEFAULT_SLICES,
+    slices: int | None = None,
     marks: DataFrame | None = None,
 ) -> DataFrame:
     """Filter a table in arrival order.
@@ -76,22 +67,28 @@ def high_water_filter(
     return kept
 
 
-def _filter(df, order, keys, id_column, time_column, slices, marks):
-    keyed, names = _keyed(df, keys)
-    sliced = with_slice(keyed, order[0], slices)
-    after_id = sliced
+def _filter(
+    df: DataFrame,
+    order: Sequence[str],
+    keys: Sequence[str],
+    id_column: str | None,
+    time_column: str | None,
+    slices: int | None,
+    marks: DataFrame | None,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that pass, and how far they moved the marks."""
+    after_id = place_rows(df, keys, order, slices)
+    id_value, time_value = F.lit(None).cast("bigint"), F.lit(None).cast("double")
     if id_column:
-        after_id = _passes(sliced, _comparable_id(df, id_column), "id_mark",
-                           keys=names, order=order, marks=marks)
+        id_value = _comparable_id(df, id_column)
+        after_id = _passes(after_id, id_value, "id_mark", marks)
     kept = after_id
-    epoch = event_epoch(F.col(time_column), df.schema[time_column].dataType) if time_column else None
     if time_column:
-        kept = _passes(after_id, epoch, "time_mark", keys=names, order=order, marks=marks)
-    moved = after_id.groupBy(*names).agg(
-        (F.max(_comparable_id(df, id_column)) if id_column else F.lit(None).cast("bigint")).alias("id_mark"),
-        (F.max(epoch) if time_column else F.lit(None).cast("double")).alias("time_mark"),
-    )
-    return kept.select(*df.columns), moved
+        time_value = event_epoch(F.col(time_column), df.schema[time_column].dataType)
+        kept = _passes(after_id, time_value, "time_mark", marks)
+    moved = after_id.df.groupBy(*keys, F.lit(0).alias(ALL)).agg(
+        F.max(id_value).alias("id_mark"), F.max(time_value).alias("time_mark"))
+    return kept.df.select(*df.columns), moved
 
 
 def _merge_marks(old: DataFrame | None, moved: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -109,7 +106,7 @@ def high_water_stream(
     keys: Sequence[str] = (),
     id_column: str | None = None,
     time_column: str | None = None,
-    slices: int = DEFAULT_SLICES,
+    slices: int | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Run the same filter over a stream and append what passes to ``sink``.
@@ -122,7 +119,7 @@ def high_water_stream(
     output, so nothing is lost or doubled. Marks alternate between two slots: batch ``n`` reads the
     slot of ``n - 1`` and writes over that of ``n - 2``.
     """
-    names = list(keys) or [ALL]
+    names = [*keys, ALL]
 
     def slot(batch_id: int) -> str:
         return f"{state.rstrip('/')}/slot={batch_id % 2}"
