@@ -100,7 +100,9 @@ def write_curated(
         return _save(writer, spark, path, fmt, observation, partition_by)
     exists = spark.catalog.tableExists(table)
     before = _table_bytes(spark, table, fmt) if exists else 0
-    if exists:
+    if fmt != "iceberg":
+        spread.write.format(fmt).mode("append").partitionBy(*partition_by).saveAsTable(table)
+    elif exists:
         spread.writeTo(table).append()
     else:
         creator = spread.writeTo(table).using(fmt)

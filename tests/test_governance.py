@@ -11,7 +11,7 @@ from millrace.operators import profile as D
 
 def test_name_hints():
     assert [P.name_hint(c) for c in ("user-Email", "Home Phone", "ssn", "customer_name", "zip code", "birth_date", "x")] == [
-        "email", "phone", "ssn", "name", "address", "dob" if "name" not in "birth_date" else "name", None]
+        "email", "phone", "ssn", "name", "address", "dob", None]
     assert P.name_hint("description") == "ip_address" and P.name_hint("description", match="token") is None
     assert P.name_hint("client_ip", match="token") == "ip_address"
 
@@ -82,7 +82,6 @@ def test_end_events_inherit_and_fail_without_outputs(lineage):
 def test_neighbors(lineage):
     starts, ends = lineage
     events = starts.unionByName(ends)
-    assert values(L.neighbors(events, "src_a")) == [("downstream", "lake:mart"), ("upstream", "local:dim")] or True
     found = values(L.neighbors(events, "src_a"))
     # Both datasets named after the source belong to it, so only the mart lies beyond them.
     assert found == [("downstream", "lake:mart")]
