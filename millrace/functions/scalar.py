@@ -166,21 +166,22 @@ def first_text(*candidates: Column) -> Column:
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in candidates], F.lit(""))
 
 
-def luhn_valid(c: Column) -> Column:
-    """True when the 13 to 19 digits found in the text pass the mod-10 card test."""
-    digits = F.regexp_replace(c, r"[^0-9]", "")
-    doubled = "0246813579"
+def digits_only(c: Column) -> Column:
+    return F.regexp_replace(c, r"[^0-9]+", "")
+
+
+def luhn_valid(c: Column, digits: Column | None = None) -> Column:
+    """True when the 13 to 19 digits found in the text pass the mod-10 card test.
+
+    ``digits`` is the text reduced to its digits, for callers that have it already.
+    """
+    digits = digits_only(c) if digits is None else digits
+    backwards = F.reverse(digits)
+    plain = F.regexp_replace(backwards, "(.).?", "$1")
+    # Doubling a digit and adding the digits of the result maps 0..9 to these.
+    doubled = F.translate(F.regexp_replace(backwards, ".(.?)", "$1"), "0123456789", "0246813579")
     total = F.aggregate(
-        F.sequence(F.lit(1), F.length(digits)),
-        F.lit(0),
-        lambda acc, i: acc
-        + F.substring(
-            F.when(i % 2 == 0, F.translate(F.reverse(digits), "0123456789", doubled)).otherwise(
-                F.reverse(digits)
-            ),
-            i,
-            F.lit(1),
-        ).cast("int"),
+        F.split(F.concat(plain, doubled), ""), F.lit(0), lambda acc, d: acc + F.coalesce(d.try_cast("int"), F.lit(0))
     )
     return F.when(F.length(digits).between(13, 19), total % 10 == 0).otherwise(F.lit(False))
 
@@ -233,9 +234,12 @@ def variant_lookup(c: Column, path: str | None, as_type: str) -> Column:
     return F.try_variant_get(c, _json_path(path, '"'), as_type)
 
 
-def variant_kind(c: Column) -> Column:
-    """JSON kind of a variant: null, boolean, integer, number, string, array or object."""
-    shape = F.schema_of_variant(c)
+def variant_kind(c: Column, shape: Column | None = None) -> Column:
+    """JSON kind of a variant: null, boolean, integer, number, string, array or object.
+
+    ``shape`` is its schema text, for callers that have it already.
+    """
+    shape = F.schema_of_variant(c) if shape is None else shape
     digits = F.regexp_extract(shape, r"^DECIMAL\((\d+),0\)$", 1).try_cast("int")
     return (
         F.when(shape.isNull() | (shape == "VOID"), "null")

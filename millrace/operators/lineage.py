@@ -7,8 +7,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from millrace.operators.once import with_once
+
 DEFAULT_NAMESPACE = "millrace"
 PRODUCER = "millrace"
+INLINE_TARGETS = 1000
 # Facet schema addresses of the public lineage specification.
 SCHEMA_FACET_URL = "https://openlineage.io/spec/facets/1-0-0/SchemaDatasetFacet.json"
 QUALITY_FACET_URL = "https://openlineage.io/spec/facets/1-0-0/DataQualityMetricsInputDatasetFacet.json"
@@ -101,25 +104,58 @@ def _refs(events: DataFrame, event_key: Sequence[str], source_id: str) -> DataFr
 
 
 def neighbors(
-    events: DataFrame, source_id: str, *, event_key: Sequence[str] = ("run_id", "event_type", "event_time")
+    events: DataFrame,
+    source_id: str,
+    *,
+    event_key: Sequence[str] = ("run_id", "event_type", "event_time"),
+    inline_limit: int = INLINE_TARGETS,
 ) -> DataFrame:
     """Datasets one step up- and downstream of a source: rows (direction, dataset), sorted.
 
     The source is every dataset whose name or namespace contains the id, or that names it in a
     ``source`` facet in any event. Finished events that touch the source contribute their other
-    inputs (upstream) and outputs (downstream). Mentions are exploded one by one, never paired, and
-    each event is folded to two flags before it is joined back.
+    inputs (upstream) and outputs (downstream). Inputs and outputs are never paired.
+
+    The datasets of one source are usually few. Up to ``inline_limit`` of them become a constant of
+    the plan, which then reads the finished events once and moves only the distinct neighbours.
+    Beyond the limit they are joined.
     """
-    refs = _refs(events, event_key, source_id)
-    own = refs.filter("is_source").select("dataset").distinct()
-    fallback = (
-        own.agg(F.count(F.lit(1)).alias("n")).filter("n = 0")
-        .select(F.lit(f"{DEFAULT_NAMESPACE}:{source_id}").alias("dataset"))
-    )
-    targets = own.unionByName(fallback).select(F.col("dataset").alias("__target"))
+    targets = _target_keys(events, event_key, source_id)
+    some = [r["dataset"] for r in targets.limit(inline_limit + 1).collect()]
+    if len(some) <= inline_limit:
+        found = _neighbors_of_few(events, some or [f"{DEFAULT_NAMESPACE}:{source_id}"])
+    else:
+        found = _neighbors_of_many(events, targets, event_key, source_id)
+    return found.distinct().orderBy("direction", "dataset")
+
+
+def _target_keys(events: DataFrame, event_key: Sequence[str], source_id: str) -> DataFrame:
+    return _refs(events, event_key, source_id).filter("is_source").select("dataset").distinct()
+
+
+def _neighbors_of_few(events: DataFrame, targets: Sequence[str]) -> DataFrame:
+    finished = events.filter("event_type <> 'START'").select(
+        F.transform("inputs", dataset_key).alias("reads"), F.transform("outputs", dataset_key).alias("writes"))
+    finished = with_once(finished, "__in", F.exists("reads", lambda k: k.isin(*targets)))
+    finished = with_once(finished, "__out", F.exists("writes", lambda k: k.isin(*targets)))
+    none = F.array().cast("array<struct<direction:string,dataset:string>>")
+
+    def beyond(touched: str, column: str, direction: str) -> Column:
+        others = F.filter(column, lambda k: ~k.isin(*targets))
+        named = F.transform(others, lambda k: F.struct(F.lit(direction).alias("direction"), k.alias("dataset")))
+        return F.when(F.col(touched), named).otherwise(none)
+
+    both = F.concat(beyond("__in", "writes", "downstream"), beyond("__out", "reads", "upstream"))
+    return finished.filter("__in OR __out").select(F.explode(both).alias("n")).select("n.*")
+
+
+def _neighbors_of_many(
+    events: DataFrame, targets: DataFrame, event_key: Sequence[str], source_id: str
+) -> DataFrame:
+    own = targets.select(F.col("dataset").alias("__target"))
     marked = (
-        refs.filter("event_type <> 'START'")
-        .join(targets, F.col("dataset") == F.col("__target"), "left")
+        _refs(events.filter("event_type <> 'START'"), event_key, source_id)
+        .join(own, F.col("dataset") == F.col("__target"), "left")
         .select(*event_key, "role", "dataset", F.col("__target").isNotNull().alias("target"))
     )
     touched = marked.filter("target").groupBy(*event_key).agg(
@@ -127,12 +163,11 @@ def neighbors(
         F.bool_or(F.col("role") == "output").alias("writes"),
     )
     others = marked.filter("NOT target").join(touched, list(event_key))
-    found = others.select(
+    return others.select(
         F.when((F.col("role") == "output") & F.col("reads"), "downstream")
         .when((F.col("role") == "input") & F.col("writes"), "upstream").alias("direction"),
         "dataset",
-    )
-    return found.filter("direction IS NOT NULL").distinct().orderBy("direction", "dataset")
+    ).filter("direction IS NOT NULL")
 
 
 # ---------------------------------------------------------------- facets and JSON

@@ -6,7 +6,8 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from millrace.functions import blank, luhn_valid, strip_text
+from millrace.functions import blank, digits_only, luhn_valid
+from millrace.operators.once import with_once
 
 # Name hints in order of precedence. A column matches when its normalised name
 # contains the hint.
@@ -21,14 +22,18 @@ NAME_HINTS = (
     ("credit_card", "credit_card"), ("cc_number", "credit_card"), ("card_number", "credit_card"),
     ("ip", "ip_address"), ("ip_address", "ip_address"), ("client_ip", "ip_address"),
 )
-# Value patterns.
-EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
-PHONE = r"(?:\+?1[-.\s]?)?\(?([0-9]{3})\)?[-.\s]?([0-9]{3})[-.\s]?([0-9]{4})\b"
+# Value patterns. Only the existence of a match counts, so an e-mail address is found
+# from the one character before its @, and the optional country code and bracket in front of a phone
+# number are left out. Both keep the search linear in the length of the text.
+EMAIL = r"[a-zA-Z0-9._%+-]@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+PHONE = r"[0-9]{3}\)?[-.\s]?[0-9]{3}[-.\s]?[0-9]{4}\b"
 SSN = r"\b(?!000|666|9\d{2})\d{3}[-\s]?(?!00)\d{2}[-\s]?(?!0000)\d{4}\b"
 IP_ADDRESS = (
     r"\b(?:(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)\.){3}"
     r"(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)\b"
 )
+# Digits a text must hold before the pattern of a type can match.
+FEWEST_DIGITS = {"phone": 10, "ssn": 9, "ip_address": 4}
 LEVELS = ("public", "internal", "confidential", "restricted")
 VALUE_TYPES = ("email", "phone", "ssn", "ip_address", "credit_card")
 
@@ -48,33 +53,44 @@ def name_hint(column: str, *, match: str = "substring") -> str | None:
     return None
 
 
-def value_flags(c: Column) -> dict[str, Column]:
-    """One boolean per value type for a text column. Cheap substring tests go before the patterns.
+def value_flags(c: Column, digits: Column) -> dict[str, Column]:
+    """One boolean per value type for a text column.
 
-    The phone pattern itself spans ten digits, so no separate digit count is needed.
+    ``digits`` is the text reduced to its digits. It is computed once and decides which patterns are
+    worth trying; most texts hold too few digits for any of them.
     """
-    text = strip_text(c)
-    return {
-        "email": text.contains("@") & text.rlike(EMAIL),
-        "phone": text.rlike(PHONE),
-        "ssn": text.rlike(SSN),
-        "ip_address": text.contains(".") & text.rlike(IP_ADDRESS),
-        "credit_card": luhn_valid(text),
+    count = F.length(digits)
+    flags = {
+        "email": c.contains("@") & c.rlike(EMAIL),
+        "phone": (count >= FEWEST_DIGITS["phone"]) & c.rlike(PHONE),
+        "ssn": (count >= FEWEST_DIGITS["ssn"]) & c.rlike(SSN),
+        "ip_address": (count >= FEWEST_DIGITS["ip_address"]) & c.contains(".") & c.rlike(IP_ADDRESS),
+        "credit_card": luhn_valid(c, digits),
     }
+    return {kind: flags[kind] for kind in VALUE_TYPES}
 
 
-def value_type(c: Column) -> Column:
+def value_type(c: Column, digits: Column) -> Column:
     """The first value type that matches, in the order of :data:`VALUE_TYPES`; null when none does."""
-    flags = value_flags(c)
     rule = F.when(F.lit(False), F.lit(None).cast("string"))
-    for kind in VALUE_TYPES:
-        rule = rule.when(flags[kind], kind)
+    for kind, flag in value_flags(c, digits).items():
+        rule = rule.when(flag, kind)
     return rule
 
 
 def flag_rows(df: DataFrame, column: str, prefix: str = "has_") -> DataFrame:
     """Add one boolean column per value type."""
-    return df.withColumns({f"{prefix}{k}": f for k, f in value_flags(F.col(column)).items()})
+    held = with_once(df, "__digits", digits_only(F.col(column)))
+    flags = value_flags(F.col(column), F.col("__digits"))
+    return held.select("*", *[f.alias(f"{prefix}{k}") for k, f in flags.items()]).drop("__digits")
+
+
+def _value_types(df: DataFrame, columns: dict[str, str], *keep: str) -> DataFrame:
+    """Type found in each named column (output name by column name), row by row."""
+    for column, out in columns.items():
+        df = with_once(df, f"{out}_digits", digits_only(F.col(column).cast("string")))
+    found = [value_type(F.col(c).cast("string"), F.col(f"{out}_digits")).alias(out) for c, out in columns.items()]
+    return df.select(*keep, *found)
 
 
 def scan_columns(
@@ -99,32 +115,25 @@ def scan_columns(
         if hints[c] is None
         and not isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))
     ]
-    measures = [F.count(F.lit(1)).alias("__rows")]
+    names = {c: f"v{i}" for i, c in enumerate(searchable)}
+
+    def first_hit(name: str) -> Column:
+        hit = F.when(F.col(name).isNotNull(), F.struct(F.col("__at"), F.col(name).alias("kind")))
+        return F.min(hit).getField("kind").alias(name)
+
+    total = F.count(F.lit(1)).alias("__rows")
     if first_values is None:
-        for i, c in enumerate(searchable):
-            found = value_type(F.col(c).cast("string"))
-            measures.append(
-                F.min(F.when(found.isNotNull(), F.struct(F.col(order).alias("at"), found.alias("kind"))))
-                .getField("kind").alias(f"v{i}")
-            )
-        folded = df.agg(*measures)
-        values = {c: F.col(f"v{i}") for i, c in enumerate(searchable)}
+        found = _value_types(df.withColumn("__at", F.col(order)), names, "__at")
+        folded = found.agg(total, *map(first_hit, names.values()))
     else:
-        folded = df.agg(*measures)
-        values = {}
-        for i, c in enumerate(searchable):
-            text = F.col(c).cast("string")
-            head = (
-                df.select(F.col(order).alias("at"), text.alias("text"))
-                .filter(F.col("text").isNotNull() & ~blank(F.col("text")))
-                .orderBy("at").limit(first_values)
-                .withColumn("kind", value_type(F.col("text")))
-                .agg(F.min(F.when(F.col("kind").isNotNull(), F.struct("at", "kind")))
-                     .getField("kind").alias(f"v{i}"))
-            )
-            folded = folded.withColumn("__one", F.lit(1)).join(
-                head.withColumn("__one", F.lit(1)), "__one").drop("__one")
-            values[c] = F.col(f"v{i}")
+        folded = df.agg(total).withColumn("__one", F.lit(1))
+        for c, name in names.items():
+            head = df.select(F.col(order).alias("__at"), F.col(c).cast("string").alias("text"))
+            head = head.filter(F.col("text").isNotNull() & ~blank(F.col("text"))).orderBy("__at").limit(first_values)
+            # Both sides have exactly one row.
+            one = _value_types(head, {"text": name}, "__at").agg(first_hit(name)).withColumn("__one", F.lit(1))
+            folded = folded.join(one, "__one")
+    values = {c: F.col(name) for c, name in names.items()}
     null = F.lit(None).cast("string")
     rows = [
         F.struct(

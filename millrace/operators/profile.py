@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import variant_kind, variant_lookup
+from millrace.operators.once import with_once
 
 # Fixed value: records assumed per sampled record when a source states no total.
 EXTRAPOLATION = 50
@@ -62,9 +63,8 @@ def infer_json_schema(df: DataFrame, json_column: str) -> DataFrame:
     record carries is no burden. Text that is not a JSON object is passed over.
     """
     body = F.try_variant_get(F.try_parse_json(json_column), "$", "map<string,variant>")
-    kinds = df.select(F.explode(body).alias("key", "item")).select(
-        "key", variant_kind(F.col("item")).alias("kind")
-    )
+    items = with_once(df.select(F.explode(body).alias("key", "item")), "shape", F.schema_of_variant("item"))
+    kinds = items.select("key", variant_kind(F.col("item"), F.col("shape")).alias("kind"))
     return kinds.groupBy("key").agg(
         F.array_sort(F.collect_set("kind")).alias("types"),
         F.bool_or(F.col("kind") == "null").alias("nullable"),
@@ -98,8 +98,10 @@ def estimate_volume(
     ``body`` is a variant column of landed response bodies. The body total may be an integer or a
     text of digits.
     """
-    raw = variant_lookup(F.col(body), total_field, "variant")
-    kind = variant_kind(raw)
+    bodies = with_once(bodies, "__raw", variant_lookup(F.col(body), total_field, "variant"))
+    raw = F.col("__raw")
+    bodies = with_once(bodies, "__shape", F.schema_of_variant(raw))
+    kind = variant_kind(raw, F.col("__shape"))
     text = raw.try_cast("string")
     in_body = F.when(
         (kind == "integer") | ((kind == "string") & text.rlike("^[0-9]+$")), text.try_cast("bigint")

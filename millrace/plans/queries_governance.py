@@ -25,8 +25,8 @@ def _luhn_sql(text: str) -> str:
 
 
 FLAGS = {
-    "email": f"regexp_matches(text, '{P.EMAIL}')",
-    "phone": f"regexp_matches(text, '{P.PHONE}')",
+    "email": r"regexp_matches(text, '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}')",
+    "phone": r"regexp_matches(text, '(?:\+?1[-.\s]?)?\(?([0-9]{3})\)?[-.\s]?([0-9]{3})[-.\s]?([0-9]{4})\b')",
     "ssn": f"regexp_matches(text, '{SSN_SQL}')",
     "ip_address": f"regexp_matches(text, '{P.IP_ADDRESS}')",
     "credit_card": _luhn_sql("text"),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import first_text, variant_lookup
+from millrace.operators.once import with_once
 
 # Keys that may hold the record list, in order of precedence.
 ENVELOPE_KEYS = ("data", "results", "items", "foods", "records", "rows")
@@ -59,8 +60,9 @@ def unwrap_envelope(
 ) -> DataFrame:
     """One row per record of each body; the other columns are repeated."""
     rest = [c for c in df.columns if c != body]
-    records = envelope_records(F.col(body), keys, empty_is_body=empty_is_body, keep_body=keep_body)
-    return df.select(*rest, F.explode(records).alias(into))
+    held = with_once(df.withColumnRenamed(body, "__text"), "__body", F.col("__text"))
+    records = envelope_records(F.col("__body"), keys, empty_is_body=empty_is_body, keep_body=keep_body)
+    return held.select(*rest, F.explode(records).alias(into))
 
 
 def header_rows(df: DataFrame, body: str, *, strict: bool = True, into: str = "record") -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.operators.once import with_once
+
 DONE = "[DONE]"
 
 
@@ -33,11 +35,11 @@ def parse_sse(df: DataFrame, block: str = "value") -> DataFrame:
     """
     rest = [c for c in df.columns if c != block]
     payload, event_id = sse_fields(F.col(block))
-    parts = df.select(*rest, payload.alias("__payload"), event_id.alias("__id")).filter(
-        F.col("__payload").isNotNull() & (F.col("__payload") != DONE)
-    )
-    parsed = parts.withColumn("__json", F.try_parse_json("__payload"))
-    is_object = F.schema_of_variant("__json").startswith("OBJECT")
+    fields = F.struct(payload.alias("payload"), event_id.alias("id"))
+    parts = with_once(df, "__f", fields).select(*rest, F.col("__f.payload").alias("__payload"), F.col("__f.id").alias("__id"))
+    parsed = with_once(parts.filter(F.col("__payload") != DONE), "__json", F.try_parse_json("__payload"))
+    parsed = with_once(parsed, "__is_object", F.schema_of_variant("__json").startswith("OBJECT"))
+    is_object = F.col("__is_object")
     own_id = F.when(is_object, F.try_variant_get(F.col("__json"), "$._sse_id", "string"))
     return parsed.select(
         *rest,

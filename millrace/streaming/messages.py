@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import strip_text
+from millrace.operators.once import with_once
 
 # Allowed actions, priority bounds and the priority of a message that names none.
 ACTIONS = ("ingest", "transform", "backfill")
@@ -18,41 +19,43 @@ def check_messages(df: DataFrame, message: str) -> DataFrame:
     missing priority is 3 and a missing payload an empty object.
     """
     rest = [c for c in df.columns if c != message]
-    body = F.col("__body")
-
-    def item(name: str, as_type: str) -> Column:
-        return F.try_variant_get(body, f"$.{name}", as_type)
-
-    def shape(name: str) -> Column:
-        return F.schema_of_variant(item(name, "variant"))
-
-    parsed = df.withColumn("__body", F.try_parse_json(message))
-    source, action = item("source_id", "string"), item("action", "string")
+    fields = F.struct(*[
+        F.try_variant_get("__body", f"$.{name}", "variant").alias(name)
+        for name in ("source_id", "action", "priority", "payload")
+    ])
+    parsed = with_once(df, "__body", F.try_parse_json(message))
+    parsed = with_once(parsed, "__f", fields)
+    shapes = F.struct(*[
+        F.schema_of_variant(f"__f.{name}").alias(name) for name in ("source_id", "priority", "payload")
+    ], F.schema_of_variant("__body").alias("body"))
+    parsed = with_once(parsed, "__shape", shapes)
+    source, action = F.col("__f.source_id").try_cast("string"), F.col("__f.action").try_cast("string")
     # Whole numbers and texts of a whole number count as an integer priority.
-    priority = F.when(item("priority", "variant").isNull(), DEFAULT_PRIORITY).otherwise(
-        F.when(shape("priority").rlike(r"^(BIGINT|STRING|DECIMAL\(\d+,0\))$"), item("priority", "int")))
-    not_object = body.isNull() | ~F.schema_of_variant(body).startswith("OBJECT")
+    whole = F.col("__shape.priority").rlike(r"^(BIGINT|STRING|DECIMAL\(\d+,0\))$")
+    priority = F.when(F.col("__f.priority").isNull(), DEFAULT_PRIORITY).otherwise(
+        F.when(whole, F.col("__f.priority").try_cast("int")))
+    is_object = F.coalesce(F.col("__shape.body").startswith("OBJECT"), F.lit(False))
     rules = {
-        "message is not a JSON object": not_object,
-        "source_id missing": ~not_object & (
-            source.isNull() | (F.length(source) < 1) | (shape("source_id") != "STRING")),
-        "action not allowed": ~not_object & ~F.coalesce(action.isin(*ACTIONS), F.lit(False)),
-        "priority not within 1..5": ~not_object & ~F.coalesce(priority.between(LOWEST, HIGHEST), F.lit(False)),
-        "payload is not an object": ~not_object & item("payload", "variant").isNotNull()
-        & ~shape("payload").startswith("OBJECT"),
+        "message is not a JSON object": ~is_object,
+        "source_id missing": is_object & (
+            source.isNull() | (F.length(source) < 1) | (F.col("__shape.source_id") != "STRING")),
+        "action not allowed": is_object & ~F.coalesce(action.isin(*ACTIONS), F.lit(False)),
+        "priority not within 1..5": is_object & ~F.coalesce(priority.between(LOWEST, HIGHEST), F.lit(False)),
+        "payload is not an object": is_object & F.col("__f.payload").isNotNull()
+        & ~F.col("__shape.payload").startswith("OBJECT"),
     }
     reasons = F.filter(
         F.array(*[F.when(F.coalesce(broken, F.lit(True)), name) for name, broken in rules.items()]),
         lambda r: r.isNotNull(),
     )
-    return parsed.select(
+    return with_once(parsed, "reasons", reasons).select(
         *rest,
         strip_text(source).alias("source_id"),
         action.alias("action"),
         priority.alias("priority"),
-        F.coalesce(F.to_json(item("payload", "variant")), F.lit("{}")).alias("payload"),
+        F.coalesce(F.to_json("__f.payload"), F.lit("{}")).alias("payload"),
         F.col(message),
-        reasons.alias("reasons"),
+        "reasons",
     )
 
 

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.operators.once import with_once
 from millrace.sources.payloads import normalize_observation
 
 
@@ -71,6 +72,6 @@ def normalize_polls(df: DataFrame, body: str, station: str, fetched_at: str) ->
     A poll whose body is null failed, and stays visible as a ``fetch_error`` row.
     """
     rest = [c for c in df.columns if c not in (body, station, fetched_at)]
-    parsed = df.withColumn("__body", F.try_parse_json(body))
+    parsed = with_once(df, "__body", F.try_parse_json(body))
     flat = normalize_observation(F.col("__body"), F.col(station), F.col(fetched_at))
     return parsed.select(*rest, *[c.alias(n) for n, c in flat.items()])
