@@ -16,6 +16,9 @@ ISO_OFFSET = r"(Z|[+-]\d{2}:?\d{2})"
 ISO_PATTERN = rf"^{ISO_DATE}([T ]{ISO_CLOCK}{ISO_OFFSET}?)?$"
 ISO_ZONED = rf"^{ISO_DATE}[T ]{ISO_CLOCK}{ISO_OFFSET}$"
 
+# Digits of a payment card number.
+SHORTEST_CARD, LONGEST_CARD = 13, 19
+
 # Error categories with the substrings that select them; the first hit decides.
 ERROR_CATEGORIES = (
     ("timeout", ("timeout",)),
@@ -176,14 +179,22 @@ def luhn_valid(c: Column, digits: Column | None = None) -> Column:
     ``digits`` is the text reduced to its digits, for callers that have it already.
     """
     digits = digits_only(c) if digits is None else digits
-    backwards = F.reverse(digits)
-    plain = F.regexp_replace(backwards, "(.).?", "$1")
-    # Doubling a digit and adding the digits of the result maps 0..9 to these.
-    doubled = F.translate(F.regexp_replace(backwards, ".(.?)", "$1"), "0123456789", "0246813579")
-    total = F.aggregate(
-        F.split(F.concat(plain, doubled), ""), F.lit(0), lambda acc, d: acc + F.coalesce(d.try_cast("int"), F.lit(0))
-    )
-    return F.when(F.length(digits).between(13, 19), total % 10 == 0).otherwise(F.lit(False))
+
+    def checksum(padded: Column) -> Column:
+        total = F.lit(0)
+        for place in range(1, LONGEST_CARD + 1):
+            digit = F.ascii(F.substring(padded, place, 1)) - 48
+            if (LONGEST_CARD - place) % 2 == 1:
+                digit = digit * 2 - F.when(digit > 4, 9).otherwise(0)
+            total = total + digit
+        return total % 10
+
+    # Zeros in front leave the sum alone, and make every position from the right a fixed one. The
+    # one-element array binds the padded text, so that it is computed once and not per position.
+    padded = F.array(F.lpad(digits, LONGEST_CARD, "0"))
+    passes = F.exists(padded, lambda p: checksum(p) == 0)
+    fits = F.length(digits).between(SHORTEST_CARD, LONGEST_CARD)
+    return F.when(fits, passes).otherwise(F.lit(False))
 
 
 # ---------------------------------------------------------------- time
@@ -240,14 +251,15 @@ def variant_kind(c: Column, shape: Column | None = None) -> Column:
     ``shape`` is its schema text, for callers that have it already.
     """
     shape = F.schema_of_variant(c) if shape is None else shape
-    digits = F.regexp_extract(shape, r"^DECIMAL\((\d+),0\)$", 1).try_cast("int")
+    # A whole number too long for 64 bits arrives as a decimal of 19 digits or more without a scale;
+    # 3.0 arrives as DECIMAL(1,0). The pattern is only tried on decimals.
+    long_integer = shape.rlike(r"^DECIMAL\((19|[2-9]\d),0\)$")
     return (
         F.when(shape.isNull() | (shape == "VOID"), "null")
         .when(shape == "BOOLEAN", "boolean")
         .when(shape == "BIGINT", "integer")
-        # A whole number too long for 64 bits arrives as a decimal; 3.0 arrives as DECIMAL(1,0).
-        .when(digits > 18, "integer")
-        .when(shape.startswith("DECIMAL") | shape.isin("DOUBLE", "FLOAT"), "number")
+        .when(shape.startswith("DECIMAL"), F.when(long_integer, "integer").otherwise("number"))
+        .when(shape.isin("DOUBLE", "FLOAT"), "number")
         .when(shape.startswith("ARRAY"), "array")
         .when(shape.startswith("OBJECT"), "object")
         .otherwise("string")

@@ -93,8 +93,10 @@ def _refs(events: DataFrame, event_key: Sequence[str], source_id: str) -> DataFr
             (
                 d.getField("name").contains(source_id)
                 | d.getField("namespace").contains(source_id)
-                | F.coalesce(F.get_json_object(d.getField("facets"), "$.source.source_id") == source_id,
-                             F.lit(False))
+                | F.coalesce(
+                    (d.getField("facets") != "{}")
+                    & (F.get_json_object(d.getField("facets"), "$.source.source_id") == source_id),
+                    F.lit(False))
             ).alias("is_source"),
         ))
     carried = list(dict.fromkeys([*event_key, "event_type"]))

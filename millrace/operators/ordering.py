@@ -34,7 +34,6 @@ def first_rows_per_group(
 
 def recent_runs(runs: DataFrame, started: str, run_id: str, n: int = 20) -> DataFrame:
     """The latest ``n`` runs, newest first, with the total number of runs on every row."""
+    total = runs.agg(F.count(F.lit(1))).scalar()
     latest = first_rows(runs, [F.col(started).desc(), F.col(run_id).desc()], n)
-    total = runs.agg(F.count(F.lit(1)).alias("total_runs")).withColumn("__one", F.lit(1))
-    # Both sides are tiny by construction: n rows and one row.
-    return latest.withColumn("__one", F.lit(1)).join(total, "__one").drop("__one")
+    return latest.withColumn("total_runs", total)

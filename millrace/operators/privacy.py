@@ -126,13 +126,11 @@ def scan_columns(
         found = _value_types(df.withColumn("__at", F.col(order)), names, "__at")
         folded = found.agg(total, *map(first_hit, names.values()))
     else:
-        folded = df.agg(total).withColumn("__one", F.lit(1))
+        folded = df.agg(total)
         for c, name in names.items():
             head = df.select(F.col(order).alias("__at"), F.col(c).cast("string").alias("text"))
             head = head.filter(F.col("text").isNotNull() & ~blank(F.col("text"))).orderBy("__at").limit(first_values)
-            # Both sides have exactly one row.
-            one = _value_types(head, {"text": name}, "__at").agg(first_hit(name)).withColumn("__one", F.lit(1))
-            folded = folded.join(one, "__one")
+            folded = folded.withColumn(name, _value_types(head, {"text": name}, "__at").agg(first_hit(name)).scalar())
     values = {c: F.col(name) for c, name in names.items()}
     null = F.lit(None).cast("string")
     rows = [

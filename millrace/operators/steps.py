@@ -24,7 +24,7 @@ CAST_NAMES = {
 }
 AGGREGATES = {"sum": F.sum, "avg": F.avg, "mean": F.avg, "min": F.min, "max": F.max, "count": F.count}
 JOIN_NAMES = {
-    "": "inner", "inner": "inner",
+    "": "inner", "inner": "inner", "cross": "inner",
     "left": "left", "left_outer": "left",
     "right": "right", "right_outer": "right",
     "outer": "outer", "full": "outer", "full_outer": "outer",
@@ -210,7 +210,7 @@ def join_tables(
 ) -> DataFrame:
     """Equi-join on same-named keys; the key columns appear once, in front.
 
-    When both sides carry a non-key column of the same name, a matched row takes the right value.
+    ``cross`` with keys is an inner join, as it is in Spark. When both sides carry a non-key column of the same name, a matched row takes the right value.
     ``null_safe`` lets null keys match each other. No side is force-broadcast: the planner and
     adaptive execution do that below their size thresholds, and otherwise split hot partitions.
     """

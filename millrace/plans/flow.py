@@ -80,6 +80,15 @@ def validate_steps(steps: Iterable[Mapping[str, Any]]) -> list[str]:
     return messages
 
 
+def validate_spec(spec: Mapping[str, Any]) -> list[str]:
+    """Messages about a whole specification: its required parts, then its steps."""
+    messages = [f"spec requires {n!r}" for n in ("transform_id", "source", "steps", "output") if n not in spec]
+    output = spec.get("output")
+    if output is not None:
+        messages += [f"output requires {n!r}" for n in ("table", "format") if n not in output]
+    return messages + validate_steps(spec.get("steps", []))
+
+
 @dataclass
 class _Gate:
     checks: list[Mapping[str, Any]]

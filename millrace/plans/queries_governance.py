@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators import lineage as L, privacy as P, rollups as R
+from millrace.operators.once import with_once
 from millrace.operators.ordering import recent_runs
 from millrace.operators.profile import estimate_volume, infer_json_schema, merged_schema, quality_profile
 from millrace.plans.registry import Tables, query
@@ -180,13 +181,13 @@ def lineage_facets(t: Tables) -> DataFrame:
 def lineage_json(t: Tables) -> DataFrame:
     _, ends = _lineage_events(t)
 
-    def at(path: str):
-        return F.get_json_object("json", path)
-
-    return L.lineage_json(ends).select(
-        at("$.run.runId").alias("run_id"), at("$.eventType").alias("kind"), at("$.eventTime").alias("at"),
-        at("$.job.name").alias("job"), at("$.inputs[0].name").alias("first_input"),
-        at("$.job.facets.errorMessage").alias("error"))
+    shape = ("struct<eventType:string,eventTime:string,run:struct<runId:string>,inputs:array<struct<name:string>>,"
+             "job:struct<name:string,facets:struct<errorMessage:string>>>")
+    read = with_once(L.lineage_json(ends), "e", F.from_json("json", shape))
+    return read.select(
+        F.col("e.run.runId").alias("run_id"), F.col("e.eventType").alias("kind"), F.col("e.eventTime").alias("at"),
+        F.col("e.job.name").alias("job"), F.get("e.inputs", 0)["name"].alias("first_input"),
+        F.col("e.job.facets.errorMessage").alias("error"))
 
 
 # ---------------------------------------------------------------- discovery

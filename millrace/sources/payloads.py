@@ -70,7 +70,7 @@ def header_rows(df: DataFrame, body: str, *, strict: bool = True, into: str = "r
 
     Strict: a row whose length differs from the header is dropped. Otherwise names and values are
     zipped up to the shorter of both, and a body without a header row of texts gives
-    ``{row, value}`` maps of its elements instead.
+    ``{row, value}`` maps of all its elements instead.
     """
     rest = [c for c in df.columns if c != body]
     table = F.from_json(F.col(body), "array<array<string>>")
@@ -112,7 +112,8 @@ def assemble_pages(
 
     ``records`` is an array column. A fetch stops at the first empty page, after the first page
     shorter than ``page_size``, and after the page number in ``total_pages``. The stop of each
-    endpoint is a minimum, so a partial aggregate finds it without ordering or moving any page body.
+    endpoint is a minimum, so a partial aggregate over page sizes finds it and no pages are ordered.
+    The stops have one row per endpoint; when they are few they are broadcast and no page body moves.
     """
     count = F.coalesce(F.greatest(F.size(records), F.lit(0)), F.lit(0))
     stops = F.col(page).isNotNull() & (count < F.lit(page_size if page_size is not None else 1))

@@ -34,17 +34,12 @@ def _comparable_id(df: DataFrame, id_column: str) -> Column:
     ))
 
 
-def _passes(placed: Placed, value: Column, mark: str, marks: DataFrame | None) -> Placed:
+def _passes(placed: Placed, value: Column, start: str | None) -> Placed:
     """Rows whose value is null or greater than the mark left by the rows before them."""
     marked = earlier_max(placed.but(placed.df.withColumn("__v", value)), F.col("__v"), "__before").df
-    before = F.col("__before")
-    if marks is not None:
-        start = marks.select(F.struct(*placed.keys, ALL).alias("__mark_of"), F.col(mark).alias("__start"))
-        own = F.struct(*placed.keys, F.lit(0).alias(ALL))
-        marked = marked.join(start, own == F.col("__mark_of"), "left")
-        before = F.greatest(before, F.col("__start"))
+    before = F.greatest("__before", start) if start else F.col("__before")
     kept = marked.filter(F.col("__v").isNull() | before.isNull() | (F.col("__v") > before))
-    return placed.but(kept.drop("__v", "__before", "__start", "__mark_of"))
+    return placed.but(kept.drop("__v", "__before"))
 
 
 def high_water_filter(
@@ -60,40 +55,39 @@ def high_water_filter(
     """Filter a table in arrival order.
 
     ``order`` is the arrival order, unique within a key; its first column cuts the sequence into
-    slices that are worked on in parallel. ``marks`` continues from earlier marks: the keys with
-    ``id_mark`` and ``time_mark``.
+    slices that are worked on in parallel. ``marks`` continues from earlier marks, as left behind by
+    :func:`high_water_stream`.
     """
-    kept, _ = _filter(df, order, keys, id_column, time_column, slices, marks)
-    return kept
-
-
-def _filter(
-    df: DataFrame,
-    order: Sequence[str],
-    keys: Sequence[str],
-    id_column: str | None,
-    time_column: str | None,
-    slices: int | None,
-    marks: DataFrame | None,
-) -> tuple[DataFrame, DataFrame]:
-    """The rows that pass, and how far they moved the marks."""
-    after_id = place_rows(df, keys, order, slices)
-    id_value, time_value = F.lit(None).cast("bigint"), F.lit(None).cast("double")
+    columns = df.columns
+    if marks is not None:
+        starts = marks.select(F.struct(*keys, ALL).alias("__of"), F.col("id_mark").alias("__id_start"),
+                              F.col("time_mark").alias("__time_start"))
+        df = df.join(starts, F.struct(*keys, F.lit(0).alias(ALL)) == F.col("__of"), "left").drop("__of")
+    placed = place_rows(df, keys, order, slices)
     if id_column:
-        id_value = _comparable_id(df, id_column)
-        after_id = _passes(after_id, id_value, "id_mark", marks)
-    kept = after_id
+        placed = _passes(placed, _comparable_id(df, id_column), "__id_start" if marks is not None else None)
     if time_column:
-        time_value = event_epoch(F.col(time_column), df.schema[time_column].dataType)
-        kept = _passes(after_id, time_value, "time_mark", marks)
-    moved = after_id.df.groupBy(*keys, F.lit(0).alias(ALL)).agg(
-        F.max(id_value).alias("id_mark"), F.max(time_value).alias("time_mark"))
-    return kept.df.select(*df.columns), moved
+        time = event_epoch(F.col(time_column), df.schema[time_column].dataType)
+        placed = _passes(placed, time, "__time_start" if marks is not None else None)
+    return placed.df.select(*columns)
+
 
+def _moved_marks(
+    batch: DataFrame, kept: DataFrame, keys: Sequence[str], id_column: str | None, time_column: str | None
+) -> DataFrame:
+    """How far a batch moved the marks.
 
-def _merge_marks(old: DataFrame | None, moved: DataFrame, keys: Sequence[str]) -> DataFrame:
-    both = moved if old is None else old.unionByName(moved)
-    return both.groupBy(*keys).agg(F.max("id_mark").alias("id_mark"), F.max("time_mark").alias("time_mark"))
+    The greatest id of all rows always passes the id test, and the greatest time of the rows that
+    pass it always passes the time test. So ids are taken from the batch and times from what was kept.
+    """
+    place = [*keys, F.lit(0).alias(ALL)]
+    id_value = F.max(_comparable_id(batch, id_column)) if id_column else F.lit(None).cast("bigint")
+    ids = batch.groupBy(*place).agg(id_value.alias("id_mark"), F.lit(None).cast("double").alias("time_mark"))
+    if not time_column:
+        return ids
+    epoch = event_epoch(F.col(time_column), kept.schema[time_column].dataType)
+    times = kept.groupBy(*place).agg(F.max(epoch).alias("time_mark"))
+    return ids.unionByName(times, allowMissingColumns=True)
 
 
 def high_water_stream(
@@ -117,9 +111,10 @@ def high_water_stream(
 
     A batch that is replayed after a failure reads the same earlier marks and overwrites its own
     output, so nothing is lost or doubled. Marks alternate between two slots: batch ``n`` reads the
-    slot of ``n - 1`` and writes over that of ``n - 2``.
+    slot of ``n - 1`` and writes over that of ``n - 2``. Read the sink with ``recursiveFileLookup`` or
+    with its schema, since it is laid out by batch.
     """
-    names = [*keys, ALL]
+    marks_of = [*keys, ALL]
 
     def slot(batch_id: int) -> str:
         return f"{state.rstrip('/')}/slot={batch_id % 2}"
@@ -129,9 +124,16 @@ def high_water_stream(
         old = spark.read.parquet(slot(batch_id - 1)) if batch_id else None
         batch = batch.persist()
         try:
-            kept, moved = _filter(batch, order, keys, id_column, time_column, slices, old)
-            kept.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={batch_id}")
-            _merge_marks(old, moved, names).write.mode("overwrite").parquet(slot(batch_id))
+            target = f"{sink.rstrip('/')}/batch={batch_id}"
+            high_water_filter(
+                batch, order=order, keys=keys, id_column=id_column, time_column=time_column, slices=slices, marks=old,
+            ).write.mode("overwrite").parquet(target)
+            kept = spark.read.schema(batch.schema).parquet(target)
+            moved = _moved_marks(batch, kept, keys, id_column, time_column)
+            both = moved if old is None else old.unionByName(moved)
+            both.groupBy(*marks_of).agg(
+                F.max("id_mark").alias("id_mark"), F.max("time_mark").alias("time_mark"),
+            ).write.mode("overwrite").parquet(slot(batch_id))
         finally:
             batch.unpersist()
 

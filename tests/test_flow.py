@@ -3,7 +3,7 @@ import json
 import pytest
 from conftest import values
 
-from millrace.plans.flow import FlowError, gate_table, load_spec, plan_flow, validate_steps
+from millrace.plans.flow import FlowError, gate_table, load_spec, plan_flow, validate_spec, validate_steps
 from millrace.plans.job import run_job
 from millrace.plans.shipped import BRACKETS, ENRICHMENT
 
@@ -62,6 +62,13 @@ def test_validation_messages():
     assert validate_steps(BRACKETS["steps"]) == validate_steps(ENRICHMENT["steps"]) == []
 
 
+def test_spec_messages():
+    assert validate_spec(BRACKETS) == validate_spec(ENRICHMENT) == []
+    assert validate_spec({"steps": [{"type": "filter"}], "output": {"table": "t"}}) == [
+        "spec requires 'transform_id'", "spec requires 'source'", "output requires 'format'",
+        "steps[0]: filter requires 'condition'"]
+
+
 def test_unknown_step_is_an_error(products):
     with pytest.raises(FlowError):
         plan_flow(products, [{"type": "pivot"}])
