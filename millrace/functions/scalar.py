@@ -16,6 +16,12 @@ ISO_OFFSET = r"(Z|[+-]\d{2}:?\d{2})"
 ISO_PATTERN = rf"^{ISO_DATE}([T ]{ISO_CLOCK}{ISO_OFFSET}?)?$"
 ISO_ZONED = rf"^{ISO_DATE}[T ]{ISO_CLOCK}{ISO_OFFSET}$"
 
+# The white-space characters of Unicode.
+WHITE_SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Digits of a payment card number.
 SHORTEST_CARD, LONGEST_CARD = 13, 19
 
@@ -124,9 +130,10 @@ def power(a: Column, b: Column) -> Column:
 # ---------------------------------------------------------------- text and numbers
 
 
-def strip_text(c: Column) -> Column:
-    """Drop leading and trailing white space of any kind, not only blanks."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+def strip_text(c: Column, side: str = "both") -> Column:
+    """Drop white space of any kind, not only blanks, from both ends or from one of them."""
+    trim = {"both": F.trim, "left": F.ltrim, "right": F.rtrim}[side]
+    return trim(c, F.lit(WHITE_SPACE))
 
 
 def blank(c: Column) -> Column:
@@ -209,8 +216,9 @@ def iso_is_zoneless(c: Column) -> Column:
 def iso_epoch(c: Column) -> Column:
     """Seconds since 1970 of an ISO-8601 text, null when malformed. Zone-less text is UTC."""
     text = F.replace(strip_text(c), F.lit(","), F.lit("."))
-    # The cast wants seconds in front of an offset.
-    text = F.regexp_replace(text, rf"^({ISO_DATE}[T ]\d{{2}}:\d{{2}})([Z+-])", "$1:00$2")
+    # The cast wants seconds between the minutes and an offset.
+    full = F.concat(F.substring(text, 1, 16), F.lit(":00"), F.substring(text, 17, 6))
+    text = F.when(F.substring(text, 17, 1).isin("Z", "+", "-"), full).otherwise(text)
     stamp = F.when(text.rlike(ISO_PATTERN), text.try_cast("timestamp"))
     return F.unix_micros(stamp) / F.lit(1e6)
 

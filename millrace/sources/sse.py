@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.functions import strip_text
 from millrace.operators.once import with_once
 
 DONE = "[DONE]"
+TO_END = 2**31 - 1
 
 
 def read_sse(spark: SparkSession, path: str, *, stream: bool = False) -> DataFrame:
@@ -17,12 +19,12 @@ def read_sse(spark: SparkSession, path: str, *, stream: bool = False) -> DataFra
 
 def sse_fields(block: Column) -> tuple[Column, Column]:
     """Payload (``data:`` lines joined by newlines, null without any) and event id of a block."""
-    lines = F.transform(F.split(block, "\n"), lambda line: F.regexp_replace(line, r"\r+$", ""))
+    lines = F.transform(F.split(block, "\n"), lambda line: F.rtrim(line, F.lit("\r")))
     data = F.filter(lines, lambda line: line.startswith("data:"))
     ids = F.filter(lines, lambda line: line.startswith("id:"))
-    left_stripped = F.transform(data, lambda d: F.regexp_replace(F.substring(d, 6, 2**31 - 1), r"(?U)^\s+", ""))
+    left_stripped = F.transform(data, lambda d: strip_text(F.substring(d, 6, TO_END), "left"))
     payload = F.when(F.size(data) > 0, F.array_join(left_stripped, "\n"))
-    last_id = F.regexp_replace(F.substring(F.get(ids, F.size(ids) - 1), 4, 2**31 - 1), r"(?U)^\s+|\s+$", "")
+    last_id = strip_text(F.substring(F.get(ids, F.size(ids) - 1), 4, TO_END))
     return payload, F.nullif(last_id, F.lit(""))
 
 
