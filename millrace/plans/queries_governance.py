@@ -68,7 +68,7 @@ def pii_columns(t: Tables) -> DataFrame:
     WITH d AS (SELECT arg_min(kind, doc_id) FILTER (kind IS NOT NULL) AS kind, count(*) AS n
                FROM (SELECT doc_id, {KIND_SQL} AS kind FROM documents))
     SELECT 'documents' AS source_id, CASE WHEN kind IS NULL THEN 'public' ELSE 'confidential' END AS classification,
-           coalesce('text:' || kind, '') AS pii, 3 AS scanned_columns, n AS scanned_rows FROM d
+           coalesce('text:' || kind, '') AS pii, CAST(3 AS BIGINT) AS scanned_columns, n AS scanned_rows FROM d
     UNION ALL SELECT 'customer', 'confidential', 'c_name:name', 2, count(*) FROM customer
     UNION ALL SELECT 'labels', 'public', '', 2, count(*) FROM labels
     UNION ALL SELECT 'part', 'internal', 'p_name:name', 2, count(*) FROM part

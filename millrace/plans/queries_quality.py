@@ -76,7 +76,7 @@ def dq_unique_key(t: Tables) -> DataFrame:
 
 @query("dq_row_count", """
     SELECT 'row_count' AS check_type, CAST(NULL AS VARCHAR) AS "column", 'critical' AS severity,
-           CASE WHEN n BETWEEN 1 AND 1000000000000 THEN 0 ELSE 1 END AS failed_count,
+           CAST(CASE WHEN n BETWEEN 1 AND 1000000000000 THEN 0 ELSE 1 END AS BIGINT) AS failed_count,
            n NOT BETWEEN 1 AND 1000000000000 AS violated FROM (SELECT count(*) AS n FROM lineitem)
     UNION ALL
     SELECT 'row_count', NULL, 'warning', CASE WHEN n <= 10 THEN 0 ELSE 1 END, n > 10 FROM (SELECT count(*) AS n FROM lineitem)
@@ -194,7 +194,7 @@ def dq_violations(t: Tables) -> DataFrame:
         UNION ALL SELECT 'regex_match', 'o_orderpriority', o_orderpriority FROM orders
         WHERE NOT regexp_matches(o_orderpriority, '^[1-3]-')),
     r AS (SELECT *, row_number() OVER (PARTITION BY check_type ORDER BY value) AS rank FROM f)
-    SELECT check_type, "column", value, rank FROM r WHERE rank <= 5
+    SELECT check_type, "column", value, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5
 """)
 def sampled_failures(t: Tables) -> DataFrame:
     checks = [{"type": "valid_range", "column": "o_totalprice", "max": 490000},

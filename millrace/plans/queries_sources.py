@@ -239,7 +239,7 @@ def write_curated_roundtrip(t: Tables) -> DataFrame:
                 ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS timestamp,
            CASE WHEN event_type IN ('click', 'signup') THEN value END AS temperature_c,
            CASE WHEN event_type = 'click' THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS humidity,
-           CASE WHEN event_type = 'click' THEN 36.0 WHEN event_type = 'purchase' THEN 4.43 END AS wind_speed_kmh,
+           CAST(CASE WHEN event_type = 'click' THEN 36.0 WHEN event_type = 'purchase' THEN 4.43 END AS DOUBLE) AS wind_speed_kmh,
            CASE event_type WHEN 'click' THEN 'clear' WHEN 'view' THEN '' WHEN 'error' THEN 'fetch_error'
                 ELSE 'short' END AS description
     FROM events

@@ -8,8 +8,9 @@ read, pass and leave the mark alone. Marks are kept per key; without keys there
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions import event_epoch, number_text
@@ -90,6 +91,48 @@ def _moved_marks(
     return ids.unionByName(times, allowMissingColumns=True)
 
 
+def _merged(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """One row per key. A mark is a maximum, so parts merge in any order and any number of times."""
+    both = reduce(DataFrame.unionByName, parts)
+    return both.groupBy(*keys, ALL).agg(F.max("id_mark").alias("id_mark"), F.max("time_mark").alias("time_mark"))
+
+
+class _MarkLog:
+    """Marks of a stream as a folder: what each batch moved, and a merged snapshot per period.
+
+    A period is ``every`` batches. Its snapshot holds everything before it. Two halves of folders take
+    turns, so the log stays bounded without deleting, and what a replayed batch needs is still there.
+    """
+
+    def __init__(self, folder: str, keys: Sequence[str], every: int) -> None:
+        self.folder, self.keys, self.every = folder.rstrip("/"), keys, every
+
+    def _snapshot(self, period: int) -> str:
+        return f"{self.folder}/half={period % 2}/snapshot"
+
+    def _delta(self, batch_id: int) -> str:
+        period, place = divmod(batch_id, self.every)
+        return f"{self.folder}/half={period % 2}/delta-{place}"
+
+    def _parts(self, spark: SparkSession, period: int, end: int) -> list[DataFrame]:
+        """Snapshot of a period and the batches of it before ``end``."""
+        paths = [self._snapshot(period)] if period else []
+        paths += [self._delta(b) for b in range(period * self.every, end)]
+        return [spark.read.parquet(p) for p in paths]
+
+    def before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """The marks all earlier batches left; the first batch of a period writes its snapshot."""
+        period = batch_id // self.every
+        if period and batch_id == period * self.every:
+            merged = _merged(self._parts(spark, period - 1, batch_id), self.keys)
+            merged.write.mode("overwrite").parquet(self._snapshot(period))
+        parts = self._parts(spark, period, batch_id)
+        return _merged(parts, self.keys) if parts else None
+
+    def write(self, moved: DataFrame, batch_id: int) -> None:
+        _merged([moved], self.keys).write.mode("overwrite").parquet(self._delta(batch_id))
+
+
 def high_water_stream(
     stream: DataFrame,
     *,
@@ -101,27 +144,25 @@ def high_water_stream(
     id_column: str | None = None,
     time_column: str | None = None,
     slices: int | None = None,
+    snapshot_every: int = 20,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Run the same filter over a stream and append what passes to ``sink``.
 
-    Each micro-batch is filtered with the parallel plan above, starting from the marks of the batch
+    Each micro-batch is filtered with the parallel plan above, starting from the marks of the batches
     before, so a hot key (or the single global mark) does not end up in one task. ``sink``, ``state``
     and ``checkpoint`` are folders all executors share.
 
-    A batch that is replayed after a failure reads the same earlier marks and overwrites its own
-    output, so nothing is lost or doubled. Marks alternate between two slots: batch ``n`` reads the
-    slot of ``n - 1`` and writes over that of ``n - 2``. Read the sink with ``recursiveFileLookup`` or
+    A batch writes only the marks it moved; all marks are merged every ``snapshot_every`` batches, a
+    number that must stay the same over restarts. A batch that is replayed after a failure reads the
+    same earlier marks and overwrites its own output, so nothing is lost or doubled. Read the sink
     with its schema, since it is laid out by batch.
     """
-    marks_of = [*keys, ALL]
-
-    def slot(batch_id: int) -> str:
-        return f"{state.rstrip('/')}/slot={batch_id % 2}"
+    marks = _MarkLog(state, keys, snapshot_every)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        old = spark.read.parquet(slot(batch_id - 1)) if batch_id else None
+        old = marks.before(spark, batch_id)
         batch = batch.persist()
         try:
             target = f"{sink.rstrip('/')}/batch={batch_id}"
@@ -129,11 +170,7 @@ def high_water_stream(
                 batch, order=order, keys=keys, id_column=id_column, time_column=time_column, slices=slices, marks=old,
             ).write.mode("overwrite").parquet(target)
             kept = spark.read.schema(batch.schema).parquet(target)
-            moved = _moved_marks(batch, kept, keys, id_column, time_column)
-            both = moved if old is None else old.unionByName(moved)
-            both.groupBy(*marks_of).agg(
-                F.max("id_mark").alias("id_mark"), F.max("time_mark").alias("time_mark"),
-            ).write.mode("overwrite").parquet(slot(batch_id))
+            marks.write(_moved_marks(batch, kept, keys, id_column, time_column), batch_id)
         finally:
             batch.unpersist()
 
