@@ -30,17 +30,17 @@ def check_messages(df: DataFrame, message: str) -> DataFrame:
     ], F.schema_of_variant("__body").alias("body"))
     parsed = with_once(parsed, "__shape", shapes)
     source, action = F.col("__f.source_id").try_cast("string"), F.col("__f.action").try_cast("string")
-    # Whole numbers and texts of a whole number count as an integer priority.
-    whole = F.col("__shape.priority").rlike(r"^(BIGINT|STRING|DECIMAL\(\d+,0\))$")
+    # Any scalar that stands for a whole number will do: 3, 3.0, "3" or true.
+    number = F.when(~F.col("__shape.priority").rlike("^(OBJECT|ARRAY|VOID)"), F.col("__f.priority").try_cast("double"))
     priority = F.when(F.col("__f.priority").isNull(), DEFAULT_PRIORITY).otherwise(
-        F.when(whole, F.col("__f.priority").try_cast("int")))
+        F.when(number.between(LOWEST, HIGHEST) & (number == F.floor(number)), number.cast("int")))
     is_object = F.coalesce(F.col("__shape.body").startswith("OBJECT"), F.lit(False))
     rules = {
         "message is not a JSON object": ~is_object,
         "source_id missing": is_object & (
             source.isNull() | (F.length(source) < 1) | (F.col("__shape.source_id") != "STRING")),
         "action not allowed": is_object & ~F.coalesce(action.isin(*ACTIONS), F.lit(False)),
-        "priority not within 1..5": is_object & ~F.coalesce(priority.between(LOWEST, HIGHEST), F.lit(False)),
+        "priority not within 1..5": is_object & priority.isNull(),
         "payload is not an object": is_object & F.col("__f.payload").isNotNull()
         & ~F.col("__shape.payload").startswith("OBJECT"),
     }

@@ -128,6 +128,10 @@ def test_kafka_needs_its_connector(spark):
 @pytest.mark.parametrize("message, reasons", [
     ('{"source_id":" s ","action":"ingest"}', []),
     ('{"source_id":" ","action":"ingest","priority":"5","payload":{}}', []),
+    ('{"source_id":"s","action":"ingest","priority":3.0}', []),
+    ('{"source_id":"s","action":"ingest","priority":"high"}', ["priority not within 1..5"]),
+    ('{"source_id":"s","action":"ingest","priority":99999999999}', ["priority not within 1..5"]),
+    ('{"source_id":"s","action":"ingest","payload":null}', ["payload is not an object"]),
     ('{"source_id":"","action":"ingest"}', ["source_id missing"]),
     ('{"action":"backfill","priority":1}', ["source_id missing"]),
     ('{"source_id":7,"action":"ingest"}', ["source_id missing"]),
