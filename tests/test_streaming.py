@@ -2,7 +2,6 @@ import random
 
 import pytest
 from conftest import values
-from pyspark.sql import functions as F
 
 from millrace.streaming import messages as M
 from millrace.streaming.marks import high_water_filter, high_water_stream
