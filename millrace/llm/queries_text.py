@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.common import table
+from millrace.llm.license_scan import scan_licenses
 from millrace.llm.line_quality import clean_lines
 from millrace.llm.registry import query
 
@@ -14,3 +15,9 @@ def op8_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     return clean_lines(table(spark, folder, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_lines_removed", "chars_removed")
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
