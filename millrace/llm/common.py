@@ -54,3 +54,30 @@ def free_name(df: DataFrame, *wanted: str) -> list[str]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+SPANS = "array<struct<start:int,end:int,value:string>>"
+
+
+def spans_of(text: Column, pattern: str | Column, group: int = 0, size=F.length) -> Column:
+    """Leftmost non-overlapping matches in code points: array of (start, end, value of the group).
+
+    Spark has no function for match positions; the pieces between matches and the matches themselves add
+    up to the text, so their running lengths are the positions. ``size`` may measure in another unit.
+    """
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    between = F.transform(F.split(text, pattern, -1), size)
+    matches = F.regexp_extract_all(text, pattern, F.lit(0))
+    values = matches if group == 0 else F.regexp_extract_all(text, pattern, F.lit(group))
+    steps = F.zip_with(
+        F.slice(between, F.lit(1), F.size(matches)), F.arrays_zip(matches.alias("m"), values.alias("v")),
+        lambda gap, x: F.struct(gap.alias("gap"), size(x["m"]).alias("size"), x["v"].alias("value")))
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("found"))
+    return F.aggregate(
+        steps, begin,
+        lambda acc, x: F.struct(
+            (acc["at"] + x["gap"] + x["size"]).alias("at"),
+            F.array_append(acc["found"], F.struct(
+                (acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["size"]).alias("end"),
+                x["value"].alias("value"))).alias("found")),
+        lambda acc: acc["found"])

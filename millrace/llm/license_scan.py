@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.common import whole
+from millrace.llm.common import spans_of, whole
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -180,21 +180,6 @@ def words_before(piece: Column) -> Column:
     return ((F.length(piece) - F.length(F.replace(piece, F.lit(" "), F.lit("")))) / 2).cast("int")
 
 
-def places(line: Column, pattern: Column) -> Column:
-    """First word and end (exclusive) of every match of a spaced pattern, leftmost first."""
-    gaps = F.transform(F.split(line, pattern, -1), words_before)
-    sizes = F.transform(F.regexp_extract_all(line, pattern, F.lit(0)), words_before)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("found"))
-    return F.aggregate(
-        F.zip_with(F.slice(gaps, F.lit(1), F.size(sizes)), sizes, lambda g, s: F.struct(g.alias("gap"), s.alias("size"))),
-        start,
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["size"]).alias("at"),
-            F.array_append(acc["found"], F.struct(
-                (acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["size"]).alias("end"))).alias("found")),
-        lambda acc: acc["found"])
-
-
 def detections(words: Column, line: Column, rules: list[dict]) -> Column:
     """Surviving detections of one text, by start: array of (start, end, priority, number, label, weight)."""
     text = json.dumps([r | {"pattern": spaced(r["pattern"])} for r in rules])
@@ -202,7 +187,7 @@ def detections(words: Column, line: Column, rules: list[dict]) -> Column:
     keywords = sorted({r["keyword"] for r in rules})
     present = F.array_intersect(words, F.array(*[F.lit(k) for k in keywords]))
     open_rules = F.filter(table, lambda r: F.array_contains(present, r["keyword"]) & F.rlike(line, r["pattern"]))
-    raw = F.flatten(F.transform(open_rules, lambda r: F.transform(places(line, r["pattern"]), lambda x: F.struct(
+    raw = F.flatten(F.transform(open_rules, lambda r: F.transform(spans_of(line, r["pattern"], size=words_before), lambda x: F.struct(
         x["start"].alias("start"), (-x["end"]).alias("minus_end"), r["priority"].alias("priority"),
         r["number"].alias("number"), r["label"].alias("label"), r["weight"].alias("weight")))))
     # In this order nothing later can contain what came before; reach[p] is the furthest end at priority p.
@@ -225,7 +210,7 @@ def detections(words: Column, line: Column, rules: list[dict]) -> Column:
 def phrase_places(line: Column, phrase: str, label: str) -> Column:
     pattern = F.lit(spaced(phrase))
     return F.when(F.contains(line, pattern), F.transform(
-        places(line, pattern), lambda x: F.struct(x["start"].alias("start"), F.lit(label).alias("label")))).otherwise(
+        spans_of(line, pattern, size=words_before), lambda x: F.struct(x["start"].alias("start"), F.lit(label).alias("label")))).otherwise(
         F.array().cast("array<struct<start:int,label:string>>"))
 
 

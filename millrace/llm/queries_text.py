@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm.common import table
 from millrace.llm.license_scan import scan_licenses
 from millrace.llm.line_quality import clean_lines
 from millrace.llm.registry import query
+from millrace.llm.secret_links import link_secrets
 
 
 @query("op8_line_quality")
@@ -21,3 +22,19 @@ def op8_line_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def _joined(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+@query("op3_secret_links")
+def op3_secret_links(spark: SparkSession, folder: str) -> DataFrame:
+    found = link_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("secret_spans", lambda x: x["kind"].isin("assign", "access", "hex"))
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter("secret_spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+          for kind in ("assign", "access", "hex")],
+        F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("secret_spans")).alias("spans"),
+        F.size("credentials").cast("long").alias("n_credentials"))
