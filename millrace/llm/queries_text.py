@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from millrace.llm.common import table
 from millrace.llm.license_scan import scan_licenses
 from millrace.llm.line_quality import clean_lines
+from millrace.llm.pii_transduce import KINDS, find_personal_data
 from millrace.llm.registry import query
 from millrace.llm.secret_links import link_secrets
 
@@ -38,3 +39,13 @@ def op3_secret_links(spark: SparkSession, folder: str) -> DataFrame:
           for kind in ("assign", "access", "hex")],
         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("secret_spans")).alias("spans"),
         F.size("credentials").cast("long").alias("n_credentials"))
+
+
+@query("op2_pii_transduce")
+def op2_pii_transduce(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_personal_data(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("pii_spans", lambda x: x["disguised"] == "no")
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("pii_spans")).alias("spans"))
