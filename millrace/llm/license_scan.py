@@ -127,8 +127,8 @@ def build_rules() -> list[dict]:
     """All signature rules, best priority first; a number is a rule's place in the order."""
     rules = []
 
-    def add(priority: int, label: str, keyword: str, pattern: str, weight: float) -> None:
-        rules.append({"priority": priority, "label": label, "keyword": keyword, "pattern": pattern, "weight": weight})
+    def add(priority: int, label: str, keyword: str, pattern: str, weight: float, partners: tuple[str, ...] = ()) -> None:
+        rules.append({"priority": priority, "label": label, "keyword": keyword, "partners": partners, "pattern": pattern, "weight": weight})
 
     for family in FAMILIES:
         name = f"(?:{family.name})"
@@ -144,8 +144,8 @@ def build_rules() -> list[dict]:
                 add(4, label, family.keyword, f"(?:{family.short}) ?v?{v}", 0.8)
         if not family.versions:
             add(1, family.label, "spdx", f"spdx license identifier {family.label.replace('-', ' ')}", 1.0)
-        add(5, family.label, family.keyword, f"{GRANT}{name}(?: public)?(?: licen[sc]e)?", 0.8)
-        add(6, family.label, family.keyword, f"{name}(?: public)? licen[sc]e", 0.6)
+        add(5, family.label, family.keyword, f"{GRANT}{name}(?: public)?(?: licen[sc]e)?", 0.8, ("under",))
+        add(6, family.label, family.keyword, f"{name}(?: public)? licen[sc]e", 0.6, ("license", "licence"))
     for elements, name in COMMONS.items():
         short = f"cc-{elements.replace(' ', '-')}"
         for version in COMMONS_VERSIONS:
@@ -167,7 +167,8 @@ def spaced(pattern: str) -> str:
     return " " + pattern.replace(" ", "  ").replace("  ?", "(?:  )?") + " "
 
 
-RULE_SCHEMA = "array<struct<number:int,priority:int,label:string,keyword:string,pattern:string,weight:double>>"
+RULE_SCHEMA = "array<struct<number:int,priority:int,label:string,keyword:string,partners:array<string>,pattern:string,weight:double>>"
+FOUND = "array<struct<start:int,minus_end:int,priority:int,number:int,label:string,weight:double>>"
 
 
 def lower_ascii(text: Column) -> Column:
@@ -180,21 +181,33 @@ def words_before(piece: Column) -> Column:
     return ((F.length(piece) - F.length(F.replace(piece, F.lit(" "), F.lit("")))) / 2).cast("int")
 
 
-def detections(words: Column, line: Column, rules: list[dict]) -> Column:
-    """Surviving detections of one text, by start: array of (start, end, priority, number, label, weight)."""
-    text = json.dumps([r | {"pattern": spaced(r["pattern"])} for r in rules])
-    table = F.from_json(F.lit(text), RULE_SCHEMA)
-    keywords = sorted({r["keyword"] for r in rules})
-    present = F.array_intersect(words, F.array(*[F.lit(k) for k in keywords]))
-    open_rules = F.filter(table, lambda r: F.array_contains(present, r["keyword"]) & F.rlike(line, r["pattern"]))
-    raw = F.flatten(F.transform(open_rules, lambda r: F.transform(spans_of(line, r["pattern"], size=words_before), lambda x: F.struct(
+def rule_table(rules: list[dict]) -> Column:
+    return F.from_json(F.lit(json.dumps([r | {"pattern": spaced(r["pattern"])} for r in rules])), RULE_SCHEMA)
+
+
+def gate_words(rules: list[dict]) -> Column:
+    """Words that can open a rule or a base phrase."""
+    words = {w for r in rules for w in (r["keyword"], *r["partners"])} | {p.split()[0] for p in BASE_PHRASES}
+    return F.array(*[F.lit(w) for w in sorted(words)])
+
+
+def open_rules(present: Column, rules: list[dict]) -> Column:
+    """Rules whose keyword, and one of whose partner words if it has any, the text holds."""
+    return F.when(F.size(present) > 0, F.filter(rule_table(rules), lambda r: F.array_contains(present, r["keyword"]) & (
+        (F.size(r["partners"]) == 0) | F.arrays_overlap(present, r["partners"])))).otherwise(F.array().cast(RULE_SCHEMA))
+
+
+def detections(line: Column, opened: Column, rules: list[dict]) -> Column:
+    """Surviving detections of one text, by start: array of (start, minus_end, priority, number, label, weight)."""
+    fitting = F.filter(opened, lambda r: F.rlike(line, r["pattern"]))
+    raw = F.flatten(F.transform(fitting, lambda r: F.transform(spans_of(line, r["pattern"], size=words_before), lambda x: F.struct(
         x["start"].alias("start"), (-x["end"]).alias("minus_end"), r["priority"].alias("priority"),
         r["number"].alias("number"), r["label"].alias("label"), r["weight"].alias("weight")))))
     # In this order nothing later can contain what came before; reach[p] is the furthest end at priority p.
     levels = max(r["priority"] for r in rules)
     start = F.struct(
         F.array_repeat(F.lit(0), levels + 1).alias("reach"),
-        F.array().cast("array<struct<start:int,minus_end:int,priority:int,number:int,label:string,weight:double>>").alias("kept"))
+        F.array().cast(FOUND).alias("kept"))
 
     def step(acc: Column, x: Column) -> Column:
         end = -x["minus_end"]
@@ -203,8 +216,8 @@ def detections(words: Column, line: Column, rules: list[dict]) -> Column:
         return F.struct(
             reach.alias("reach"), F.when(inside, acc["kept"]).otherwise(F.array_append(acc["kept"], x)).alias("kept"))
 
-    return F.when(F.size(present) > 0, F.aggregate(F.sort_array(raw), start, step, lambda acc: acc["kept"])).otherwise(
-        F.array().cast("array<struct<start:int,minus_end:int,priority:int,number:int,label:string,weight:double>>"))
+    return F.when(F.size(opened) > 0, F.aggregate(F.sort_array(raw), start, step, lambda acc: acc["kept"])).otherwise(
+        F.array().cast(FOUND))
 
 
 def phrase_places(line: Column, phrase: str, label: str) -> Column:
@@ -223,14 +236,22 @@ def scan_licenses(df: DataFrame, text: str = "text", rules: list[dict] | None =
     rules = rules if rules is not None else build_rules()
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "licenses"]
     rest = [F.col(f"`{c}`") for c in df.columns if c.lower() not in names]
-    words = F.array_remove(F.split(lower_ascii(whole(F.col(f"`{text}`"))), NOT_WORD), "")
-    lined = df.select(*rest, words.alias("_l_words")).select(
-        *rest, "_l_words", F.concat(F.lit(" "), F.array_join("_l_words", "  "), F.lit(" ")).alias("_l_line"))
+    body = whole(F.col(f"`{text}`"))
+    # Full lower-casing is fast and makes the same words, but may turn a foreign letter into an ASCII one: good
+    # enough to open rules. The exact line is only made for texts that open one.
+    read = df.select(*rest, body.alias("_l_text"), F.array_remove(F.split(F.lower(body), NOT_WORD), "").alias("_l_words"))
+    gated = read.select(
+        *rest, "_l_text", F.size("_l_words").cast("long").alias("n_words"),
+        F.array_intersect("_l_words", gate_words(rules)).alias("_l_present"))
+    opened = gated.select(*rest, "_l_text", "n_words", "_l_present", open_rules(F.col("_l_present"), rules).alias("_l_open"))
+    wanted = (F.size("_l_open") > 0) | F.arrays_overlap("_l_present", F.array(*[F.lit(p.split()[0]) for p in BASE_PHRASES]))
+    words = F.array_remove(F.split(lower_ascii(F.col("_l_text")), NOT_WORD), "")
+    lined = opened.select(*rest, "n_words", "_l_open", F.when(
+        wanted, F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))).otherwise("").alias("_l_line"))
     base = F.flatten(F.array(*[
         phrase_places(F.col("_l_line"), phrase, label) for phrase, label in BASE_PHRASES.items()]))
     found = lined.select(
-        *rest, F.size("_l_words").cast("long").alias("n_words"), base.alias("_l_base"),
-        detections(F.col("_l_words"), F.col("_l_line"), rules).alias("_l_found"))
+        *rest, "n_words", base.alias("_l_base"), detections(F.col("_l_line"), F.col("_l_open"), rules).alias("_l_found"))
     base_labels = F.array_sort(F.array_distinct(F.transform("_l_base", lambda x: x["label"])))
     named = F.array_union(F.transform("_l_found", lambda x: x["label"]), F.transform("_l_base", lambda x: x["label"]))
     best = F.array_max(F.transform("_l_found", lambda x: x["weight"]))
