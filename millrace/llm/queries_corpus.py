@@ -8,6 +8,7 @@ from millrace.llm.common import table
 from millrace.llm.registry import query
 from millrace.llm.signature_trees import jaccard_groups
 from millrace.llm.vector_sharding import shard_documents
+from millrace.llm.wand_decontamination import find_contamination
 
 
 @query("op4_vector_sharding")
@@ -20,3 +21,8 @@ def op4_vector_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op5_signature_trees(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_groups(table(spark, folder, "documents").select("doc_id", "text"), width=4, percent=85).select(
         "doc_id", "n_shingles", "component_id", "class_id")
+
+
+@query("op6_wand_decontamination")
+def op6_wand_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return find_contamination(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
