@@ -1,9 +1,9 @@
 """N-gram Jaccard join: documents whose word shingles overlap enough, and the groups they form.
 
 1. Documents with equal shingle sets form a class; one row per class goes on.
-2. Two sets that are similar enough share one of their first shingles in any common order. The order puts
-   shingles that many sets hold last, so first shingles are rare ones. Sets that share one lie in the same
-   neighbourhood (a connected component), and no link crosses neighbourhoods.
+2. Two sets that are similar enough share one of their first shingles in any common order. A first round orders by
+   hash and counts; the second puts those found often last, so that first shingles are rare. Sets of fitting
+   size that share one lie in the same neighbourhood (a connected component), and no link crosses neighbourhoods.
 3. In a neighbourhood the sets stand in a signature tree: every node holds the union of the bitmaps below it and
    their range of sizes. Two nodes are walked down together only while the overlap that their bitmaps and
    sizes allow reaches the threshold; pairs of leaves are compared exactly. Sets that are already connected are
@@ -33,8 +33,7 @@ from millrace.llm.common import keep, whole
 from millrace.llm.components import connected_components
 
 BLOCK_SHINGLES = 8_000_000  # shingles of a neighbourhood in one task
-COUNT_SHINGLES = 2_000_000  # shingles counted at a time
-FREQUENT = 50  # sets that hold a shingle which goes to the end of the order
+FREQUENT = 5  # sets with a shingle among their first, at which it goes to the end of the order
 FREQUENT_KEPT = 1_000_000  # the order remembers so many shingles at most; any order gives the same links
 PARTS = 64  # tasks that share a frequent shingle
 FANOUT = 16
@@ -75,12 +74,6 @@ def first_shingles(shingles: np.ndarray, frequent: np.ndarray, percent: int) ->
     return np.concatenate([shingles[~late], shingles[late]])[:count]
 
 
-def count_frequent(sets: list[np.ndarray], least: int = 4) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several of the sets hold, with their counts."""
-    found, counts = np.unique(np.concatenate(sets), return_counts=True)
-    return found[counts >= least].astype(np.int64), counts[counts >= least]
-
-
 class SignatureTree:
     """Levels of nodes over sets in order of size; level 0 are the sets themselves."""
 
@@ -168,54 +161,30 @@ def linked(nodes: list[int], sets: list[np.ndarray], percent: int, part: list[in
 
 
 def _number_documents(docs: DataFrame, width: int) -> DataFrame:
-    """Rows (doc_id, n_shingles, node), and rows (shingle, sets) with what stretches of the input hold often."""
-    schema = StructType(docs.select("doc_id").schema.fields).add("n_shingles", "long").add("node", "long").add(
-        "shingle", "long").add("sets", "long")
+    """Rows (doc_id, n_shingles, node): the size and the class number of every document's set."""
+    schema = StructType(docs.select("doc_id").schema.fields).add("n_shingles", "long").add("node", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, seen, id_type = [], 0, set(), pa.int64()
-
-        def rows(ids: pa.Array, n: list, nodes: list, shingles=(), counts=()) -> pa.RecordBatch:
-            blank = len(shingles)
-            return pa.RecordBatch.from_arrays([
-                ids, pa.array(n, pa.int64()), pa.array(nodes, pa.int64()),
-                pa.array(shingles if blank else [None] * len(ids), pa.int64()),
-                pa.array(counts if blank else [None] * len(ids), pa.int64())], names=schema.names)
-
-        def counted() -> Iterator[pa.RecordBatch]:
-            found, counts = count_frequent(held)
-            if len(found):
-                none = [None] * len(found)
-                yield rows(pa.nulls(len(found), id_type), none, none, found, counts)
-
         for batch in batches:
-            id_type = batch.schema.field("doc_id").type
             n, nodes = [], []
             for body in batch.column("text"):
                 shingles = shingle_set(body.as_py(), width)
-                number = class_number(shingles) if len(shingles) else None
                 n.append(len(shingles))
-                nodes.append(number)
-                if number is not None and number not in seen:
-                    seen.add(number)
-                    held.append(shingles)
-                    size += len(shingles)
-                    if size >= COUNT_SHINGLES:
-                        yield from counted()
-                        held, size, seen = [], 0, set()
-            yield rows(batch.column("doc_id"), n, nodes)
-        if held:
-            yield from counted()
+                nodes.append(class_number(shingles) if len(shingles) else None)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(nodes, pa.int64())], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
 def _first_of_documents(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Rows (shingle, part, node): first shingles; those that many sets hold are dealt to parts, others have part -1."""
+    """Rows (shingle, part, node, n): first shingles of every class and the size of its set.
+
+    Part is -1; frequent shingles are dealt to parts by size band and, within a band, by node.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[int] = set()  # copies in one task are told once; rows told twice do no harm
         for batch in batches:
-            found, nodes, counts = [], [], []
+            found, nodes, sizes = [], [], []
             for body in batch.column("text"):
                 shingles = shingle_set(body.as_py(), width)
                 number = class_number(shingles) if len(shingles) else None
@@ -224,31 +193,47 @@ def _first_of_documents(docs: DataFrame, frequent: np.ndarray, width: int, perce
                 if len(seen) > 1_000_000:
                     seen.clear()
                 seen.add(number)
-                first = first_shingles(shingles, frequent, percent)
-                found.append(first)
+                found.append(first_shingles(shingles, frequent, percent))
                 nodes.append(number)
-                counts.append(len(first))
+                sizes.append(len(shingles))
             if found:
+                counts = [len(f) for f in found]
                 values = np.concatenate(found)
-                node = np.repeat(np.array(nodes, np.int64), counts)
+                node, size = np.repeat(np.array(nodes, np.int64), counts), np.repeat(np.array(sizes, np.int32), counts)
                 late = np.isin(values, frequent) if len(frequent) else np.zeros(len(values), bool)
-                part = np.where(late, node & (PARTS - 1), -1)
+                band = np.floor(np.log(size) / np.log(100 / percent)).astype(np.int64)
+                part = np.where(late, band * PARTS + (node & (PARTS - 1)), -1).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(values.astype(np.int64)), pa.array(part.astype(np.int32)), pa.array(node)], names=["shingle", "part", "node"])
+                    [pa.array(values.view(np.int64)), pa.array(part), pa.array(node), pa.array(size)], names=["shingle", "part", "node", "n"])
+
+    return docs.select("text").mapInArrow(run, "shingle long, part int, node long, n int")
 
-    return docs.select("text").mapInArrow(run, "shingle long, part int, node long")
 
+def _neighbour_edges(first: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) that connect all classes which share a first shingle and are of fitting size.
 
-def _neighbour_edges(first: DataFrame) -> DataFrame:
-    """Edges (hub, node) that connect all classes which share a first shingle."""
-    hub = F.min("node").over(Window.partitionBy("shingle", "part"))
-    # Most shingles are held once and end here. A frequent one has a hub in every part.
-    near = keep(first.withColumn("hub", hub).filter("node <> hub OR part >= 0").select(
-        F.when(F.col("part") >= 0, F.col("shingle")).alias("shingle"), "hub", "node").distinct(), "near")
-    hubs = near.filter("shingle IS NOT NULL").select("shingle", "hub").distinct()
-    first_hub = hubs.groupBy("shingle").agg(F.min("hub").alias("first"))
-    return near.select("hub", "node").union(hubs.join(first_hub, "shingle").select("first", "hub")).filter(
-        "hub <> node").distinct()
+    The holders of a shingle stand in order of size and each is linked to the one before, if that is large
+    enough: between two of fitting size all steps fit. The parts of a frequent shingle are linked afterwards.
+    """
+    fits = lambda small, large: small * 100 >= large * percent
+    order = Window.partitionBy("shingle", "part").orderBy("n", "node")
+    before = F.lag(F.struct("n", "node")).over(order)
+    near = keep(first.withColumn("before", before).select(
+        F.when(F.col("part") >= 0, F.col("shingle")).alias("shingle"), F.when(F.col("part") >= 0, F.col("part")).alias("part"),
+        "n", "node", F.when(fits(F.col("before.n"), F.col("n")), F.col("before.node")).alias("before"),
+    ).filter("before IS NOT NULL OR part IS NOT NULL").distinct(), "near")
+    steps = near.filter("before IS NOT NULL").select(F.col("before").alias("a"), F.col("node").alias("b"))
+    least, most = F.min(F.struct("n", "node")), F.max(F.struct("n", "node"))
+    parts = near.filter("part IS NOT NULL").groupBy("shingle", "part").agg(least.alias("least"), most.alias("most"))
+    banded = parts.withColumn("band", F.floor(F.col("part") / PARTS))
+    bands = banded.groupBy("shingle", "band").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    in_band = banded.select("shingle", "band", F.col("least.node").alias("b")).join(
+        bands.select("shingle", "band", F.col("least.node").alias("a")), ["shingle", "band"]).select("a", "b")
+    below = F.lag(F.struct("band", "most")).over(Window.partitionBy("shingle").orderBy("band"))
+    across = bands.withColumn("below", below).filter(
+        (F.col("below.band") == F.col("band") - 1) & fits(F.col("below.most.n"), F.col("least.n"))).select(
+        F.col("below.most.node").alias("a"), F.col("least.node").alias("b"))
+    return steps.union(in_band).union(across).filter("a <> b").distinct()
 
 
 def _tasks(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -308,14 +293,13 @@ def jaccard_groups(df: DataFrame, width: int = 5, percent: int = 80, key: str =
     ``class_id`` is the smallest id with the same shingle set, ``component_id`` the smallest id that links reach.
     """
     docs = df.select(F.col(f"`{key}`").alias("doc_id"), whole(F.col(f"`{text}`")).alias("text"))
-    numbered = keep(_number_documents(docs, width), "classes")
-    documents = numbered.filter("n_shingles IS NOT NULL").select("doc_id", "n_shingles", "node")
-    often = numbered.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("sets").alias("sets")).filter(
-        F.col("sets") >= FREQUENT).orderBy(F.desc("sets"), "shingle").limit(FREQUENT_KEPT).select("shingle")
-    frequent = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
+    documents = keep(_number_documents(docs, width), "documents")
     with_id = docs.filter("doc_id IS NOT NULL")
+    often = _first_of_documents(with_id, np.empty(0, np.uint64), width, percent).groupBy("shingle").count().filter(
+        F.col("count") >= FREQUENT).orderBy(F.desc("count"), "shingle").limit(FREQUENT_KEPT).select("shingle")
+    frequent = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
     first = _first_of_documents(with_id, frequent, width, percent)
-    hoods = connected_components(_neighbour_edges(first))
+    hoods = connected_components(_neighbour_edges(first, percent))
     classes = keep(documents.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("class_id"), F.max("n_shingles").alias("n")), "class-ids")
     members = keep(classes.join(hoods, "node").select(F.col("class_id").alias("doc_id"), "node", "root", "n"), "members")
