@@ -126,7 +126,7 @@ def _row_rules(df: DataFrame, check: Check, as_of: datetime, zoneless: str) -> l
             bad = c.isNull()
             if isinstance(type_of(column), T.StringType):
                 bad = bad | blank(c)
-            rules.append(_RowRule(check, column, F.count_if(bad), f"NOT_NULL violated for {column!r}", bad))
+            rules.append(_RowRule(check, column, F.count_if(bad), f"{column} has empty values", bad))
         return rules
 
     if check.check_type == "valid_range" and check.column:
@@ -141,18 +141,18 @@ def _row_rules(df: DataFrame, check: Check, as_of: datetime, zoneless: str) -> l
             tests.append(real & (number > float(check.params["max"])))
         failed = reduce(lambda a, b: a + b, [F.count_if(t) for t in tests])
         fails = F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
-        return [_RowRule(check, check.column, failed, f"VALID_RANGE violated for {check.column!r}", fails)]
+        return [_RowRule(check, check.column, failed, f"{check.column} has values out of range", fails)]
 
     if check.check_type == "row_count":
         low = int(check.params.get("min_rows", 0))
         high = check.params.get("max_rows")
         n = F.count(F.lit(1))
         outside = n < low
-        bounds = f" outside bounds min_rows={low}"
+        bounds = f" rows, expected {low} or more"
         if high is not None:
             outside = outside | (n > int(high))
-            bounds += f", max_rows={high}"
-        message = F.concat(F.lit("ROW_COUNT "), n.cast("string"), F.lit(bounds))
+            bounds = f" rows, expected {low} to {high}"
+        message = F.concat(n.cast("string"), F.lit(bounds))
         return [_RowRule(check, None, outside.cast("bigint"), message)]
 
     if check.check_type == "regex_match" and check.column:
@@ -161,12 +161,12 @@ def _row_rules(df: DataFrame, check: Check, as_of: datetime, zoneless: str) -> l
             return []
         error = _pattern_error(df, pattern)
         if error:
-            rule = _RowRule(check, check.column, F.lit(0).cast("bigint"), f"Invalid regex: {error}")
+            rule = _RowRule(check, check.column, F.lit(0).cast("bigint"), f"the pattern cannot be used: {error}")
             rule.violated = F.lit(True)
             return [rule]
         fails = ~_name(check.column).cast("string").rlike(pattern)
         return [
-            _RowRule(check, check.column, F.count_if(fails), f"REGEX_MATCH violated for {check.column!r}",
+            _RowRule(check, check.column, F.count_if(fails), f"{check.column} has values unlike the pattern",
                      F.coalesce(fails, F.lit(False)))
         ]
 
@@ -179,13 +179,13 @@ def _row_rules(df: DataFrame, check: Check, as_of: datetime, zoneless: str) -> l
         oldest = as_of.timestamp() - hours * 3600
         fails = c.isNotNull() & (epoch.isNull() | (epoch < oldest))
         failed = F.count_if(fails)
-        message: Any = f"FRESHNESS: values older than {hours}h in {check.column!r}"
+        message: Any = f"{check.column} has values more than {hours} hours old"
         rule = _RowRule(check, check.column, failed, message, fails)
         if zoneless == "error" and isinstance(data_type, T.StringType):
             # A time without an offset cannot be compared with one that has it: the check errors.
             mixed = F.count_if(iso_is_zoneless(c) & iso_epoch(c).isNotNull()) > 0
             rule.failed = F.when(mixed, F.count(F.lit(1))).otherwise(failed)
-            rule.message = F.when(mixed, "Check execution error: time without offset").otherwise(message)
+            rule.message = F.when(mixed, "the check failed: a time has no offset").otherwise(message)
         return [rule]
 
     return []
@@ -197,7 +197,7 @@ def _pattern_error(df: DataFrame, pattern: str) -> str | None:
         df.sparkSession.range(1).select(F.lit("").rlike(pattern)).first()
         return None
     except Exception as exc:  # the error class differs between folded and executed patterns
-        return str(exc).splitlines()[0][:200]
+        return str(exc).splitlines()[0]
 
 
 def _outcome(rule: _RowRule, failed: Column, message: Column) -> Column:
@@ -269,7 +269,7 @@ def _table_outcome(df: DataFrame, check: Check, parents: Mapping[str, DataFrame]
     if check.check_type == "unique_key" and check.columns:
         counts = duplicate_counts(df, check.columns, count_nulls=bool(check.params.get("count_nulls")))
         failed, column = F.col("surplus_rows"), ",".join(check.columns)
-        message = f"UNIQUE_KEY violated on {check.columns!r}"
+        message = f"repeated keys in {column}"
     elif check.check_type == "referential":
         child = check.params.get("child_column") or check.params.get("fk_column")
         parent = check.params.get("parent_column") or check.params.get("pk_column")
@@ -278,14 +278,14 @@ def _table_outcome(df: DataFrame, check: Check, parents: Mapping[str, DataFrame]
         parent_df = parents[check.params["parent"]] if check.params.get("parent") else df
         counts = orphan_values(df, child, parent_df, parent).agg(F.sum("uses").alias("n"))
         failed, column = F.coalesce(F.col("n"), F.lit(0)), child
-        message = f"REFERENTIAL: {child!r} not in {parent!r} domain"
+        message = f"{child} has values that {parent} lacks"
     elif check.check_type == "custom_sql" and (check.params.get("sql") or check.params.get("query")):
         # Rows the statement returns are failures; it reads the table under the name `view`.
         counts = df.sparkSession.sql(
             check.params.get("sql") or check.params.get("query"), **{view: df}
         ).agg(F.count(F.lit(1)).alias("n"))
         failed, column = F.col("n"), None
-        message = "CUSTOM_SQL returned rows"
+        message = "the statement found rows"
     else:
         return None
     rule = _RowRule(check, column, failed, message)
@@ -324,7 +324,7 @@ def evaluate_checks(
             table = None if found else _table_outcome(df, check, parents or {}, view)
         except (AnalysisException, ParseException, KeyError) as exc:
             broken = _RowRule(check, check.column, F.count(F.lit(1)),
-                              f"Check execution error: {str(exc).splitlines()[0][:200]}")
+                              f"the check failed: {str(exc).splitlines()[0]}")
             broken.check = Check(check.check_id, check.check_type, check.columns,
                                  {**check.params, "severity": check.error_severity})
             broken.violated = F.lit(True) if check.error_severity == "critical" else None
@@ -429,31 +429,34 @@ def gate_measures(checks: Iterable[Mapping[str, Any]], types: Mapping[str, T.Dat
             if check.get("max") is not None:
                 bad = bad | (~F.isnan(number) & (number > float(check["max"])))
             measures[f"{i}:valid_range"] = F.count_if(bad)
+        elif kind == "row_count":
+            n = F.count(F.lit(1))
+            outside = n < int(check.get("min", 0))
+            if check.get("max") is not None:
+                outside = outside | (n > int(check["max"]))
+            measures[f"{i}:row_count"] = outside.cast("bigint")
     return measures
 
 
-def gate_findings(
-    checks: Iterable[Mapping[str, Any]], measured: Mapping[str, int], duplicates: Mapping[int, int]
-) -> list[dict[str, Any]]:
-    """Violations of a gate step from its measures and the duplicate groups per check position."""
-    found: list[dict[str, Any]] = []
-    rows = measured["rows"]
+def duplicate_groups(df: DataFrame, checks: Sequence[Mapping[str, Any]]) -> DataFrame | None:
+    """Repeated keys per uniqueness check, ``check`` and ``groups``, from one aggregate over all keys; None without such checks."""
+    keys = []
     for i, check in enumerate(checks):
-        kind = CHECK_ALIASES.get(check.get("type"), check.get("type"))
-        if kind == "not_null" and measured.get(f"{i}:not_null"):
-            per_column = {c: measured[f"{i}:not_null:{c}"] for c in check["columns"]}
-            found.append({"check": kind, "columns": list(check["columns"]),
-                          "violating_rows": measured[f"{i}:not_null"], "null_counts": per_column})
-        elif kind == "valid_range" and measured.get(f"{i}:valid_range"):
-            found.append({"check": kind, "column": check["column"],
-                          "violating_rows": measured[f"{i}:valid_range"]})
-        elif kind == "unique_key" and duplicates.get(i):
-            found.append({"check": kind, "columns": list(check["columns"]),
-                          "duplicate_key_groups": duplicates[i]})
-        elif kind == "row_count":
-            low, high = int(check.get("min", 0)), check.get("max")
-            if rows < low:
-                found.append({"check": kind, "detail": f"row_count {rows} < min {low}"})
-            if high is not None and rows > int(high):
-                found.append({"check": kind, "detail": f"row_count {rows} > max {high}"})
+        if check.get("type") == "unique_key" and check.get("columns"):
+            columns = [_name(c) for c in check["columns"]]
+            known = F.lit(True) if check.get("count_nulls") else reduce(lambda a, b: a & b, [c.isNotNull() for c in columns])
+            text = F.to_json(F.struct(*[c.alias(f"k{n}") for n, c in enumerate(columns)]))
+            keys.append(F.when(known, F.struct(F.lit(i).alias("check"), text.alias("key"))))
+    if not keys:
+        return None
+    held = df.select(F.explode(F.array_compact(F.array(*keys))).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    return held.filter("n > 1").groupBy(F.col("k.check").alias("check")).agg(F.count(F.lit(1)).alias("groups"))
+
+
+def gate_findings(measured: Mapping[str, int]) -> list[dict[str, Any]]:
+    """The failed measures of a gate step: position of the check, its rule, the column of a part, and the count."""
+    found = []
+    for name in sorted((n for n, failed in measured.items() if n != "rows" and failed), key=lambda n: (int(n.split(":")[0]), n)):
+        position, rule, *column = name.split(":", 2)
+        found.append({"check": int(position), "rule": rule, "column": column[0] if column else None, "failed": measured[name]})
     return found

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
@@ -11,10 +11,9 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from millrace.operators import steps as S
-from millrace.operators.quality import CHECK_ALIASES, duplicate_counts, gate_findings, gate_measures
+from millrace.operators.quality import CHECK_ALIASES, duplicate_groups, gate_findings, gate_measures
 from millrace.sources.files import read_table
 
-STEP_TYPES = ("filter", "flatten", "aggregate", "derive", "rename", "cast", "quality_gate", "join")
 GATE_CHECKS = ("not_null", "valid_range", "unique_key", "row_count")
 # Alternative spellings of step settings.
 SETTING_ALIASES = {
@@ -22,16 +21,6 @@ SETTING_ALIASES = {
     "flatten": {"column": "source_column", "into": "output_columns"},
     "cast": {"columns": "type_mappings"},
 }
-REQUIRED = {
-    "filter": ("condition",),
-    "flatten": ("source_column", "output_columns"),
-    "aggregate": ("group_by", "measures"),
-    "derive": ("new_column", "expression"),
-    "rename": ("mappings",),
-    "cast": ("type_mappings",),
-    "quality_gate": ("checks",),
-    "join": ("right_source", "on"),
-}
 
 
 class FlowError(ValueError):
@@ -43,50 +32,82 @@ def normalize_step(step: Mapping[str, Any]) -> dict[str, Any]:
     return {aliases.get(k, k): v for k, v in step.items()}
 
 
+@dataclass(frozen=True)
+class Rule:
+    """Something a mapping must fulfil, and what to say when it does not."""
+
+    holds: Callable[[Mapping[str, Any]], bool]
+    says: str
+
+
+def given(*names: str) -> tuple[Rule, ...]:
+    return tuple(Rule(lambda part, name=name: name in part, f"the setting {name} is missing") for name in names)
+
+
+def filled(name: str) -> Rule:
+    return Rule(lambda part: name not in part or bool(part[name]), f"{name} is empty")
+
+
+def _is_join(name: Any) -> bool:
+    try:
+        return bool(S.join_name(name))
+    except ValueError:
+        return False
+
+
+def _check_name(check: Mapping[str, Any]) -> Any:
+    return CHECK_ALIASES.get(check.get("type"), check.get("type"))
+
+
+def for_check(kind: str, setting: str) -> Rule:
+    return Rule(lambda check: _check_name(check) != kind or bool(check.get(setting)), f"a {kind} check names its {setting}")
+
+
+# What every kind of step must fulfil, and what each entry of its list must.
+STEP_RULES: dict[str, tuple[Rule, ...]] = {
+    "filter": given("condition"),
+    "flatten": (*given("source_column", "output_columns"), filled("output_columns")),
+    "aggregate": given("group_by", "measures"),
+    "derive": given("new_column", "expression"),
+    "rename": given("mappings"),
+    "cast": given("type_mappings"),
+    "quality_gate": given("checks"),
+    "join": (*given("right_source", "on"), filled("on"),
+             Rule(lambda step: _is_join(step.get("how", "inner")), "this kind of join does not exist")),
+}
+ENTRY_RULES: dict[str, tuple[str, tuple[Rule, ...]]] = {
+    "aggregate": ("measures", (
+        Rule(lambda m: str(m.get("function", "")).strip().lower() in S.AGGREGATES, "there is no such aggregate"),)),
+    "quality_gate": ("checks", (
+        Rule(lambda c: _check_name(c) in (*GATE_CHECKS, None), "a gate has no such check"),
+        for_check("not_null", "columns"), for_check("valid_range", "column"), for_check("unique_key", "columns"))),
+}
+SPEC_RULES = given("transform_id", "source", "steps", "output")
+OUTPUT_RULES = given("table", "format")
+
+
+def _broken(place: str, part: Mapping[str, Any], rules: Iterable[Rule]) -> list[str]:
+    return [f"{place}: {rule.says}" for rule in rules if not rule.holds(part)]
+
+
 def validate_steps(steps: Iterable[Mapping[str, Any]]) -> list[str]:
-    """Messages about settings that are missing or unknown, without touching any data."""
-    messages: list[str] = []
-    for i, raw in enumerate(steps):
-        step, at = normalize_step(raw), f"steps[{i}]"
-        kind = step.get("type")
-        if kind not in STEP_TYPES:
-            messages.append(f"{at}: unknown step type {kind!r}")
-            continue
-        missing = [n for n in REQUIRED[kind] if n not in step]
-        messages += [f"{at}: {kind} requires {n!r}" for n in missing]
-        if missing:
-            continue
-        if kind == "join":
-            try:
-                S.join_name(step.get("how", "inner"))
-            except ValueError as exc:
-                messages.append(f"{at}: {exc}")
-            if not step["on"]:
-                messages.append(f"{at}: join.on must be non-empty")
-        elif kind == "aggregate":
-            for j, m in enumerate(step["measures"]):
-                if str(m.get("function", "")).strip().lower() not in S.AGGREGATES:
-                    messages.append(f"{at}.measures[{j}]: unknown aggregate function {m.get('function')!r}")
-        elif kind == "flatten" and not step["output_columns"]:
-            messages.append(f"{at}: flatten.output_columns must be non-empty")
-        elif kind == "quality_gate":
-            needs = {"not_null": "columns", "valid_range": "column", "unique_key": "columns"}
-            for j, check in enumerate(step["checks"]):
-                name = CHECK_ALIASES.get(check.get("type"), check.get("type"))
-                if name not in (*GATE_CHECKS, None):
-                    messages.append(f"{at}.checks[{j}]: unknown check type {name!r}")
-                elif name in needs and not check.get(needs[name]):
-                    messages.append(f"{at}.checks[{j}]: {name} requires {needs[name]!r}")
-    return messages
+    """What is wrong with the settings of steps, without touching any data."""
+    found: list[str] = []
+    for number, step in enumerate(map(normalize_step, steps), 1):
+        place = f"step {number} ({step.get('type')})"
+        rules = STEP_RULES.get(step.get("type"), (Rule(lambda part: False, "there is no such step"),))
+        found += _broken(place, step, rules)
+        listed, entry_rules = ENTRY_RULES.get(step.get("type"), ("", ()))
+        for n, entry in enumerate(step.get(listed) or (), 1):
+            found += _broken(f"{place}, {listed} {n}", entry, entry_rules)
+    return found
 
 
 def validate_spec(spec: Mapping[str, Any]) -> list[str]:
-    """Messages about a whole specification: its required parts, then its steps."""
-    messages = [f"spec requires {n!r}" for n in ("transform_id", "source", "steps", "output") if n not in spec]
+    """What is wrong with a whole specification: its parts, then its steps."""
     output = spec.get("output")
-    if output is not None:
-        messages += [f"output requires {n!r}" for n in ("table", "format") if n not in output]
-    return messages + validate_steps(spec.get("steps", []))
+    return [*_broken("specification", spec, SPEC_RULES), *(_broken("output", output, OUTPUT_RULES) if output is not None else ()),
+            *validate_steps(spec.get("steps", []))]
 
 
 @dataclass
@@ -101,27 +122,28 @@ class Flow:
     """A planned flow: the lazy result, and counters that the first action on it fills."""
 
     df: DataFrame
-    rows_in: Observation
+    source: DataFrame
     rows_out: Observation
     gates: list[_Gate] = field(default_factory=list)
     started_at: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
     def violations(self) -> list[dict[str, Any]]:
-        """Gate violations. Row rules were counted by the action; duplicate keys need one more job each."""
+        """Measures of gates that failed. Row rules were counted by the action; all unique keys of a gate take one more job."""
         found: list[dict[str, Any]] = []
         for gate in self.gates:
-            duplicates = {
-                i: duplicate_counts(gate.df, c["columns"], count_nulls=bool(c.get("count_nulls")))
-                .first()["duplicate_groups"]
-                for i, c in enumerate(gate.checks) if c.get("type") == "unique_key" and c.get("columns")
-            }
-            found += gate_findings(gate.checks, gate.observation.get, duplicates)
+            repeated = duplicate_groups(gate.df, gate.checks)
+            counts = {f"{r['check']}:unique_key": r["groups"] for r in repeated.collect()} if repeated is not None else {}
+            found += gate_findings({**gate.observation.get, **counts})
         return found
 
     def report(self) -> dict[str, Any]:
-        """Row counts, times and violations; call it after the action on :attr:`df`."""
+        """Row counts, times and violations; call it after the action on :attr:`df`.
+
+        The rows that came in are counted apart: a counter below the filters would keep them from the
+        scan, and a count of files needs their footers only.
+        """
         return {
-            "rows_in": self.rows_in.get["rows"],
+            "rows_in": self.source.count(),
             "rows_out": self.rows_out.get["rows"],
             "quality_violations": self.violations(),
             "started_at": self.started_at,
@@ -147,13 +169,11 @@ def plan_flow(
     ``observed=False`` leaves the row counters and gate counters out of the plan.
     """
     steps = [normalize_step(s) for s in steps]
-    unknown = [s.get("type") for s in steps if s.get("type") not in STEP_TYPES]
+    unknown = [s.get("type") for s in steps if s.get("type") not in STEP_RULES]
     if unknown:
         raise FlowError(f"unknown step types: {unknown}")
     gates: list[_Gate] = []
-    rows_in = Observation()
-    if observed:
-        df, rows_in = _counted(df)
+    before_steps = df
     for step in steps:
         kind = step["type"]
         if kind == "filter":
@@ -185,7 +205,7 @@ def plan_flow(
     rows_out = Observation()
     if observed:
         df, rows_out = _counted(df)
-    return Flow(df, rows_in, rows_out, gates)
+    return Flow(df, before_steps, rows_out, gates)
 
 
 def gate_table(df: DataFrame, checks: list[Mapping[str, Any]]) -> DataFrame:
@@ -196,21 +216,15 @@ def gate_table(df: DataFrame, checks: list[Mapping[str, Any]]) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     measures = gate_measures(checks, types)
     folded = df.agg(*[c.alias(n) for n, c in measures.items()])
-    names = [n for n in measures if n != "rows"]
-    rows = [F.struct(F.lit(n).alias("measure"), F.col(f"`{n}`").cast("bigint").alias("failed")) for n in names]
-    for i, check in enumerate(checks):
-        if check.get("type") == "row_count":
-            low, high = int(check.get("min", 0)), check.get("max")
-            outside = F.col("rows") < low
-            if high is not None:
-                outside = outside | (F.col("rows") > int(high))
-            rows.append(F.struct(F.lit(f"{i}:row_count").alias("measure"), outside.cast("bigint").alias("failed")))
-    result = folded.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    for i, check in enumerate(checks):
-        if check.get("type") == "unique_key":
-            groups = duplicate_counts(df, check["columns"], count_nulls=bool(check.get("count_nulls")))
-            result = result.unionByName(groups.select(
-                F.lit(f"{i}:unique_key").alias("measure"), F.col("duplicate_groups").alias("failed")))
+    rows = [F.struct(F.lit(n).alias("measure"), F.col(f"`{n}`").cast("bigint").alias("failed")) for n in measures if n != "rows"]
+    nothing = F.array().cast("array<struct<measure:string,failed:bigint>>")
+    result = folded.select(F.explode(F.concat(nothing, F.array(*rows)) if rows else nothing).alias("r")).select("r.*")
+    keys = [i for i, check in enumerate(checks) if check.get("type") == "unique_key"]
+    if keys:
+        groups = duplicate_groups(df, checks)
+        asked = df.sparkSession.createDataFrame([(i,) for i in keys], "check int")
+        result = result.unionByName(asked.join(groups, "check", "left").select(
+            F.concat("check", F.lit(":unique_key")).alias("measure"), F.coalesce("groups", F.lit(0)).alias("failed")))
     return result
 
 

@@ -180,7 +180,7 @@ def dq_gate(t: Tables) -> DataFrame:
 
 @query("dq_violations", """
     SELECT 'valid_range' AS check_type, 'o_totalprice' AS "column", 'warning' AS severity, n AS failed_count,
-           'VALID_RANGE violated for ''o_totalprice''' AS message
+           'o_totalprice has values out of range' AS message
     FROM (SELECT count(*) FILTER (o_totalprice < 2000 OR o_totalprice > 490000) AS n FROM orders) WHERE n > 0
 """)
 def dq_violations(t: Tables) -> DataFrame:

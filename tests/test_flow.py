@@ -29,10 +29,10 @@ def test_gate_reports_without_dropping(spark):
         {"type": "unique_key", "columns": ["name", "price"]}, {"type": "row_count", "min": 5, "max": 3}]}])
     assert flow.df.count() == 4
     found = flow.violations()
-    assert [v["check"] for v in found] == ["not_null", "valid_range", "unique_key", "row_count", "row_count"]
-    assert found[0]["violating_rows"] == 1 and found[0]["null_counts"] == {"name": 1, "price": 0}
-    assert found[1]["violating_rows"] == 2 and found[2]["duplicate_key_groups"] == 1
-    assert found[3]["detail"] == "row_count 4 < min 5"
+    assert found == [
+        {"check": 0, "rule": "not_null", "column": None, "failed": 1}, {"check": 0, "rule": "not_null", "column": "name", "failed": 1},
+        {"check": 1, "rule": "valid_range", "column": None, "failed": 2}, {"check": 2, "rule": "unique_key", "column": None, "failed": 1},
+        {"check": 3, "rule": "row_count", "column": None, "failed": 1}]
 
 
 def test_gate_table_matches(spark):
@@ -58,15 +58,25 @@ def test_validation_messages():
         {"type": "quality_gate", "checks": [{"type": "odd"}, {"type": "not_null"}, {"type": "valid_range"}, {"type": "unique_key"}]},
         {"type": "pivot"}, {"type": "filter"},
     ])
-    assert len(messages) == 10 and "steps[0]: join.on must be non-empty" in messages
+    assert len(messages) == 10 and "step 1 (join): on is empty" in messages
     assert validate_steps(BRACKETS["steps"]) == validate_steps(ENRICHMENT["steps"]) == []
 
 
 def test_spec_messages():
     assert validate_spec(BRACKETS) == validate_spec(ENRICHMENT) == []
     assert validate_spec({"steps": [{"type": "filter"}], "output": {"table": "t"}}) == [
-        "spec requires 'transform_id'", "spec requires 'source'", "output requires 'format'",
-        "steps[0]: filter requires 'condition'"]
+        "specification: the setting transform_id is missing", "specification: the setting source is missing",
+        "output: the setting format is missing", "step 1 (filter): the setting condition is missing"]
+
+
+def test_filters_reach_the_scan(products, tmp_path):
+    products.write.parquet(f"{tmp_path}/p")
+    df = products.sparkSession.read.parquet(f"{tmp_path}/p")
+    flow = plan_flow(df, [{"type": "filter", "where": "price > 0.6"},
+                          {"type": "join", "right_source": "d", "on": ["category"]}], tables={"d": df.selectExpr("category", "qty AS n").distinct()})
+    plan = flow.df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(price,0.6)" in plan
+    assert flow.df.count() and flow.report()["rows_in"] == 5
 
 
 def test_unknown_step_is_an_error(products):
@@ -98,5 +108,5 @@ def test_job_from_spec_file(spark, products, tmp_path, suffix):
     products.write.mode("overwrite").json(f"{tmp_path}/in")
     report = run_job(spark, load_spec(str(path)), f"{tmp_path}/in", f"{tmp_path}/out", input_format="jsonl")
     assert (report["rows_in"], report["rows_out"]) == (5, 3)
-    assert report["quality_violations"] == [{"check": "valid_range", "column": "price", "violating_rows": 1}]
+    assert report["quality_violations"] == [{"check": 0, "rule": "valid_range", "column": None, "failed": 1}]
     assert values(spark.read.parquet(f"{tmp_path}/out"), "name") == [("Apple",), ("Banana",), ("Carrot",)]
