@@ -11,7 +11,7 @@ from pyspark.sql import Column, functions as F, types as T
 TRUE_TEXTS = ("1", "true", "yes", "y")
 NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf(inity)?|nan))\s*$"
 ISO_DATE = r"\d{4}-\d{2}-\d{2}"
-ISO_CLOCK = r"\d{2}:\d{2}(:\d{2}([.,]\d{1,6})?)?"
+ISO_CLOCK = r"\d{2}:\d{2}(:\d{2}([.,]\d+)?)?"
 ISO_OFFSET = r"(Z|[+-]\d{2}:?\d{2})"
 ISO_PATTERN = rf"^{ISO_DATE}([T ]{ISO_CLOCK}{ISO_OFFSET}?)?$"
 ISO_ZONED = rf"^{ISO_DATE}[T ]{ISO_CLOCK}{ISO_OFFSET}$"
@@ -187,21 +187,8 @@ def luhn_valid(c: Column, digits: Column | None = None) -> Column:
     """
     digits = digits_only(c) if digits is None else digits
 
-    def checksum(padded: Column) -> Column:
-        total = F.lit(0)
-        for place in range(1, LONGEST_CARD + 1):
-            digit = F.ascii(F.substring(padded, place, 1)) - 48
-            if (LONGEST_CARD - place) % 2 == 1:
-                digit = digit * 2 - F.when(digit > 4, 9).otherwise(0)
-            total = total + digit
-        return total % 10
-
-    # Zeros in front leave the sum alone, and make every position from the right a fixed one. The
-    # one-element array binds the padded text, so that it is computed once and not per position.
-    padded = F.array(F.lpad(digits, LONGEST_CARD, "0"))
-    passes = F.exists(padded, lambda p: checksum(p) == 0)
     fits = F.length(digits).between(SHORTEST_CARD, LONGEST_CARD)
-    return F.when(fits, passes).otherwise(F.lit(False))
+    return F.when(fits, F.call_function("luhn_check", digits)).otherwise(F.lit(False))
 
 
 # ---------------------------------------------------------------- time
@@ -219,7 +206,9 @@ def iso_epoch(c: Column) -> Column:
     # The cast wants seconds between the minutes and an offset.
     full = F.concat(F.substring(text, 1, 16), F.lit(":00"), F.substring(text, 17, 6))
     text = F.when(F.substring(text, 17, 1).isin("Z", "+", "-"), full).otherwise(text)
-    stamp = F.when(text.rlike(ISO_PATTERN), text.try_cast("timestamp"))
+    # Digits beyond microseconds are dropped.
+    exact = F.regexp_replace(text, r"(\.\d{6})\d+", "$1")
+    stamp = F.when(text.rlike(ISO_PATTERN), exact.try_cast("timestamp"))
     return F.unix_micros(stamp) / F.lit(1e6)
 
 
@@ -243,9 +232,23 @@ def _json_path(path: str | None, quote: str) -> str:
     return "$" + "".join(f"[{quote}{part}{quote}]" for part in path.split("."))
 
 
+def whole_json(text: Any) -> Column:
+    """Variant of a text that is one JSON value and nothing else; null otherwise. Of repeated keys the last counts.
+
+    The parser stops after the first value. Inside brackets anything that follows is an error or a second
+    element; inside an object what could close the brackets early is an error.
+    """
+    text = _col(text)
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    named = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.when(named.isNotNull() & (F.size(listed) == 1), F.get(listed, 0))
+
+
 def json_lookup(c: Column, path: str | None) -> Column:
-    """Text at a dotted path of JSON text; null when any hop is missing or not an object."""
-    return F.get_json_object(c, _json_path(path, "'"))
+    """Text at a dotted path of JSON text; null when any hop is missing or not an object, or the text is not JSON."""
+    found = F.try_variant_get(whole_json(c), _json_path(path, '"'), "variant")
+    nested = F.schema_of_variant(found).rlike("^(OBJECT|ARRAY)")
+    return F.when(nested, F.to_json(found)).otherwise(found.try_cast("string"))
 
 
 def variant_lookup(c: Column, path: str | None, as_type: str) -> Column:

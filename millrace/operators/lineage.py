@@ -7,11 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from millrace.operators.once import with_once
+from millrace.functions import whole_json
 
 DEFAULT_NAMESPACE = "millrace"
 PRODUCER = "millrace"
-INLINE_TARGETS = 1000
 # Facet schema addresses of the public lineage specification.
 SCHEMA_FACET_URL = "https://openlineage.io/spec/facets/1-0-0/SchemaDatasetFacet.json"
 QUALITY_FACET_URL = "https://openlineage.io/spec/facets/1-0-0/DataQualityMetricsInputDatasetFacet.json"
@@ -66,9 +65,10 @@ def end_events(starts: DataFrame, ends: DataFrame) -> DataFrame:
     no outputs, and its facets are the error message. A run that never started is called
     ``unknown`` and has no inputs.
     """
-    known = starts.filter("event_type = 'START'").select(
-        F.col("run_id").alias("__run"), "job_name", "job_namespace", "inputs"
-    )
+    # A retried run, or a log that delivers twice, has several starts; the latest says what the run reads.
+    begun = F.struct("job_name", "job_namespace", "inputs")
+    known = starts.filter("event_type = 'START'").groupBy(F.col("run_id").alias("__run")).agg(
+        F.max_by(begun, F.struct("event_time", begun)).alias("begun")).select("__run", "begun.*")
     none = F.array().cast("array<struct<namespace:string,name:string,facets:string>>")
     failed = F.col("event_type") == "FAIL"
     joined = ends.join(known, F.col("run_id") == F.col("__run"), "left")
@@ -84,92 +84,34 @@ def end_events(starts: DataFrame, ends: DataFrame) -> DataFrame:
     )
 
 
-def _refs(events: DataFrame, event_key: Sequence[str], source_id: str) -> DataFrame:
-    """One row per dataset mention: event, role, key, and whether it names the source itself."""
-    def mentions(role: str) -> Column:
-        return F.transform(F.col(f"{role}s"), lambda d: F.struct(
-            F.lit(role).alias("role"),
-            dataset_key(d).alias("dataset"),
-            (
-                d.getField("name").contains(source_id)
-                | d.getField("namespace").contains(source_id)
-                | F.coalesce(
-                    (d.getField("facets") != "{}")
-                    & (F.get_json_object(d.getField("facets"), "$.source.source_id") == source_id),
-                    F.lit(False))
-            ).alias("is_source"),
-        ))
-    carried = list(dict.fromkeys([*event_key, "event_type"]))
-    return events.select(
-        *carried, F.explode(F.concat(mentions("input"), mentions("output"))).alias("m")
-    ).select(*carried, "m.*")
+def _source_datasets(events: DataFrame, source_id: str) -> DataFrame:
+    """Keys of the datasets that belong to a source."""
+    every = events.select(F.explode(F.concat("inputs", "outputs")).alias("d"))
+    named = F.try_variant_get(whole_json("d.facets"), "$.source.source_id", "string") == source_id
+    own = F.col("d.name").contains(source_id) | F.col("d.namespace").contains(source_id) | F.coalesce(
+        F.when(F.col("d.facets") != "{}", named), F.lit(False))
+    return every.filter(own).select(dataset_key(F.col("d")).alias("dataset")).distinct()
 
 
-def neighbors(
-    events: DataFrame,
-    source_id: str,
-    *,
-    event_key: Sequence[str] = ("run_id", "event_type", "event_time"),
-    inline_limit: int = INLINE_TARGETS,
-) -> DataFrame:
+def neighbors(events: DataFrame, source_id: str) -> DataFrame:
     """Datasets one step up- and downstream of a source: rows (direction, dataset), sorted.
 
     The source is every dataset whose name or namespace contains the id, or that names it in a
     ``source`` facet in any event. Finished events that touch the source contribute their other
     inputs (upstream) and outputs (downstream). Inputs and outputs are never paired.
 
-    The datasets of one source are usually few. Up to ``inline_limit`` of them become a constant of
-    the plan, which then reads the finished events once and moves only the distinct neighbours.
-    Beyond the limit they are joined.
+    Mentions of the source are found by a join on dataset keys, whatever their number; what goes on
+    is the distinct neighbours.
     """
-    targets = _target_keys(events, event_key, source_id)
-    some = [r["dataset"] for r in targets.limit(inline_limit + 1).collect()]
-    if len(some) <= inline_limit:
-        found = _neighbors_of_few(events, some or [f"{DEFAULT_NAMESPACE}:{source_id}"])
-    else:
-        found = _neighbors_of_many(events, targets, event_key, source_id)
-    return found.distinct().orderBy("direction", "dataset")
-
-
-def _target_keys(events: DataFrame, event_key: Sequence[str], source_id: str) -> DataFrame:
-    return _refs(events, event_key, source_id).filter("is_source").select("dataset").distinct()
-
-
-def _neighbors_of_few(events: DataFrame, targets: Sequence[str]) -> DataFrame:
+    own = _source_datasets(events, source_id)
     finished = events.filter("event_type <> 'START'").select(
         F.transform("inputs", dataset_key).alias("reads"), F.transform("outputs", dataset_key).alias("writes"))
-    finished = with_once(finished, "__in", F.exists("reads", lambda k: k.isin(*targets)))
-    finished = with_once(finished, "__out", F.exists("writes", lambda k: k.isin(*targets)))
-    none = F.array().cast("array<struct<direction:string,dataset:string>>")
-
-    def beyond(touched: str, column: str, direction: str) -> Column:
-        others = F.filter(column, lambda k: ~k.isin(*targets))
-        named = F.transform(others, lambda k: F.struct(F.lit(direction).alias("direction"), k.alias("dataset")))
-        return F.when(F.col(touched), named).otherwise(none)
-
-    both = F.concat(beyond("__in", "writes", "downstream"), beyond("__out", "reads", "upstream"))
-    return finished.filter("__in OR __out").select(F.explode(both).alias("n")).select("n.*")
-
-
-def _neighbors_of_many(
-    events: DataFrame, targets: DataFrame, event_key: Sequence[str], source_id: str
-) -> DataFrame:
-    own = targets.select(F.col("dataset").alias("__target"))
-    marked = (
-        _refs(events.filter("event_type <> 'START'"), event_key, source_id)
-        .join(own, F.col("dataset") == F.col("__target"), "left")
-        .select(*event_key, "role", "dataset", F.col("__target").isNotNull().alias("target"))
-    )
-    touched = marked.filter("target").groupBy(*event_key).agg(
-        F.bool_or(F.col("role") == "input").alias("reads"),
-        F.bool_or(F.col("role") == "output").alias("writes"),
-    )
-    others = marked.filter("NOT target").join(touched, list(event_key))
-    return others.select(
-        F.when((F.col("role") == "output") & F.col("reads"), "downstream")
-        .when((F.col("role") == "input") & F.col("writes"), "upstream").alias("direction"),
-        "dataset",
-    ).filter("direction IS NOT NULL")
+    sides = F.array(
+        F.struct(F.lit("downstream").alias("direction"), F.col("reads").alias("touches"), F.col("writes").alias("others")),
+        F.struct(F.lit("upstream").alias("direction"), F.col("writes").alias("touches"), F.col("reads").alias("others")))
+    each = finished.select(F.explode(sides).alias("s")).select("s.direction", "s.others", F.explode("s.touches").alias("dataset"))
+    beside = each.join(own, "dataset", "left_semi").select("direction", F.explode("others").alias("dataset")).distinct()
+    return beside.join(own, "dataset", "left_anti").select("direction", "dataset").orderBy("direction", "dataset")
 
 
 # ---------------------------------------------------------------- facets and JSON
@@ -235,14 +177,14 @@ def lineage_json(events: DataFrame) -> DataFrame:
     def refs(column: str) -> Column:
         return F.transform(F.col(column), lambda d: F.struct(
             d.getField("namespace").alias("namespace"), d.getField("name").alias("name"),
-            F.try_parse_json(d.getField("facets")).alias("facets"),
+            whole_json(d.getField("facets")).alias("facets"),
         ))
-    zulu = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    zulu = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     return events.withColumn("json", F.to_json(F.struct(
         F.col("event_type").alias("eventType"), zulu.alias("eventTime"),
         F.struct(F.col("run_id").alias("runId")).alias("run"),
         F.struct(F.col("job_namespace").alias("namespace"), F.col("job_name").alias("name"),
-                 F.try_parse_json("facets").alias("facets")).alias("job"),
+                 whole_json("facets").alias("facets")).alias("job"),
         refs("inputs").alias("inputs"), refs("outputs").alias("outputs"),
         F.lit(PRODUCER).alias("producer"),
     )))

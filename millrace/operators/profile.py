@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions import variant_kind, variant_lookup
+from millrace.functions import variant_kind, variant_lookup, whole_json
 from millrace.operators.once import with_once
 
 # Fixed value: records assumed per sampled record when a source states no total.
@@ -62,7 +62,7 @@ def infer_json_schema(df: DataFrame, json_column: str) -> DataFrame:
     The kinds of a key are folded to at most seven names inside each task, so a key that every
     record carries is no burden. Text that is not a JSON object is passed over.
     """
-    body = F.try_variant_get(F.try_parse_json(json_column), "$", "map<string,variant>")
+    body = F.try_variant_get(whole_json(json_column), "$", "map<string,variant>")
     items = with_once(df.select(F.explode(body).alias("key", "item")), "shape", F.schema_of_variant("item"))
     kinds = items.select("key", variant_kind(F.col("item"), F.col("shape")).alias("kind"))
     return kinds.groupBy("key").agg(
@@ -76,7 +76,7 @@ def merged_schema(df: DataFrame, json_column: str) -> DataFrame:
 
     Keys are united, conflicting types widen, and what cannot be reconciled becomes VARIANT.
     """
-    return df.agg(F.schema_of_variant_agg(F.try_parse_json(json_column)).alias("schema"))
+    return df.agg(F.schema_of_variant_agg(whole_json(json_column)).alias("schema"))
 
 
 def create_table_ddl(df: DataFrame, json_column: str) -> str:

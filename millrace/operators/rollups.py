@@ -55,9 +55,9 @@ def error_counts(df: DataFrame, labels: Sequence[str], errors: str) -> DataFrame
     )
 
 
-def quality_totals(df: DataFrame, source: str, passed: str, failed: str, rate: str, at: str) -> DataFrame:
-    """Checks passed and failed per source, and the pass rate of its latest result."""
+def quality_totals(df: DataFrame, source: str, passed: str, failed: str, rate: str, at: str, run: str) -> DataFrame:
+    """Checks passed and failed per source, and the pass rate of its latest result; of equal times the larger run."""
     return df.groupBy(source).agg(
         F.sum(passed).alias("passed"), F.sum(failed).alias("failed"),
-        F.max_by(rate, at).alias("latest_pass_rate"),
+        F.max_by(rate, F.struct(at, run)).alias("latest_pass_rate"),
     )

@@ -14,13 +14,13 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-FEWEST_SLICES, MOST_SLICES = 16, 10_000
+FEWEST_SLICES = 16
 
 
 def default_slices(df: DataFrame) -> int:
-    """As many slices as the session has shuffle partitions, within bounds."""
+    """As many slices as the session has shuffle partitions, and a few at least."""
     wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(FEWEST_SLICES, min(MOST_SLICES, wanted))
+    return max(FEWEST_SLICES, wanted)
 
 
 def _position(c: Column, data_type: T.DataType) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.functions import whole_json
 from millrace.operators import lineage as L, privacy as P, rollups as R
 from millrace.operators.once import with_once
 from millrace.operators.ordering import recent_runs
@@ -108,7 +109,9 @@ def _lineage_events(t: Tables) -> tuple[DataFrame, DataFrame]:
         F.col("ts").cast("timestamp").alias("started_at"),
         F.when(reads_table, F.array(table)).otherwise(F.array(feed, user)).alias("inputs"),
         F.when(reads_table, F.array(report)).otherwise(F.array(table)).alias("outputs"))
-    starts = L.start_events(runs)
+    # Every run was tried before, with another job and other inputs; only its last start counts.
+    retried = runs.withColumns({"job_name": F.lit("stale"), "inputs": F.array(L.dataset_ref(F.lit("users"), F.lit("stale"))), "started_at": F.col("started_at") - F.expr("INTERVAL 1 MINUTE")})
+    starts = L.start_events(runs.unionByName(retried))
     failed = F.col("value") < 20
     ends = t.events.select(
         key.alias("run_id"), F.when(failed, "FAIL").otherwise("COMPLETE").alias("event_type"),
@@ -173,7 +176,7 @@ def lineage_facets(t: Tables) -> DataFrame:
 
 @query("lineage_json", """
     SELECT CAST(event_id AS VARCHAR) AS run_id, CASE WHEN value < 20 THEN 'FAIL' ELSE 'COMPLETE' END AS kind,
-           strftime(ts + INTERVAL 5 SECOND, '%Y-%m-%dT%H:%M:%SZ') AS at, 'ingest:' || event_type AS job,
+           strftime(ts + INTERVAL 5 SECOND, '%Y-%m-%dT%H:%M:%S.%fZ') AS at, 'ingest:' || event_type AS job,
            CASE WHEN value > 400 THEN 'raw/' || event_type ELSE 'feed-' || event_type END AS first_input,
            CASE WHEN value < 20 THEN 'value ' || CAST(value AS VARCHAR) END AS error
     FROM events
@@ -221,14 +224,13 @@ def inferred_schema(t: Tables) -> DataFrame:
 
 @query("merged_schema", """
     SELECT 'OBJECT<id: BIGINT, ' || CASE WHEN bool_or(event_type = 'signup') THEN 'ok: BOOLEAN, ' ELSE '' END
-        || 'props: OBJECT<k: BIGINT>' || CASE WHEN bool_or(event_type = 'signup') THEN ', tags: ARRAY<STRING>' ELSE '' END
+        || 'props: OBJECT<k: BIGINT>, reading: ' || CASE WHEN bool_or(event_type = 'view') AND bool_or(event_type IN ('click', 'signup', 'purchase'))
+        THEN 'VARIANT' ELSE 'STRING' END || CASE WHEN bool_or(event_type = 'signup') THEN ', tags: ARRAY<STRING>' ELSE '' END
         || '>' AS schema
-    FROM events WHERE event_type IN ('signup', 'click', 'view')
+    FROM events
 """)
 def merged(t: Tables) -> DataFrame:
-    plain = _json_records(t).filter("event_type IN ('signup', 'click', 'view')").select(
-        F.regexp_replace("body", r'"reading":("[^"]*"|[^,]*),', "").alias("body"))
-    return merged_schema(plain, "body")
+    return merged_schema(_json_records(t), "body")
 
 
 @query("estimate_volume", """
@@ -244,7 +246,7 @@ def volume(t: Tables) -> DataFrame:
         .when(kind == "error", F.lit('{"totalHits":1}'))
         .when(kind == "signup", F.lit('{"totalHits":"many"}')).otherwise(F.lit("[]")))
     bodies = t.events.select(
-        "event_type", F.try_parse_json(body).alias("body"),
+        "event_type", whole_json(body).alias("body"),
         F.when(kind == "error", F.col("event_id") + 1).alias("stated"))
     sample = F.when(F.col("event_type") == "purchase", 0).otherwise(1)
     return estimate_volume(bodies, "event_type", "body", total_field="totalHits", sample_size=sample,
@@ -310,10 +312,10 @@ def classify_errors(t: Tables) -> DataFrame:
 
 @query("rollup_quality", """
     SELECT 'user-' || user_id AS source_id, CAST(sum(event_id % 5) AS BIGINT) AS passed,
-           CAST(sum(event_id % 3) AS BIGINT) AS failed, arg_max(value, ts) AS latest_pass_rate FROM events GROUP BY 1
+           CAST(sum(event_id % 3) AS BIGINT) AS failed, arg_max(value, (ts, event_id)) AS latest_pass_rate FROM events GROUP BY 1
 """)
 def rollup_quality(t: Tables) -> DataFrame:
-    return R.quality_totals(_run_log(t), "source_id", "passed", "failed", "value", "started_at")
+    return R.quality_totals(_run_log(t), "source_id", "passed", "failed", "value", "started_at", "run_id")
 
 
 @query("recent_runs", """

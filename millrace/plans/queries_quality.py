@@ -240,6 +240,7 @@ def profile_nulls(t: Tables) -> DataFrame:
     UNION ALL SELECT 'source', count(*), count(*) - count(source), count(DISTINCT source) FROM documents
     UNION ALL SELECT 'doc_id', count(*), count(*) - count(doc_id), count(DISTINCT doc_id) FROM documents
     UNION ALL SELECT 'n_chars', count(*), count(*) - count(n_chars), count(DISTINCT n_chars) FROM documents
+    UNION ALL SELECT 'text', count(*), count(*) - count(text), count(DISTINCT text) FROM documents
 """)
 def profile_facet(t: Tables) -> DataFrame:
-    return quality_profile(t.documents, ["doc_id", "lang", "source", "n_chars"])
+    return quality_profile(t.documents, ["doc_id", "text", "lang", "source", "n_chars"])

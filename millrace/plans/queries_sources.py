@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.functions import json_lookup, parse_count, parse_measure
+from millrace.functions import json_lookup, parse_count, parse_measure, whole_json
 from millrace.plans.registry import Tables, query
 from millrace.session import scratch_dir
 from millrace.sinks import write_curated, write_jsonl, write_raw
-from millrace.sources.files import merge_datasets, read_table
+from millrace.sources.files import json_documents, merge_datasets, read_table
 from millrace.sources.payloads import (
     BATCH_ENVELOPE_KEYS,
     FEATURE_KEYS,
@@ -54,21 +54,30 @@ def scan_jsonl_roundtrip(t: Tables) -> DataFrame:
 
 
 @query("scan_json_doc", """
-    SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
+    WITH d AS (SELECT *, o_orderkey // 1000 AS doc, CASE o_orderkey // 1000 % 7 WHEN 3 THEN 'not one JSON document'
+        WHEN 4 THEN 'not one JSON document' WHEN 5 THEN 'not one JSON document' WHEN 6 THEN 'neither an array nor an object' END AS problem FROM orders)
+    SELECT o_orderkey, o_orderstatus, o_totalprice, NULL AS problem FROM d WHERE problem IS NULL
+    UNION ALL SELECT DISTINCT doc, NULL, NULL, problem FROM d WHERE problem IS NOT NULL
 """)
 def scan_json_doc(t: Tables) -> DataFrame:
-    # A document of at most 100 records each; the key is unique, so no document grows.
-    documents = t.orders.groupBy(F.expr("o_orderkey DIV 100").alias("doc")).agg(
-        F.to_json(F.struct(
-            F.lit("ignored").alias("data"),
-            F.collect_list(F.struct("o_orderkey", "o_orderstatus", "o_totalprice")).alias("records"),
-        )).alias("text")
-    )
-    bodies = documents.select(F.try_parse_json("text").alias("body"))
-    record = unwrap_envelope(bodies, "body", keys=BATCH_ENVELOPE_KEYS)
-    typed = F.variant_get(F.col("record"), "$",
-                          "struct<o_orderkey:bigint,o_orderstatus:string,o_totalprice:double>")
-    return record.select(typed.alias("r")).select("r.*")
+    # A document of at most 1,000 records each; the key is unique, so no document grows. Some have text behind
+    # them, a second document, a missing end, or are a bare text.
+    whole = F.to_json(F.struct(F.lit("ignored").alias("data"), F.collect_list(
+        F.struct("o_orderkey", "o_orderstatus", "o_totalprice")).alias("records")))
+    kind = F.col("doc") % 7
+    text = F.when(kind == 3, F.concat("text", F.lit(" end"))).when(kind == 4, F.concat("text", F.lit(" "), "text")).when(
+        kind == 5, F.expr("left(text, length(text) - 3)")).when(kind == 6, F.lit('"text"')).otherwise(F.col("text"))
+    documents = t.orders.groupBy(F.expr("o_orderkey DIV 1000").alias("doc")).agg(whole.alias("text"))
+    path = scratch_dir(t.spark, "documents")
+    documents.select("doc", text.alias("value")).write.partitionBy("doc").text(path)
+    read = json_documents(t.spark, path)
+    record = unwrap_envelope(read.filter("problem IS NULL"), "body", keys=BATCH_ENVELOPE_KEYS)
+    typed = F.variant_get(F.col("record"), "$", "struct<o_orderkey:bigint,o_orderstatus:string,o_totalprice:double>")
+    good = record.select(typed.alias("r"), "problem").select("r.*", "problem")
+    number = F.regexp_extract("path", "doc=([0-9]+)", 1).cast("bigint")
+    bad = read.filter("problem IS NOT NULL").select(
+        number.alias("o_orderkey"), F.lit(None).cast("string").alias("o_orderstatus"), F.lit(None).cast("double").alias("o_totalprice"), "problem")
+    return good.unionByName(bad)
 
 
 @query("unwrap_envelope", """
@@ -92,7 +101,7 @@ def unwrap_bodies(t: Tables) -> DataFrame:
         .when(kind == "signup", F.concat(F.lit('["x",'), record("top"), F.lit(",null]")))
         .otherwise(record("self"))
     )
-    bodies = t.events.select(F.try_parse_json(body).alias("body"))
+    bodies = t.events.select(whole_json(body).alias("body"))
     found = unwrap_envelope(bodies, "body")
     typed = F.variant_get(F.col("record"), "$", "struct<event_id:bigint,part:string,value:double>")
     return found.select(typed.alias("r")).select("r.*")
@@ -105,7 +114,7 @@ def unwrap_features(t: Tables) -> DataFrame:
     secure = F.col("url").startswith("https:")
     body = F.when(secure, F.to_json(F.struct(F.array(F.struct("page_id", "url")).alias("features")))).otherwise(
         F.lit('{"title":"no features"}'))
-    bodies = t.pages.select(F.try_parse_json(body).alias("body"))
+    bodies = t.pages.select(whole_json(body).alias("body"))
     found = unwrap_envelope(bodies, "body", keys=FEATURE_KEYS, keep_body=False)
     return found.select(F.variant_get(F.col("record"), "$", "struct<page_id:bigint,url:string>").alias("r")).select("r.*")
 
@@ -116,17 +125,34 @@ def unwrap_features(t: Tables) -> DataFrame:
 """)
 def header_rows_to_table(t: Tables) -> DataFrame:
     key = F.col("c_custkey").cast("string")
-    row = F.when(F.col("c_acctbal") >= 0, F.array(key, "c_name", "c_mktsegment")).otherwise(F.array(key, "c_name"))
+    row = F.when(F.col("c_acctbal") >= 0, F.array(key, F.lit("first"), "c_mktsegment", "c_name")).otherwise(F.array(key, "c_name"))
     # At most 100 rows per body, because the key is unique.
     bodies = t.customer.groupBy(F.expr("c_custkey DIV 100").alias("block")).agg(
         F.to_json(F.concat(
-            F.array(F.array(F.lit("key"), F.lit("name"), F.lit("segment"))), F.collect_list(row)
+            F.array(F.array(F.lit("key"), F.lit("name"), F.lit("segment"), F.lit("name"))), F.collect_list(row)
         )).alias("body")
     )
     record = header_rows(bodies.select("body"), "body")
     return record.select(*[F.col("record")[c].alias(c) for c in ("key", "name", "segment")])
 
 
+@query("header_rows_loose", """
+    SELECT CAST(c_custkey AS VARCHAR) AS key, CASE WHEN c_acctbal >= 0 THEN c_name END AS name, NULL AS "row", NULL AS value
+    FROM customer WHERE c_custkey // 100 % 2 = 0
+    UNION ALL SELECT NULL, NULL, CAST(row_number() OVER (PARTITION BY c_custkey // 100 ORDER BY c_custkey) - 1 AS VARCHAR), CAST(c_custkey AS VARCHAR)
+    FROM customer WHERE c_custkey // 100 % 2 = 1
+""")
+def header_rows_loose(t: Tables) -> DataFrame:
+    key = F.col("c_custkey").cast("string")
+    row = F.when(F.col("c_acctbal") >= 0, F.array(key, "c_name", F.lit("beyond"))).otherwise(F.array(key))
+    table = F.to_json(F.concat(F.array(F.array(F.lit("key"), F.lit("name"))), F.collect_list(row)))
+    numbers = F.to_json(F.sort_array(F.collect_list("c_custkey")))
+    bodies = t.customer.groupBy(F.expr("c_custkey DIV 100").alias("block")).agg(
+        F.when(F.col("block") % 2 == 0, table).otherwise(numbers).alias("body"))
+    record = header_rows(bodies.select("body"), "body", strict=False)
+    return record.select(*[F.col("record")[c].alias(c) for c in ("key", "name", "row", "value")])
+
+
 @query("merge_datasets", """
     SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment FROM customer
     UNION ALL
@@ -188,6 +214,8 @@ def json_path(t: Tables) -> DataFrame:
     UNION ALL SELECT event_id, value, NULL, NULL, 'own' FROM events WHERE event_type = 'view'
     UNION ALL SELECT NULL, NULL, NULL, 'broken {' || event_id, 'r' || event_id FROM events WHERE event_type = 'purchase'
     UNION ALL SELECT NULL, NULL, CAST(event_id AS VARCHAR), NULL, NULL FROM events WHERE event_type = 'signup'
+    UNION ALL SELECT NULL, NULL, NULL, CASE WHEN value > 50 THEN '{"event_id":1} more' ELSE '{"event_id":1}{"event_id":2}' END, 't'
+        FROM events WHERE event_type = 'error' AND value <= 100
 """)
 def sse_records(t: Tables) -> DataFrame:
     key, kind = F.col("event_id").cast("string"), F.col("event_type")
@@ -197,6 +225,8 @@ def sse_records(t: Tables) -> DataFrame:
         .when(kind == "view", F.concat(F.lit("id: "), key, F.lit('\ndata:{"_sse_id":"own",'), fields))
         .when(kind == "purchase", F.concat(F.lit("id: r"), key, F.lit("\ndata: broken {"), key))
         .when(kind == "signup", F.concat(F.lit(": ping\ndata: "), key))
+        .when((kind == "error") & (F.col("value") <= 50), F.lit('id: t\ndata: {"event_id":1}{"event_id":2}'))
+        .when((kind == "error") & (F.col("value") <= 100), F.lit('id: t\r\ndata: {"event_id":1} more'))
         .when(F.col("value") > 100, F.lit("data: [DONE]"))
         .otherwise(F.lit("id: 1\nretry: 10"))
     )
@@ -241,7 +271,15 @@ def write_curated_roundtrip(t: Tables) -> DataFrame:
            CASE WHEN event_type = 'click' THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS humidity,
            CAST(CASE WHEN event_type = 'click' THEN 36.0 WHEN event_type = 'purchase' THEN 4.43 END AS DOUBLE) AS wind_speed_kmh,
            CASE event_type WHEN 'click' THEN 'clear' WHEN 'view' THEN '' WHEN 'error' THEN 'fetch_error'
-                ELSE 'short' END AS description
+                ELSE 'short' END AS description,
+           CASE event_type
+               WHEN 'click' THEN '{"properties":{"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '","temperature":{"value":' || CAST(value AS VARCHAR)
+                   || '},"relativeHumidity":' || replace(props, '"k"', '"value"') || ',"windSpeed":{"value":10},"textDescription":"clear"}}'
+               WHEN 'view' THEN '{"station_id":"OWN","properties":{"timestamp":12,"temperature":{"value":null}}}'
+               WHEN 'purchase' THEN '{"properties":{"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S')
+                   || '","temperature":{"value":"n/a"},"windSpeed":{"value":"1.23"},"textDescription":"","shortForecast":"short"}}'
+               WHEN 'signup' THEN '{"properties":{"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '","temperature":{"value":'
+                   || CAST(value AS VARCHAR) || '},"windSpeed":7,"shortForecast":"short"}}' END AS raw_observation
     FROM events
 """)
 def normalize_observations(t: Tables) -> DataFrame:

@@ -10,15 +10,18 @@ from millrace.operators.ordering import priority_order
 from millrace.plans.registry import Tables, query
 
 
+SHIFT = 50  # moves the keys of all orders, so that both sides of a join have rows without a match
+
+
 def _orders_of_customers(t: Tables) -> DataFrame:
-    """Customers with their large orders, and nulls where there are none."""
-    large = t.orders.filter("o_totalprice > 450000").select(
-        F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderstatus", "o_totalprice")
+    """Customers with the orders of a customer some numbers before, and nulls where there are none."""
+    large = t.orders.select(
+        (F.col("o_custkey") + SHIFT).alias("c_custkey"), "o_orderkey", "o_orderstatus", "o_totalprice")
     return S.join_tables(t.customer.select("c_custkey", "c_acctbal"), large, ["c_custkey"], "left")
 
 
-LARGE = """
-    FROM customer c LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 450000) o ON c.c_custkey = o.o_custkey
+LARGE = f"""
+    FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey + {SHIFT}
 """
 
 
@@ -271,66 +274,66 @@ def agg_global(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- joins
 
 
-def _rich(t: Tables) -> DataFrame:
-    return t.customer.filter("c_acctbal > 0").select(
+def _customers(t: Tables) -> DataFrame:
+    return t.customer.select(
         F.col("c_custkey").alias("custkey"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("amount"))
 
 
-def _big(t: Tables) -> DataFrame:
-    return t.orders.filter("o_totalprice > 400000").select(
-        F.col("o_custkey").alias("custkey"), "o_orderkey", F.col("o_totalprice").alias("amount"))
+def _orders(t: Tables) -> DataFrame:
+    return t.orders.select(
+        (F.col("o_custkey") + SHIFT).alias("custkey"), "o_orderkey", F.col("o_totalprice").alias("amount"))
 
 
-RICH = "(SELECT c_custkey AS custkey, c_name AS name, c_acctbal AS amount FROM customer WHERE c_acctbal > 0) l"
-BIG = "(SELECT o_custkey AS custkey, o_orderkey, o_totalprice AS amount FROM orders WHERE o_totalprice > 400000) r"
+CUSTOMERS = "(SELECT c_custkey AS custkey, c_name AS name, c_acctbal AS amount FROM customer) l"
+ORDERS = f"(SELECT o_custkey + {SHIFT} AS custkey, o_orderkey, o_totalprice AS amount FROM orders) r"
 
 
 @query("join_inner", """
     SELECT l_orderkey, l_linenumber, l_quantity, o_custkey, o_totalprice
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_totalprice > 300000
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """)
 def join_inner(t: Tables) -> DataFrame:
     lines = t.lineitem.select(F.col("l_orderkey").alias("orderkey"), "l_linenumber", "l_quantity")
-    orders = t.orders.filter("o_totalprice > 300000").select(
+    orders = t.orders.select(
         F.col("o_orderkey").alias("orderkey"), "o_custkey", "o_totalprice")
     return S.join_tables(lines, orders, ["orderkey"]).withColumnRenamed("orderkey", "l_orderkey")
 
 
-@query("join_left", f"SELECT l.custkey, l.name, r.o_orderkey FROM {RICH} LEFT JOIN {BIG} ON l.custkey = r.custkey")
+@query("join_left", f"SELECT l.custkey, l.name, r.o_orderkey FROM {CUSTOMERS} LEFT JOIN {ORDERS} ON l.custkey = r.custkey")
 def join_left(t: Tables) -> DataFrame:
-    return S.join_tables(_rich(t), _big(t), ["custkey"], "left outer").select("custkey", "name", "o_orderkey")
+    return S.join_tables(_customers(t), _orders(t), ["custkey"], "left outer").select("custkey", "name", "o_orderkey")
 
 
-@query("join_right", f"SELECT r.custkey, l.name, r.o_orderkey FROM {RICH} RIGHT JOIN {BIG} ON l.custkey = r.custkey")
+@query("join_right", f"SELECT r.custkey, l.name, r.o_orderkey FROM {CUSTOMERS} RIGHT JOIN {ORDERS} ON l.custkey = r.custkey")
 def join_right(t: Tables) -> DataFrame:
-    return S.join_tables(_rich(t), _big(t), ["custkey"], "right").select("custkey", "name", "o_orderkey")
+    return S.join_tables(_customers(t), _orders(t), ["custkey"], "right").select("custkey", "name", "o_orderkey")
 
 
 @query("join_full", f"""
     SELECT coalesce(l.custkey, r.custkey) AS custkey, l.name, r.o_orderkey
-    FROM {RICH} FULL JOIN {BIG} ON l.custkey = r.custkey
+    FROM {CUSTOMERS} FULL JOIN {ORDERS} ON l.custkey = r.custkey
 """)
 def join_full(t: Tables) -> DataFrame:
-    return S.join_tables(_rich(t), _big(t), ["custkey"], "full_outer").select("custkey", "name", "o_orderkey")
+    return S.join_tables(_customers(t), _orders(t), ["custkey"], "full_outer").select("custkey", "name", "o_orderkey")
 
 
 @query("join_collision", f"""
     SELECT coalesce(l.custkey, r.custkey) AS custkey, l.name, r.o_orderkey,
            CASE WHEN r.custkey IS NOT NULL THEN r.amount ELSE l.amount END AS amount
-    FROM {RICH} FULL JOIN {BIG} ON l.custkey = r.custkey
+    FROM {CUSTOMERS} FULL JOIN {ORDERS} ON l.custkey = r.custkey
 """)
 def join_collision(t: Tables) -> DataFrame:
-    return S.join_tables(_rich(t), _big(t), ["custkey"], "outer").select("custkey", "name", "o_orderkey", "amount")
+    return S.join_tables(_customers(t), _orders(t), ["custkey"], "outer").select("custkey", "name", "o_orderkey", "amount")
 
 
-@query("join_semi", f"SELECT l.custkey, l.name FROM {RICH} WHERE l.custkey IN (SELECT custkey FROM {BIG})")
+@query("join_semi", f"SELECT l.custkey, l.name FROM {CUSTOMERS} WHERE l.custkey IN (SELECT custkey FROM {ORDERS})")
 def join_semi(t: Tables) -> DataFrame:
-    return S.join_tables(_rich(t), _big(t), ["custkey"], "left_semi").select("custkey", "name")
+    return S.join_tables(_customers(t), _orders(t), ["custkey"], "left_semi").select("custkey", "name")
 
 
-@query("join_anti", f"SELECT l.custkey, l.name FROM {RICH} WHERE l.custkey NOT IN (SELECT custkey FROM {BIG})")
+@query("join_anti", f"SELECT l.custkey, l.name FROM {CUSTOMERS} WHERE l.custkey NOT IN (SELECT custkey FROM {ORDERS})")
 def join_anti(t: Tables) -> DataFrame:
-    return S.join_tables(_rich(t), _big(t), ["custkey"], "left_anti").select("custkey", "name")
+    return S.join_tables(_customers(t), _orders(t), ["custkey"], "left_anti").select("custkey", "name")
 
 
 @query("join_null_safe", """

@@ -13,6 +13,8 @@ from pyspark.sql import SparkSession
 # session, so they are also applied to sessions that somebody else started.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # Of a key that a JSON object repeats, the last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

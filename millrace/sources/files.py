@@ -8,6 +8,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from millrace.functions import whole_json
+from millrace.operators.once import with_once
 from millrace.sources.payloads import BATCH_ENVELOPE_KEYS, unwrap_envelope
 
 SUFFIX_FORMATS = {
@@ -60,12 +62,24 @@ def read_json_document(
     """Read files that are one JSON document each: an array of records or an enveloped object.
 
     With a schema the JSON reader streams the elements of a top-level array. Without one each
-    document is parsed as a variant and unwrapped; the result has one variant column ``record``.
+    document is parsed as a variant and unwrapped; the result has one variant column ``record``. A file
+    that is no such document fails the read; :func:`json_documents` keeps it and says why.
     """
     if schema is not None:
         return spark.read.schema(schema).option("multiLine", True).json(path)
-    documents = spark.read.text(path, wholetext=True)
-    return unwrap_envelope(documents.select(F.try_parse_json("value").alias("body")), "body", keys=keys)
+    documents = json_documents(spark, path)
+    strict = F.when(F.col("problem").isNull(), F.col("body")).otherwise(
+        F.raise_error(F.concat_ws(": ", "path", "problem")).cast("variant"))
+    return unwrap_envelope(documents.select(strict.alias("body")), "body", keys=keys)
+
+
+def json_documents(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file: ``path``, its document as a variant ``body``, and the ``problem`` of a file that has none."""
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    parsed = with_once(texts, "body", whole_json("value"))
+    kind = F.schema_of_variant("body")
+    return parsed.select("path", "body", F.when(F.col("body").isNull(), "not one JSON document").when(
+        ~kind.rlike("^(OBJECT|ARRAY)"), "neither an array nor an object").alias("problem"))
 
 
 def rows_to_table(spark: SparkSession, rows: Iterable[Mapping[str, Any]], schema: T.StructType | str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions import first_text, variant_lookup
+from millrace.functions import first_text, variant_lookup, whole_json
 from millrace.operators.once import with_once
 
 # Keys that may hold the record list, in order of precedence.
@@ -73,28 +73,32 @@ def header_rows(df: DataFrame, body: str, *, strict: bool = True, into: str = "r
     ``{row, value}`` maps of all its elements instead.
     """
     rest = [c for c in df.columns if c != body]
-    table = F.from_json(F.col(body), "array<array<string>>")
-    header = F.element_at(table, 1)
-    data = F.slice(table, 2, F.greatest(F.size(table) - 1, F.lit(0)))
+    held = with_once(df, "__json", whole_json(body))
+    held = with_once(held, "__table", F.try_variant_get("__json", "$", "array<array<string>>"))
+    data = F.slice("__table", 2, F.greatest(F.size("__table") - 1, F.lit(0)))
+    header = F.element_at("__table", 1)
+    rows = held.filter(F.size("__table") >= 2).select(*rest, "__json", header.alias("__header"), F.explode(data).alias("__row"))
     if strict:
-        rows = F.filter(data, lambda r: F.size(r) == F.size(header))
-        maps = F.transform(rows, lambda r: F.map_from_arrays(header, r))
-        return df.filter(F.size(table) >= 2).select(*rest, F.explode(maps).alias(into))
-    variant = F.try_parse_json(F.col(body))
-    elements = F.try_variant_get(variant, "$", "array<variant>")
-    names = F.try_variant_get(F.get(elements, 0), "$", "array<variant>")
-    has_header = (F.size(elements) >= 2) & F.coalesce(
-        F.forall(names, lambda n: F.schema_of_variant(n) == "STRING"), F.lit(False)
-    )
-
-    def zipped(row: Column) -> Column:
-        width = F.least(F.size(header), F.size(row))
-        return F.map_from_arrays(F.slice(header, 1, width), F.slice(row, 1, width))
-
-    numbered = F.transform(elements, lambda e, i: F.create_map(
-        F.lit("row"), i.cast("string"), F.lit("value"), e.try_cast("string")))
-    maps = F.when(has_header, F.transform(data, zipped)).otherwise(numbered)
-    return df.select(*rest, F.explode(maps).alias(into))
+        same = rows.filter(F.size("__row") == F.size("__header"))
+        return same.select(*rest, named_values(F.col("__header"), F.col("__row")).alias(into))
+    texts = F.forall(F.try_variant_get("__json", "$[0]", "array<variant>"), lambda n: F.schema_of_variant(n) == "STRING")
+    has_header = F.coalesce(texts, F.lit(False)) & (F.size("__elements") >= 2)
+    both = with_once(held, "__elements", F.try_variant_get("__json", "$", "array<variant>"))
+    both = with_once(both, "__has_header", has_header)
+    shorter = F.least(F.size("__header"), F.size("__row"))
+    zipped = both.filter("__has_header").select(*rest, header.alias("__header"), F.explode(data).alias("__row")).select(
+        *rest, named_values(F.slice("__header", 1, shorter), F.slice("__row", 1, shorter)).alias(into))
+    numbered = both.filter("NOT __has_header").select(*rest, F.posexplode("__elements").alias("__at", "__element")).select(
+        *rest, F.create_map(F.lit("row"), F.col("__at").cast("string"), F.lit("value"), F.col("__element").try_cast("string")).alias(into))
+    return zipped.unionByName(numbered)
+
+
+def named_values(names: Column, values: Column) -> Column:
+    """Map of names to values of the same place; of a repeated name the last counts, a null name is left out."""
+    last = F.filter(F.sequence(F.lit(0), F.size(names) - 1), lambda i: F.get(names, i).isNotNull() & ~F.coalesce(
+        F.array_contains(F.slice(names, i + 2, F.size(names)), F.get(names, i)), F.lit(False)))
+    kept = F.when(F.size(names) > 0, last).otherwise(F.array().cast("array<int>"))
+    return F.map_from_arrays(F.transform(kept, lambda i: F.get(names, i)), F.transform(kept, lambda i: F.get(values, i)))
 
 
 def assemble_pages(

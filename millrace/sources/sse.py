@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.functions import strip_text
+from millrace.functions import strip_text, whole_json
 from millrace.operators.once import with_once
 
 DONE = "[DONE]"
 TO_END = 2**31 - 1
 
 
-def read_sse(spark: SparkSession, path: str, *, stream: bool = False) -> DataFrame:
-    """Event blocks of landed text files, one per row. Files stay splittable at the blank lines."""
+def read_sse(spark: SparkSession, path: str, *, stream: bool = False, newline: str = "\n") -> DataFrame:
+    """Event blocks of landed text files, one per row. Files stay splittable at the blank lines.
+
+    ``newline`` is how the lines of most files end. Blocks parted by blank lines of the other kind are still
+    told apart, but only after such a stretch was read as one.
+    """
     reader = spark.readStream if stream else spark.read
-    return reader.option("lineSep", "\n\n").text(path)
+    blocks = reader.option("lineSep", newline * 2).text(path)
+    return blocks.select(F.explode(F.split("value", r"\r?\n\r?\n")).alias("value"))
 
 
 def sse_fields(block: Column) -> tuple[Column, Column]:
@@ -39,7 +44,7 @@ def parse_sse(df: DataFrame, block: str = "value") -> DataFrame:
     payload, event_id = sse_fields(F.col(block))
     fields = F.struct(payload.alias("payload"), event_id.alias("id"))
     parts = with_once(df, "__f", fields).select(*rest, F.col("__f.payload").alias("__payload"), F.col("__f.id").alias("__id"))
-    parsed = with_once(parts.filter(F.col("__payload") != DONE), "__json", F.try_parse_json("__payload"))
+    parsed = with_once(parts.filter(F.col("__payload") != DONE), "__json", whole_json("__payload"))
     parsed = with_once(parsed, "__is_object", F.schema_of_variant("__json").startswith("OBJECT"))
     is_object = F.col("__is_object")
     own_id = F.when(is_object, F.try_variant_get(F.col("__json"), "$._sse_id", "string"))

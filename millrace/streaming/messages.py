@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.functions import strip_text
+from millrace.functions import strip_text, whole_json
 from millrace.operators.once import with_once
 
 # Allowed actions, priority bounds and the priority of a message that names none.
@@ -23,7 +23,7 @@ def check_messages(df: DataFrame, message: str) -> DataFrame:
         F.try_variant_get("__body", f"$.{name}", "variant").alias(name)
         for name in ("source_id", "action", "priority", "payload")
     ])
-    parsed = with_once(df, "__body", F.try_parse_json(message))
+    parsed = with_once(df, "__body", whole_json(message))
     parsed = with_once(parsed, "__f", fields)
     shapes = F.struct(*[
         F.schema_of_variant(f"__f.{name}").alias(name) for name in ("source_id", "priority", "payload")

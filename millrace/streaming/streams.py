@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.functions import whole_json
 from millrace.operators.once import with_once
 from millrace.sources.payloads import normalize_observation
 
@@ -43,13 +44,6 @@ def read_kafka(
     return reader.load().select(F.col("value").cast("string").alias("message"), "topic", "partition", "offset")
 
 
-def bounded_batch(df: DataFrame, max_records: int | None) -> DataFrame:
-    """The first records of a stream source read as a table; refused without a bound."""
-    if max_records is None:
-        raise ValueError("reading a stream source as one batch needs max_records")
-    return df.limit(max_records)
-
-
 def land_stream(
     stream: DataFrame,
     sink: str,
@@ -69,9 +63,10 @@ def land_stream(
 def normalize_polls(df: DataFrame, body: str, station: str, fetched_at: str) -> DataFrame:
     """Landed polls of station observations to flat rows; works on tables and streams.
 
-    A poll whose body is null failed, and stays visible as a ``fetch_error`` row.
+    A poll whose body is null failed, and stays visible as a ``fetch_error`` row. The landed text stays beside
+    the flat columns as ``raw_observation``.
     """
     rest = [c for c in df.columns if c not in (body, station, fetched_at)]
-    parsed = with_once(df, "__body", F.try_parse_json(body))
+    parsed = with_once(df, "__body", whole_json(body))
     flat = normalize_observation(F.col("__body"), F.col(station), F.col(fetched_at))
-    return parsed.select(*rest, *[c.alias(n) for n, c in flat.items()])
+    return parsed.select(*rest, *[c.alias(n) for n, c in flat.items()], F.col(body).alias("raw_observation"))

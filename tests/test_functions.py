@@ -91,3 +91,19 @@ def test_counts_and_measures(spark):
     assert [one(spark, fn.parse_measure, t, "string") for t in ("1.5", "-", "", None)] == [1.5, None, None, None]
     assert one(spark, lambda c: fn.divide(c, F.lit(0), zero_as_null=True), 1.0, "double") is None
     assert [one(spark, fn.text_truth, t, "string") for t in ("Yes", "1", "0", None)] == [True, True, False, None]
+
+
+@pytest.mark.parametrize(("text", "kept"), [
+    ('{"a":1}', True), (" 12 ", True), ('"x"', True), ("[1,2]", True), ("null", True), ('{"a":1,"a":2}', True),
+    ('{"a":1} junk', False), ("12 monkeys", False), ("404 not found", False), ('{"a":1}{"b":2}', False), ("1],[2", False),
+    ('1},{"b":2', False), ('1,"v":2', False), ("1,2", False), ("", False), ("{oops", False), (None, False)])
+def test_whole_json(spark, text, kept):
+    assert one(spark, lambda c: fn.whole_json(c).isNotNull(), text, "string") is kept
+
+
+def test_last_of_repeated_keys_counts(spark):
+    assert one(spark, lambda c: F.try_variant_get(fn.whole_json(c), "$.a", "int"), '{"a":1,"a":2}', "string") == 2
+
+
+def test_long_fractions_are_times(spark):
+    assert one(spark, lambda c: fn.iso_epoch(c), "2024-01-01T00:00:00.123456789Z", "string") == 1704067200.123456

@@ -40,6 +40,16 @@ def test_json_document_with_schema(spark, tmp_path):
     assert values(files.read_json_document(spark, str(tmp_path / "d.json"), schema="a bigint")) == [(1,), (2,)]
 
 
+def test_broken_documents_are_told(spark, tmp_path):
+    for name, text in {"good": '{"items":[{"a":1}]}', "cut": '{"items":[{"a"', "two": '{"a":1}{"a":2}', "bare": '"text"'}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    told = {r.path.rsplit("/", 1)[1]: r.problem for r in files.json_documents(spark, str(tmp_path)).collect()}
+    assert told == {"good.json": None, "cut.json": "not one JSON document", "two.json": "not one JSON document",
+                    "bare.json": "neither an array nor an object"}
+    with pytest.raises(Exception, match="not one JSON document"):
+        files.read_json_document(spark, str(tmp_path / "two.json")).collect()
+
+
 def bodies(spark, *documents):
     return spark.createDataFrame([(json.dumps(d),) for d in documents], "t string").select(F.parse_json("t").alias("body"))
 
@@ -68,6 +78,12 @@ def test_header_rows(spark):
     assert [r.record for r in plain.collect()] == [{"row": "0", "value": "5"}, {"row": "1", "value": "x"}]
 
 
+def test_last_of_repeated_names_counts(spark):
+    df = spark.createDataFrame([('[["a","b","a"],["1","2","3"],["4"],["5","6"]]',), ('[["a"],["1"]] [["b"],["2"]]',)], "body string")
+    assert values(P.header_rows(df, "body")) == [({"b": "2", "a": "3"},)]
+    assert [r.record for r in P.header_rows(df, "body", strict=False).collect()] == [{"b": "2", "a": "3"}, {"a": "4"}, {"a": "5", "b": "6"}]
+
+
 def test_pages_stop_where_a_fetch_would(spark):
     rows = [("short", 1, [1, 2], 9), ("short", 2, [3], 9), ("short", 3, [4, 5], 9), ("empty", 1, [1, 2], 9), ("empty", 2, [], 9),
             ("empty", 3, [5, 6], 9), ("total", 1, [1, 2], 2), ("total", 2, [3, 4], 2), ("total", 3, [5, 6], 2), (None, 1, [7, 8], None)]
@@ -105,6 +121,15 @@ def test_sse_blocks(spark, tmp_path):
                                    ('{"_sse_id":"own"}', None, None, "own")], key=repr)
 
 
+def test_sse_files_with_other_line_ends(spark, tmp_path):
+    text = 'id: 1\r\ndata: {"a":1}\r\n\r\nid: 2\r\ndata: {"a":2}\r\n\r\ndata: {"a":3} more\r\n\r\n'
+    (tmp_path / "s.txt").write_text(text, newline="")
+    for newline in ("\n", "\r\n"):
+        rows = sse.parse_sse(sse.read_sse(spark, str(tmp_path / "s.txt"), newline=newline))
+        assert values(rows.select(F.to_json("record").alias("record"), "raw", "_sse_id")) == [
+            ('{"a":1}', None, "1"), ('{"a":2}', None, "2"), (None, '{"a":3} more', None)]
+
+
 def test_source_statistics(spark):
     source = stats.observe_source(spark.createDataFrame([("ab",), ("ü",), (None,)], "t string"), "s", payload=F.col("t"))
     source.df.collect()

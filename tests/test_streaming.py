@@ -5,7 +5,7 @@ from conftest import values
 
 from millrace.streaming import messages as M
 from millrace.streaming.marks import high_water_filter, high_water_stream
-from millrace.streaming.streams import bounded_batch, land_stream, normalize_polls, read_kafka, read_stream
+from millrace.streaming.streams import land_stream, normalize_polls, read_kafka, read_stream
 
 SCHEMA = "seq bigint, key string, id bigint, at double"
 
@@ -113,12 +113,6 @@ def test_land_stream_resumes(spark, tmp_path):
     assert values(spark.read.parquet(f"{tmp_path}/out")) == [(10,), (11,), (12,), (20,), (21,), (22,)]
 
 
-def test_bounded_batch(spark):
-    assert bounded_batch(spark.range(9), 4).count() == 4
-    with pytest.raises(ValueError):
-        bounded_batch(spark.range(9), None)
-
-
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         read_kafka(spark, "host:1", "commands")
@@ -156,7 +150,8 @@ def test_polls(spark):
     good = '{"properties":{"timestamp":"t1","temperature":{"value":1},"windSpeed":{"value":2.5},"textDescription":"ok"}}'
     df = spark.createDataFrame([("A", good, "f1"), ("B", None, "f2"), ("C", '{"properties":5}', "f3")], "st string, body string, f string")
     assert values(normalize_polls(df, "body", "st", "f")) == [
-        ("A", "t1", 1.0, None, 9.0, "ok"), ("B", "f2", None, None, None, "fetch_error"), ("C", "f3", None, None, None, "")]
+        ("A", "t1", 1.0, None, 9.0, "ok", good), ("B", "f2", None, None, None, "fetch_error", None),
+        ("C", "f3", None, None, None, "", '{"properties":5}')]
 
 
 def test_polls_as_stream(spark, tmp_path):
