@@ -63,3 +63,20 @@ def flow_join(t: Tables) -> DataFrame:
             {"column": "o_totalprice", "function": "max", "alias": "top"}]},
     ]
     return plan_flow(t.customer, steps).df
+
+
+@query("flow_report", """
+    SELECT count(*) AS rows_in, count(*) FILTER (o_totalprice > 100000) AS rows_out,
+           '0:valid_range:' || count(*) FILTER (o_totalprice > 400000) || ',1:unique_key:' || (
+               SELECT count(*) FROM (SELECT o_custkey FROM orders WHERE o_totalprice > 100000 GROUP BY 1 HAVING count(*) > 1)) AS failed
+    FROM orders
+""")
+def flow_report(t: Tables) -> DataFrame:
+    flow = plan_flow(t.orders, [
+        {"type": "filter", "where": "o_totalprice > 100000"},
+        {"type": "quality_gate", "checks": [{"type": "valid_range", "column": "o_totalprice", "max": 400000},
+                                            {"type": "unique_key", "columns": ["o_custkey"]}, {"type": "row_count", "min": 1}]}])
+    flow.df.write.format("noop").mode("overwrite").save()
+    report = flow.report()
+    failed = ",".join(f"{v['check']}:{v['rule']}:{v['failed']}" for v in report["quality_violations"])
+    return t.spark.createDataFrame([(report["rows_in"], report["rows_out"], failed)], "rows_in long, rows_out long, failed string")

@@ -244,3 +244,12 @@ def profile_nulls(t: Tables) -> DataFrame:
 """)
 def profile_facet(t: Tables) -> DataFrame:
     return quality_profile(t.documents, ["doc_id", "text", "lang", "source", "n_chars"])
+
+
+@query("dq_check_that_fails", """
+    SELECT 'valid_range' AS check_type, 'nothing' AS "column", 'warning' AS severity, count(*) AS failed_count, true AS violated FROM orders
+    UNION ALL SELECT 'unique_key', 'nothing', 'critical', count(*), true FROM orders
+""")
+def dq_check_that_fails(t: Tables) -> DataFrame:
+    checks = [{"type": "valid_range", "column": "nothing", "min": 1, "severity": "warning"}, {"type": "unique_key", "columns": ["nothing"]}]
+    return evaluate_checks(t.orders, checks, as_of=AS_OF).select("check_type", "column", "severity", "failed_count", "violated")

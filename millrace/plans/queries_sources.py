@@ -8,6 +8,7 @@ from millrace.functions import json_lookup, parse_count, parse_measure, whole_js
 from millrace.plans.registry import Tables, query
 from millrace.session import scratch_dir
 from millrace.sinks import write_curated, write_jsonl, write_raw
+from millrace.sinks.lake import overwrite_table
 from millrace.sources.files import json_documents, merge_datasets, read_table
 from millrace.sources.payloads import (
     BATCH_ENVELOPE_KEYS,
@@ -323,3 +324,40 @@ def normalize_counts(t: Tables) -> DataFrame:
         parse_measure(F.when(segment == "BUILDING", "-").when(segment == "MACHINERY", "")
                       .otherwise(F.col("c_acctbal").cast("string"))).alias("rate"),
     )
+
+
+@query("overwrite_static", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+def overwrite_static(t: Tables) -> DataFrame:
+    path = scratch_dir(t.spark, "overwrite")
+    orders = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    overwrite_table(orders, path, ["o_orderstatus"])
+    overwrite_table(orders.filter("o_orderstatus = 'F'"), path, ["o_orderstatus"])
+    return t.spark.read.parquet(path)
+
+
+@query("overwrite_dynamic", """
+    SELECT o_orderkey, o_totalprice + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS o_totalprice, o_orderstatus FROM orders
+""")
+def overwrite_dynamic(t: Tables) -> DataFrame:
+    path = scratch_dir(t.spark, "overwrite")
+    orders = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    overwrite_table(orders, path, ["o_orderstatus"])
+    dearer = orders.filter("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    overwrite_table(dearer, path, ["o_orderstatus"], dynamic=True)
+    return t.spark.read.parquet(path)
+
+
+@query("write_receipts", """
+    SELECT 'raw' AS zone, count(*) AS records_written, true AS has_bytes, 'batch=b1' AS partitions, 'parquet' AS format FROM orders
+    UNION ALL SELECT 'raw, again', count(*), true, 'batch=b1', 'parquet' FROM orders
+    UNION ALL SELECT 'curated', count(*), true, 'l_returnflag', 'parquet' FROM lineitem
+""")
+def write_receipts(t: Tables) -> DataFrame:
+    base = scratch_dir(t.spark, "receipts")
+    receipts = {
+        "raw": write_raw(t.orders, base, "orders", {"batch": "b1"}),
+        "raw, again": write_raw(t.orders, base, "orders", {"batch": "b1"}),
+        "curated": write_curated(t.lineitem, "sales.lines", ["l_returnflag"], base=base),
+    }
+    rows = [(zone, r.records_written, r.bytes_written > 0, ",".join(r.partitions), r.format) for zone, r in receipts.items()]
+    return t.spark.createDataFrame(rows, "zone string, records_written long, has_bytes boolean, partitions string, format string")

@@ -29,14 +29,19 @@ class SourceStats:
             "bytes_fetched": measured.get("bytes") or 0,
             "started_at": self.started_at,
             "completed_at": self.completed_at,
-            "errors": list(self.errors),
+            "errors": [*self.errors, *([f"{measured['bad']} records could not be read"] if measured.get("bad") else [])],
         }
 
 
-def observe_source(df: DataFrame, source_id: str, *, payload: Column | None = None) -> SourceStats:
-    """Attach record and byte counters to a source; ``payload`` is the text whose bytes are counted."""
+def observe_source(df: DataFrame, source_id: str, *, payload: Column | None = None, bad: Column | None = None) -> SourceStats:
+    """Attach record and byte counters to a source.
+
+    ``payload`` is the text whose bytes are counted, ``bad`` the test of a record that could not be read.
+    """
     observation = Observation(f"source:{source_id}")
     measures = [F.count(F.lit(1)).alias("records")]
     if payload is not None:
         measures.append(F.sum(F.octet_length(payload)).alias("bytes"))
+    if bad is not None:
+        measures.append(F.count_if(bad).alias("bad"))
     return SourceStats(source_id, df.observe(observation, *measures), observation, datetime.now(timezone.utc))

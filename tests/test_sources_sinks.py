@@ -4,7 +4,9 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
+from millrace.functions import whole_json
 from millrace.sinks import EmptyWriteError, overwrite_table, write_curated, write_jsonl, write_raw
+
 from millrace.sources import files, payloads as P, sse, stats
 
 
@@ -136,6 +138,10 @@ def test_source_statistics(spark):
     result = source.result()
     assert (result["records_fetched"], result["bytes_fetched"], result["errors"]) == (3, 4, [])
     assert result["completed_at"] >= result["started_at"]
+    texts = spark.createDataFrame([("{}",), ("{} {}",), ("oops",)], "t string")
+    told = stats.observe_source(texts, "s", bad=whole_json("t").isNull())
+    told.df.collect()
+    assert told.result()["errors"] == ["2 records could not be read"]
 
 
 def test_raw_writes_append_with_receipt(spark, products, tmp_path):
