@@ -104,6 +104,9 @@ BRACKETED = re.compile(r"(?i)\x20{0,2}[\[({<]\x20{0,2}(at|dot|punkt|point|punto|
 # Bare words only count in the whole shape of an address: name at host dot end.
 BARE = re.compile(r"(?i)(?<![a-z0-9._%+-])([a-z0-9_%+-]{1,64}(?:(?:\.|\x20dot\x20)[a-z0-9_%+-]{1,64}){0,4})(\x20at\x20)"
                   r"([a-z0-9-]{1,63}(?:(?:\.|\x20dot\x20)[a-z0-9-]{1,63}){0,4})(\x20dot\x20)([a-z]{2,24})(?![a-z0-9])")
+# Dots may be words after a real @, and between the parts of a network address.
+HALF_BARE = re.compile(r"(?i)@[a-z0-9-]{1,63}(?:(?:\.|\x20dot\x20)[a-z0-9-]{1,63}){0,4}\x20dot\x20[a-z]{2,24}(?![a-z0-9])")
+DOTTED_NUMBERS = re.compile(r"(?i)(?<![0-9])[0-9]{1,3}(?:\x20dot\x20[0-9]{1,3}){3}(?![0-9])")
 BARE_DOT = re.compile(r"(?i)\x20dot\x20")
 SPACED_SIGN = re.compile(r"(?<=[A-Za-z0-9])\x20{1,2}@\x20{1,2}(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])\x20@(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@\x20(?=[A-Za-z0-9])")
 SIGNS = {"at": "@", "arroba": "@", "dot": ".", "punkt": ".", "point": ".", "punto": ".", "period": ".", "plus": "+"}
@@ -135,6 +138,14 @@ def spelled_digits(text: str) -> Iterator[Rewrite]:
             yield (words[i - 1].end() if i else w.start()), w.end(), (DIGIT_WORDS | SIGNS).get(w[0].lower(), w[0])
 
 
+def spelled_phones(text: str) -> Iterator[Span]:
+    """Ten to fifteen digits, most of them words, need no plus sign to be a phone number."""
+    for m in SPELLED.finditer(text):
+        digits = [w[0].lower() for w in DIGIT_WORD.finditer(m[0]) if w[0].lower() != "plus"]
+        if 10 <= len(digits) <= 15 and sum(d in DIGIT_WORDS for d in digits) * 2 > len(digits):
+            yield m.start(), m.end(), "phone"
+
+
 def signs(text: str) -> Iterator[Rewrite]:
     for m in BRACKETED.finditer(text):
         yield m.start(), m.end(), SIGNS[m[1].lower()]
@@ -146,6 +157,10 @@ def signs(text: str) -> Iterator[Rewrite]:
         for group in (1, 3):
             for dot in BARE_DOT.finditer(text, *m.span(group)):
                 yield *dot.span(), "."
+    for pattern in (HALF_BARE, DOTTED_NUMBERS):
+        for m in pattern.finditer(text):
+            for dot in BARE_DOT.finditer(text, *m.span()):
+                yield *dot.span(), "."
     for m in SPACED_SIGN.finditer(text):
         yield m.start(), m.end(), "@"
 
@@ -225,10 +240,11 @@ def disguised_spans(text: str, known: list[Span]) -> list[Span]:
             tape = tape.rewrite(rewrites)
     if tape.text == text:
         return []
+    candidates = [(*tape.source(start, end), kind) for start, end, kind in plain_spans(tape.text)]
+    candidates += [s for s in spelled_phones(text) if not any(c[0] <= s[0] and s[1] <= c[1] and c[2] in ("phone", "card") for c in candidates)]
     taken = {kind: [(s, e) for s, e, k in known if k == kind] for kind in KINDS}
     found = []
-    for start, end, kind in plain_spans(tape.text):
-        first, last = tape.source(start, end)
+    for first, last, kind in candidates:
         i = bisect.bisect_right(taken[kind], (first, len(text))) - 1
         if i < 0 or taken[kind][i][1] < last:
             found.append((first, last, kind))
