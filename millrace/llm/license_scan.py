@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.common import spans_of, whole
+from millrace.operators.once import with_once
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -250,8 +251,10 @@ def scan_licenses(df: DataFrame, text: str = "text", rules: list[dict] | None =
         wanted, F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))).otherwise("").alias("_l_line"))
     base = F.flatten(F.array(*[
         phrase_places(F.col("_l_line"), phrase, label) for phrase, label in BASE_PHRASES.items()]))
-    found = lined.select(
-        *rest, "n_words", base.alias("_l_base"), detections(F.col("_l_line"), F.col("_l_open"), rules).alias("_l_found"))
+    # Held once, so that a filter on a result does not repeat all of this below itself.
+    found = with_once(lined, "_l_held", F.struct(
+        base.alias("_l_base"), detections(F.col("_l_line"), F.col("_l_open"), rules).alias("_l_found"))).select(
+        *rest, "n_words", "_l_held.*")
     base_labels = F.array_sort(F.array_distinct(F.transform("_l_base", lambda x: x["label"])))
     named = F.array_union(F.transform("_l_found", lambda x: x["label"]), F.transform("_l_base", lambda x: x["label"]))
     best = F.array_max(F.transform("_l_found", lambda x: x["weight"]))

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.common import count_of, parts, whole
+from millrace.operators.once import with_once
 
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = ("|", "||", "»", "«", "›", "‹", ">", ">>", "•", "·", "/")
@@ -125,16 +126,17 @@ def clean_lines(df: DataFrame, text: str = "text", rules: LineRules | None = Non
         repeated_window_words(F.col("_q_words"), F.col("_q_hashes")).alias("n_repeat_words"),
         F.filter("_q_lines", lambda x: x["fault"].isNotNull()).alias("_q_failing"),
     )
-    summed = counted.select(
-        *rest, "n_words", "word_chars", "n_symbols",
+    # Held once, so that a filter on a result does not repeat all of this below itself.
+    summed = with_once(counted, "_q_held", F.struct(
+        "n_words", "word_chars", "n_symbols",
         (F.size("_q_worded") - F.size(F.array_distinct("_q_worded"))).cast("long").alias("n_dup_lines"),
-        "n_repeat_words", "_q_text",
+        "n_repeat_words", F.length("_q_text").alias("_q_length"),
         ((F.col("n_words") < rules.fewest_words)
          | (F.col("n_repeat_words") * 100 > F.col("n_words") * rules.most_repeat_percent)).alias("base_failed"),
         F.array_join(F.transform(F.filter("_q_lines", lambda x: x["fault"].isNull()), lambda x: x["line"]), "\n")
         .alias("cleaned_text"),
         F.size("_q_failing").cast("long").alias("n_lines_removed"),
         F.aggregate("_q_failing", F.lit(0).cast("long"), lambda s, x: s + F.length(x["line"])).alias("chars_removed"),
-    )
-    lost_little = F.col("chars_removed") * 100 <= F.length("_q_text") * rules.most_lost_percent
-    return summed.withColumn("kept", ~F.col("base_failed") & lost_little).drop("_q_text")
+    )).select(*rest, "_q_held.*")
+    lost_little = F.col("chars_removed") * 100 <= F.col("_q_length") * rules.most_lost_percent
+    return summed.withColumn("kept", ~F.col("base_failed") & lost_little).drop("_q_length")

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.common import spans_of, whole
+from millrace.operators.once import with_once
 
 # The strong patterns.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -132,7 +133,8 @@ def link_secrets(df: DataFrame, text: str = "text", reach: int = 300) -> DataFra
     reported = F.filter("_s_swept", lambda x: (x["rank"] <= 2) | (
         ((x["rank"] == 3) | (x["rank"] == 5)) & has(x, "secret")) | ((x["rank"] == 4) & (has(x, "id") | has(x, "endpoint"))))
     kinds = F.array(*[F.lit(k) for k in KINDS])
-    told = swept.select(*rest, reported.alias("_s_told"))
+    # Held once, so that a filter on a result does not repeat all of this below itself.
+    told = with_once(swept, "_s_told", reported).select(*rest, "_s_told")
     return told.select(
         *rest,
         F.transform("_s_told", lambda x: F.struct(

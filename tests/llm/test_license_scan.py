@@ -53,3 +53,9 @@ def test_clashing_columns_and_empty_table(odd_documents, no_documents):
     out = scan_licenses(odd_documents)
     assert out.columns.count("labels") == 1 and out.count() == 12
     assert scan_licenses(no_documents).count() == 0
+
+
+def test_filters_do_not_repeat_the_work(documents):
+    found = scan_licenses(documents).filter("score > 0")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("Generate") and found.count() >= 0

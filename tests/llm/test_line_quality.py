@@ -56,3 +56,9 @@ def test_documents_that_lose_too_much_go(spark):
     assert found[1].kept and found[1].cleaned_text == good
     assert not found[2].kept and not found[2].base_failed and found[2].n_lines_removed == 20
     assert found[3].kept and found[3].cleaned_text == good and found[3].chars_removed == 27
+
+
+def test_filters_do_not_repeat_the_work(documents):
+    found = clean_lines(documents).filter("kept")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("Generate") and found.count() >= 0

@@ -61,3 +61,9 @@ def test_clashing_columns_and_empty_table(odd_documents, no_documents):
     out = link_secrets(odd_documents.withColumnRenamed("labels", "credentials"))
     assert out.columns.count("credentials") == 1 and out.count() == 12
     assert link_secrets(no_documents).count() == 0
+
+
+def test_filters_do_not_repeat_the_work(documents):
+    found = link_secrets(documents).filter("size(secret_spans) > 0")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("Generate") and found.count() >= 0
