@@ -34,8 +34,7 @@ INDEX_WORDS = 2_000_000  # words of test items in one index; more items take mor
 CHUNK_WORDS = 200_000  # words of training texts looked up at a time
 CELLS = 4_000_000  # sums of passages and blocks held at a time
 
-WORDS = bytes.maketrans((string.ascii_uppercase + string.punctuation).encode(),
-                        string.ascii_lowercase.encode() + b" " * len(string.punctuation))
+PUNCTUATION = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 SENTENCE_END = re.compile(r"(?<=[.!?。？！])\s+|\n+")
 
 
@@ -52,8 +51,8 @@ class Limits:
 
 
 def words_of(text: str) -> list[bytes]:
-    """Words in lower case; ASCII punctuation and white space part them."""
-    return text.encode("utf-8", "surrogatepass").translate(WORDS).split()
+    """Words without regard to case; ASCII punctuation and white space part them."""
+    return text.casefold().encode("utf-8", "surrogatepass").translate(PUNCTUATION).split()
 
 
 def shingles(words: Sequence[bytes], width: int) -> set[tuple[bytes, ...]]:
