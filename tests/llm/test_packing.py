@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from millrace.llm import token_ids
 from millrace.llm.best_fit_packing import RoomTree, best_fit, pack_best_fit, read_matrix, write_matrices
 from millrace.llm.squares_packing import Piece, SquaresPacker, pack_squares
 from millrace.llm.token_ids import encoder
@@ -27,6 +28,19 @@ def test_ids_are_those_of_the_tokenizer(documents, plain_ids):
         assert encoder().encode(text).tolist() == plain_ids(text)
 
 
+@pytest.mark.parametrize("text", ["a " + " " * 1_100_000 + "b", "a" + "\n" * 1_100_000, "\u3000" * 1_050_000 + "<|endoftext|> b " + "\t" * 1_050_000 + "\x1c"])
+def test_long_runs_of_white_space(text, plain_ids):
+    assert encoder().encode(text, 7).tolist() == plain_ids(text) + [7]
+
+
+def test_runs_are_cut_where_the_pattern_cuts(monkeypatch, plain_ids):
+    rng = random.Random(3)
+    monkeypatch.setattr(token_ids, "LONGEST_RUN", 2)
+    for _ in range(3000):
+        text = "".join(rng.choice("  \n\t\r\x0b\x1c\x85\xa0\u2003\u2028\u3000\u200bab1.,'") for _ in range(rng.randint(1, 30)))
+        assert encoder().encode(text).tolist() == plain_ids(text)
+
+
 def test_squares_packing_of_documents(documents, odd_documents, no_documents, plain_ids):
     for docs in (documents, odd_documents):
         want = {}
