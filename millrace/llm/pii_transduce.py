@@ -101,12 +101,14 @@ ODD = re.compile("[" + re.escape("".join(LOOKALIKES)) + INVISIBLE + "！-～٠-
 SPELLED = re.compile(rf"(?i)(?<![a-z])(?:plus[\x20,.-]{{1,2}})?(?:{'|'.join(DIGIT_WORDS)})(?![a-z])(?:[\x20,.-]{{1,2}}(?:{'|'.join(DIGIT_WORDS)}|[0-9])(?![a-z]))+")
 DIGIT_WORD = re.compile(rf"(?i)plus|{'|'.join(DIGIT_WORDS)}|[0-9]")
 BRACKETED = re.compile(r"(?i)\x20{0,2}[\[({<]\x20{0,2}(at|dot|punkt|point|punto|arroba|period|plus)\x20{0,2}[\])}>]\x20{0,2}")
-# Bare words only count in the whole shape of an address: name at host dot end.
-BARE = re.compile(r"(?i)(?<![a-z0-9._%+-])([a-z0-9_%+-]{1,64}(?:(?:\.|\x20dot\x20)[a-z0-9_%+-]{1,64}){0,4})(\x20at\x20)"
-                  r"([a-z0-9-]{1,63}(?:(?:\.|\x20dot\x20)[a-z0-9-]{1,63}){0,4})(\x20dot\x20)([a-z]{2,24})(?![a-z0-9])")
-# Dots may be words after a real @, and between the parts of a network address.
-HALF_BARE = re.compile(r"(?i)@[a-z0-9-]{1,63}(?:(?:\.|\x20dot\x20)[a-z0-9-]{1,63}){0,4}\x20dot\x20[a-z]{2,24}(?![a-z0-9])")
-DOTTED_NUMBERS = re.compile(r"(?i)(?<![0-9])[0-9]{1,3}(?:\x20dot\x20[0-9]{1,3}){3}(?![0-9])")
+# Bare words only count in the whole shape of an address: name at host dot end. Each sign may be real or a word. Parts
+# are taken as they stand, without a way back, so that long chains stay linear.
+NAME = re.compile(r"(?i)[a-z0-9_%+-]++(?:(?:\.|\x20dot\x20)[a-z0-9_%+-]++)*+")
+BARE_AT = re.compile(r"(?i)@|\x20at\x20")
+HOST = re.compile(r"(?i)[a-z0-9-]++(?:(?:\.|\x20dot\x20)[a-z0-9-]++)*+")
+HOST_DOT = re.compile(r"(?i)\.|\x20dot\x20")
+HOST_END = re.compile(r"(?i)[a-z]{2,24}(?![a-z0-9])")
+DOTTED_NUMBERS = re.compile(r"(?i)(?<![0-9])[0-9]{1,3}(?:(?:\.|\x20dot\x20)[0-9]{1,3}){3}(?![0-9])")
 BARE_DOT = re.compile(r"(?i)\x20dot\x20")
 SPACED_SIGN = re.compile(r"(?<=[A-Za-z0-9])\x20{1,2}@\x20{1,2}(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])\x20@(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@\x20(?=[A-Za-z0-9])")
 SIGNS = {"at": "@", "arroba": "@", "dot": ".", "punkt": ".", "point": ".", "punto": ".", "period": ".", "plus": "+"}
@@ -146,25 +148,54 @@ def spelled_phones(text: str) -> Iterator[Span]:
             yield m.start(), m.end(), "phone"
 
 
-def signs(text: str) -> Iterator[Rewrite]:
+def marked_signs(text: str) -> Iterator[Rewrite]:
     for m in BRACKETED.finditer(text):
         yield m.start(), m.end(), SIGNS[m[1].lower()]
-    for m in BARE.finditer(text):
-        if m[3].lower() in NOT_HOSTS:
-            continue
-        yield *m.span(2), "@"
-        yield *m.span(4), "."
-        for group in (1, 3):
-            for dot in BARE_DOT.finditer(text, *m.span(group)):
-                yield *dot.span(), "."
-    for pattern in (HALF_BARE, DOTTED_NUMBERS):
-        for m in pattern.finditer(text):
-            for dot in BARE_DOT.finditer(text, *m.span()):
-                yield *dot.span(), "."
     for m in SPACED_SIGN.finditer(text):
         yield m.start(), m.end(), "@"
 
 
+def host_dots(text: str, start: int) -> list[tuple[int, int]]:
+    """Places of the dots, real or words, of the host that starts here; none if no part of it can be its end."""
+    m = HOST.match(text, start)
+    dots = [d.span() for d in HOST_DOT.finditer(text, *m.span())] if m else []
+    while dots and not HOST_END.match(text, dots[-1][1]):
+        dots.pop()
+    return dots
+
+
+def bare_signs(tape: Tape) -> Iterator[Rewrite]:
+    """Words for signs, on the tape of the marked signs: a dot that was in brackets counts as a word."""
+    text = tape.text
+
+    def disguised(dots: list[tuple[int, int]]) -> bool:
+        return any(last - first > 1 for first, last in (tape.source(*d) for d in dots))
+
+    def words(dots: list[tuple[int, int]]) -> Iterator[Rewrite]:
+        return ((start, end, ".") for start, end in dots if end - start > 1)
+
+    for m in NAME.finditer(text):
+        at = BARE_AT.match(text, m.end())
+        dots = host_dots(text, at.end()) if at else []
+        if not dots:
+            continue
+        before = [d.span() for d in HOST_DOT.finditer(text, *m.span())]
+        if at[0] != "@":
+            # "Look at example.com" is no address: a word for "at" needs another disguise beside it.
+            if text[at.end():dots[-1][0]].lower() in NOT_HOSTS or not disguised(before + dots):
+                continue
+            yield *at.span(), "@"
+        yield from words(before + dots)
+    # Also where something else stands before a real @.
+    at = text.find("@")
+    while at >= 0:
+        yield from words(host_dots(text, at + 1))
+        at = text.find("@", at + 1)
+    for m in DOTTED_NUMBERS.finditer(text):
+        for dot in BARE_DOT.finditer(text, *m.span()):
+            yield *dot.span(), "."
+
+
 class Tape:
     """A text and, for each of its characters, where the source of that character begins and ends.
 
@@ -235,9 +266,11 @@ def disguised_spans(text: str, known: list[Span]) -> list[Span]:
     if not (odd or CUES.search(text) or SPELLED_CUE.search(text)):
         return []
     tape = Tape(text)
-    for transducer in (odd_characters, spelled_digits, signs):
+    for transducer in (odd_characters, spelled_digits, marked_signs):
         if rewrites := list(transducer(tape.text)):
             tape = tape.rewrite(rewrites)
+    if rewrites := list(bare_signs(tape)):
+        tape = tape.rewrite(rewrites)
     if tape.text == text:
         return []
     candidates = [(*tape.source(start, end), kind) for start, end, kind in plain_spans(tape.text)]

@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,15 @@ def test_plain_detectors(text):
     ("ring five five five one two three four five six seven.", "phone", "five five five one two three four five six seven"),
     ("jane@example dot org", "email", "jane@example dot org"),
     ("ping 10 dot 0 dot 0 dot 1 now", "ip", "10 dot 0 dot 0 dot 1"),
+    ("jane [at] example dot com", "email", "jane [at] example dot com"),
+    ("ask jane at example [dot] com!", "email", "jane at example [dot] com"),
+    ("jane @ example dot com", "email", "jane @ example dot com"),
+    ("jane dot doe (at) mail dot example.com", "email", "jane dot doe (at) mail dot example.com"),
+    ("jane at mail dot example.com", "email", "jane at mail dot example.com"),
+    ("jane dot doe at example.com", "email", "jane dot doe at example.com"),
+    ("a dot b dot c dot d dot e dot f dot g at h dot i dot j dot k dot l dot m dot org", "email",
+     "a dot b dot c dot d dot e dot f dot g at h dot i dot j dot k dot l dot m dot org"),
+    ("ping 10 dot 0[dot]0.1 now", "ip", "10 dot 0[dot]0.1"),
 ])
 def test_disguises(text, kind, cut):
     base, more = all_spans(text)
@@ -60,6 +70,18 @@ def test_clean_texts_have_no_spans(text):
     assert all_spans(text) == ([], [])
 
 
+@pytest.mark.parametrize("text", ["Look at example.com", "Look at this (dot) com", "He was [at] home. A dot com"])
+def test_mixed_styles_leave_prose_alone(text):
+    assert all_spans(text) == ([], [])
+
+
+@pytest.mark.parametrize("text", ["a dot " * 200_000, "a at " * 200_000, "a.a at a dot " * 100_000, "@a dot " * 100_000, "x" * 1_000_000 + " dot at"])
+def test_long_chains_stay_linear(text):
+    start = time.process_time()
+    all_spans(text)
+    assert time.process_time() - start < 30
+
+
 def test_tape_maps_back_through_several_rewrites():
     tape = Tape("abc def ghi").rewrite([(0, 3, "X"), (4, 7, "")]).rewrite([(0, 2, "YZ")])
     assert tape.text == "YZ ghi"
