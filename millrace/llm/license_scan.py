@@ -28,7 +28,10 @@ BASE_SCORE = 0.5
 
 @dataclass(frozen=True)
 class Family:
-    """A license with its names in words, its short forms and its versions."""
+    """A license with its names in words, its short forms and its versions.
+
+    Every name holds the keyword, or one of the keywords parted by ``|``, as a word of its own.
+    """
 
     label: str
     keyword: str
@@ -62,7 +65,7 @@ FAMILIES = (
     Family("artistic", "artistic", "artistic", "artistic", ("1.0", "2.0")),
     Family("ofl", "font", "sil open font|open font", "", ("1.0", "1.1")),
     Family("ofl", "ofl", "ofl", "sil ofl|ofl", ("1.0", "1.1")),
-    Family("psf", "python", "python software foundation|psf", "", ("2.0",)),
+    Family("psf", "python|psf", "python software foundation|psf", "", ("2.0",)),
     Family("ms-pl", "microsoft", "microsoft public", "ms pl"),
     Family("ms-rl", "microsoft", "microsoft reciprocal", "ms rl"),
     Family("unlicense", "unlicense", "unlicense", "unlicense"),
@@ -71,13 +74,16 @@ FAMILIES = (
     Family("odc-by", "data", "open data commons attribution", "", ("1.0",)),
     Family("cecill", "cecill", "cecill(?: b| c)?", "cecill", ("1.0", "2.0", "2.1")),
     Family("mulan", "mulan", "mulan (?:permissive software|psl)", "mulan psl", ("1.0", "2.0")),
-    Family("upl", "upl", "upl|universal permissive", "upl", ("1.0",)),
+    Family("upl", "upl|universal", "upl|universal permissive", "upl", ("1.0",)),
     Family("bsd-2-clause", "bsd", "(?:simplified|freebsd|2 clause|two clause) bsd|bsd (?:2|two) clause", "bsd 2"),
     Family("bsd-3-clause", "bsd", "(?:new|modified|revised|3 clause|three clause) bsd|bsd (?:3|three) clause", "bsd 3"),
     Family("bsd-4-clause", "bsd", "(?:original|4 clause|four clause) bsd|bsd (?:4|four) clause", "bsd 4"),
     Family("bsd", "bsd", "bsd(?: style)?", "bsd"),
 )
 
+# Short forms that also mean other things (a parser, a protocol, a release): they only count as names of a license.
+MANY_MEANINGS = {"expat", "mit", "isc", "zlib", "bsd", "bsd 4"}
+
 # Creative Commons: short elements, their names, versions.
 COMMONS = {
     "by": "attribution", "by sa": "attribution share ?alike", "by nc": "attribution non ?commercial",
@@ -87,7 +93,7 @@ COMMONS = {
 }
 COMMONS_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 
-# Sentences of whole license texts and notices: label, keyword, pattern.
+# Sentences of whole license texts and notices: label, keywords, pattern.
 SENTENCES = (
     ("mit", "hereby", "permission is hereby granted free of charge to any person obtaining a copy"),
     ("isc", "fee", "permission to use copy modify and or distribute this software for any purpose with or without fee"),
@@ -103,14 +109,14 @@ SENTENCES = (
     ("public-domain", "domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain"),
     ("public-domain", "domain", "(?:this work|it|work) is (?:in|within) the public domain"),
     ("cc0-1.0", "cc0", "cc0(?: 1 0)?(?: universal)?"),
-    ("cc0-1.0", "universal", "creative commons zero(?: v?1 0)?(?: universal)?"),
+    ("cc0-1.0", "creative", "creative commons zero(?: v?1 0)?(?: universal)?"),
     ("wtfpl", "want", "do what the fuck you want to public license"),
     ("beerware", "beerware", "beerware(?: license)?"),
     ("reserved", "rights", "all rights reserved"),
     ("no-warranty", "warranty", "(?:as is|is provided as is) without warranty of any kind"),
     ("proprietary", "proprietary", "proprietary and confidential"),
     ("proprietary", "unauthorized", "unauthorized (?:copying|use|distribution|reproduction) (?:of [^ ]+ [^ ]+ )?(?:via any medium )?is (?:strictly )?prohibited"),
-    ("non-commercial", "commercial", "for non ?commercial (?:use|purposes) only"),
+    ("non-commercial", "commercial|noncommercial", "for non ?commercial (?:use|purposes) only"),
     ("no-derivatives", "derivative", "no derivative works (?:are )?(?:allowed|permitted)"),
     ("patent-grant", "patent", "grants? (?:to )?you a (?:perpetual|worldwide)(?: [^ ]+){0,8} patent license"),
 )
@@ -128,8 +134,10 @@ def build_rules() -> list[dict]:
     """All signature rules, best priority first; a number is a rule's place in the order."""
     rules = []
 
-    def add(priority: int, label: str, keyword: str, pattern: str, weight: float, partners: tuple[str, ...] = ()) -> None:
-        rules.append({"priority": priority, "label": label, "keyword": keyword, "partners": partners, "pattern": pattern, "weight": weight})
+    def add(priority: int, label: str, keywords: str, pattern: str, weight: float, partners: tuple[str, ...] = ()) -> None:
+        # One rule for each keyword. If several open, they find the same places, and only the first is not suppressed.
+        for keyword in keywords.split("|"):
+            rules.append({"priority": priority, "label": label, "keyword": keyword, "partners": partners, "pattern": pattern, "weight": weight})
 
     for family in FAMILIES:
         name = f"(?:{family.name})"
@@ -141,9 +149,18 @@ def build_rules() -> list[dict]:
                 add(2, label + suffix, family.keyword, f"{GRANT}{name}{LICENSE}(?: version| v)? v?{v}{later}", 1.0)
                 add(3, label + suffix, family.keyword, f"{name}{LICENSE}(?: version| v)? v?{v}{later}", 0.9)
             add(1, label, "spdx", f"spdx license identifier {family.label.replace('-', ' ')} {v}", 1.0)
-            if family.short:
-                add(4, label, family.keyword, f"(?:{family.short}) ?v?{v}", 0.8)
+            for short in filter(None, family.short.split("|")):
+                # A version may be written onto the last word.
+                first, *more = short.split()
+                keys = first if more else f"{first}|{first}{version[0]}|{first}v{version[0]}"
+                add(4, label, keys, f"{short} ?v?{v}", 0.8)
         if not family.versions:
+            for short in filter(None, family.short.split("|")):
+                if short not in MANY_MEANINGS:
+                    add(6, family.label, short.split()[0], short, 0.6)
+                elif short != family.name.split("(")[0]:
+                    add(5, family.label, short.split()[0], f"{GRANT}{short}(?: licen[sc]e)?", 0.8, ("under",))
+                    add(6, family.label, short.split()[0], f"{short} licen[sc]e", 0.6, ("license", "licence"))
             add(1, family.label, "spdx", f"spdx license identifier {family.label.replace('-', ' ')}", 1.0)
         add(5, family.label, family.keyword, f"{GRANT}{name}(?: public)?(?: licen[sc]e)?", 0.8, ("under",))
         add(6, family.label, family.keyword, f"{name}(?: public)? licen[sc]e", 0.6, ("license", "licence"))

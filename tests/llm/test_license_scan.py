@@ -1,4 +1,6 @@
 import re
+from itertools import product
+from re import _constants as sre, _parser
 
 import pytest
 
@@ -59,3 +61,61 @@ def test_filters_do_not_repeat_the_work(documents):
     found = scan_licenses(documents).filter("score > 0")
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Filter") < plan.index("Generate") and found.count() >= 0
+
+
+def alternatives(parsed):
+    """Texts of every alternative of an expression; what may be missing is left out, single characters also kept."""
+    choices = []
+    for op, arg in parsed:
+        if op is sre.LITERAL:
+            choices.append([chr(arg)])
+        elif op is sre.IN:
+            choices.append(["x"] if arg[0][0] is sre.NEGATE else [chr(c) for _, c in arg])
+        elif op is sre.NOT_LITERAL:
+            choices.append(["x"])
+        elif op is sre.BRANCH:
+            choices.append([t for branch in arg[1] for t in alternatives(branch)])
+        elif op is sre.SUBPATTERN:
+            choices.append(alternatives(arg[3]))
+        else:
+            assert op is sre.MAX_REPEAT, op
+            least, _, inner = arg
+            one = alternatives(inner)
+            choices.append([t * least for t in one] if least else ["", *[t for t in one if len(t) == 1]])
+    return ["".join(c) for c in product(*choices)]
+
+
+def test_gate_opens_on_every_alternative():
+    closed = set()
+    rules = build_rules()
+    by_pattern = {}
+    for r in rules:
+        by_pattern.setdefault((r["label"], r["pattern"]), []).append(r)
+    for (label, pattern), same in by_pattern.items():
+        for text in alternatives(_parser.parse(pattern)):
+            words = set(text.split())
+            assert re.fullmatch(pattern, text)
+            if not any(r["keyword"] in words and (not r["partners"] or words & set(r["partners"])) for r in same):
+                closed.add((label, text))
+    assert not closed
+
+
+@pytest.mark.parametrize(("text", "labels", "n"), [
+    ("for noncommercial use only", "non-commercial", 1),
+    ("for noncommercial use only. Not commercial.", "non-commercial", 1),
+    ("Universal Permissive License 1.0 (UPL 1.0)", "upl-1.0", 2),
+    ("PSF License", "psf", 1),
+    ("ASL 2.0", "apache-2.0", 1),
+    ("BSL 1.0", "boost-1.0", 1),
+    ("GPLv3, LGPLv2.1 or Apache2", "apache-2.0,gpl-3.0,lgpl-2.1", 3),
+    ("GPL and GPLv3", "gpl-3.0", 1),
+    ("creative commons zero", "cc0-1.0", 1),
+    ("Expat licence", "mit", 1),
+    ("MS-PL or Ms-RL", "ms-pl,ms-rl", 2),
+    ("BSD-2-Clause, BSD 3", "bsd-2-clause,bsd-3-clause", 2),
+    ("BSD 3-Clause License", "bsd-3-clause", 1),
+    ("The expat parser on BSD 4.3 with zlib", "", 0),
+])
+def test_short_forms_and_alternatives(spark, text, labels, n):
+    row = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (row.labels, len(row.licenses)) == (labels, n)
