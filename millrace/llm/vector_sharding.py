@@ -16,8 +16,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import LongType
 
 from millrace.llm.common import keep, whole
+from millrace.llm.token_ids import encoder
 
 ROWS_PER_BUCKET = 50_000
 CHUNKS_PER_BUCKET = 64  # a group larger than this share of a bucket is split
@@ -39,15 +41,22 @@ def place_groups(vectors: np.ndarray, shards: int, rotate: int = 0) -> np.ndarra
     return (chosen + rotate) % shards
 
 
+@F.pandas_udf(LongType())
+def token_count(texts: pd.Series) -> pd.Series:
+    """Ids of each text in the public vocabulary."""
+    codec = encoder()
+    return texts.map(lambda text: len(codec.encode(text))).astype("int64")
+
+
 def shard_documents(df: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "text", tokens: Column | None = None,
                     rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """One row per document: ``doc_id, size, text_crc32, shard, slot``; slots have no gaps within a shard.
 
-    ``tokens`` is the token count of a row; blanks plus one by default.
+    ``tokens`` is the token count of a row; by default that of the public vocabulary, in any script.
     """
     body = whole(F.col(f"`{text}`"))
     if tokens is None:
-        tokens = F.length(body) - F.length(F.replace(body, F.lit(" "), F.lit(""))) + 1
+        tokens = token_count(body)
     rows = keep(df.select(
         F.col(f"`{key}`").alias("doc_id"), (F.octet_length(body) + 1).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"), F.xxhash64(body).alias("text_hash"), tokens.cast("long").alias("tokens"),

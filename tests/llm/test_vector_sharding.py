@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 
+from millrace.llm.token_ids import encoder
 from millrace.llm.vector_sharding import place_groups, shard_documents
 
 
@@ -52,3 +53,16 @@ def test_equal_texts_stay_together_unless_they_are_too_many(spark):
 def test_odd_rows(odd_documents, no_documents):
     check(odd_documents)
     assert shard_documents(no_documents).count() == 0
+
+
+def test_tokens_are_even_without_blanks(spark):
+    # As many bytes each, but one text in eight has many more tokens, parted by line ends or nothing at all.
+    rich = [(i, "".join(f"{(i * j) % 7}\n" for j in range(i, i + 300))) for i in range(0, 400, 16)] + [
+        (i, "".join(chr(0x4E00 + (i * 37 + j * 61) % 900) for j in range(200))) for i in range(8, 400, 16)]
+    poor = [(i, f"{i:05d}" + "hello" * 119) for i in range(400) if i % 8]
+    texts = dict(rich + poor)
+    docs = spark.createDataFrame([(i, texts[i]) for i in sorted(texts)], "doc_id long, text string")
+    tokens = {}
+    for r in shard_documents(docs).collect():
+        tokens[r.shard] = tokens.get(r.shard, 0) + len(encoder().encode(texts[r.doc_id]))
+    assert len(tokens) == 8 and max(tokens.values()) < 1.1 * min(tokens.values())
