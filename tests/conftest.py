@@ -27,8 +27,3 @@ def products(spark):
     rows = [("Apple", "fruit", 1.5, 100), ("Banana", "fruit", 0.5, 200), ("Carrot", "veg", 0.8, 150),
             ("Steak", "meat", 15.0, 20), ("Milk", "dairy", 3.0, 80)]
     return spark.createDataFrame(rows, "name string, category string, price double, qty bigint")
-
-
-def values(df, *columns):
-    """Rows as a sorted list of tuples."""
-    return sorted((tuple(r) for r in df.select(*columns or df.columns).collect()), key=repr)

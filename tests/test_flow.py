@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import values
+from helpers import values
 
 from millrace.plans.flow import FlowError, gate_table, load_spec, plan_flow, validate_spec, validate_steps
 from millrace.plans.job import run_job

@@ -1,7 +1,7 @@
 """What the plans must look like to hold at scale, and what they do with a hot key."""
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from millrace.operators import steps as S

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import values
+from helpers import values
 
 from millrace.streaming import messages as M
 from millrace.streaming.marks import high_water_filter, high_water_stream
