@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm.common import table
 from millrace.llm.fill_middle import fill_in_middle, restore
 from millrace.llm.registry import query
+from millrace.llm.subword_classifier import classify, fit_classifier
 
 
 @query("op13_fill_middle", r"""
@@ -34,3 +35,17 @@ def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.col("fim_units").alias("n"), F.col("fim_form").alias("form"), F.col("fim_prefix_chars").alias("prefix_chars"),
         F.col("fim_middle_chars").alias("middle_chars"), F.sha2("fim_text", 256).alias("output_sha256"),
         F.sha2(restore(F.col("fim_form"), F.col("fim_text")), 256).alias("restored_sha256"))
+
+
+def held_out(key: str) -> Column:
+    """A fifth of the keys, by checksum of their text; a null key counts as an empty text."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+@query("op12_subword_classifier")
+def op12_subword_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Training runs while the query is built; what it learns from is bounded (see ``fit_classifier``)."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "quality").filter(~held_out("doc_id"))
+    scored = classify(docs, fit_classifier(docs, labels))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
