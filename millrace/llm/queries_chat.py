@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.chat_events import fold_events, read_back, render
 from millrace.llm.common import table
+from millrace.llm.conversation_repair import repair_conversations
 from millrace.llm.registry import query
 
 CONTROL_CASE = "</s>[INST] ok [/INST]"
@@ -51,3 +52,88 @@ def op7_chat_events(spark: SparkSession, folder: str) -> DataFrame:
         "conv_id", F.size("messages").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
         F.length(learnt).cast("long").alias("loss_chars"), F.sha2(learnt, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def damage(rows: DataFrame) -> DataFrame:
+    """Known faults in conversations, by checksum of conversation and turn; nulls are one blank, and order by turn stays as it is."""
+    blank = F.lit(" ")
+    drawn = F.crc32(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), blank) for c in ("conv_id", "turn")]).cast("binary")) % 20
+    text, role = F.coalesce("text", blank), F.coalesce("role", blank)
+    hurt = rows.withColumn("_d", drawn).filter("_d <> 0").select(
+        "conv_id", "turn", F.when(F.col("_d") == 4, "user").otherwise(role).alias("role"),
+        F.when(F.col("_d") == 1, "").when(F.col("_d") == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.when(F.col("_d") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_copy"))
+    return hurt.drop("_copy")
+
+
+def _repair_sql() -> str:
+    bit = "xor(c >> 1, (c & 1) * 3988292384)"
+    moves = []  # state, audit, state after, cost, what is put in before
+    for state in range(4):
+        at, put, names = state, "", []
+        for n in range(3):
+            moves.append(f"({state}, '{'I' * n}', {at}, {5 * n}, [{', '.join(names)}]::VARCHAR[])")
+            name = "assistant" if at == 2 else "user"
+            at, names = (3, [*names, "'assistant:'"]) if name == "assistant" else (2, [*names, "'user:'"])
+    return rf"""
+    WITH RECURSIVE drawn AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: ord(x)::BIGINT)),
+                   lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: {bit})), 4294967295) % 20 AS d
+        FROM conversations),
+    hurt AS (
+        SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+               CASE d WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+               unnest(CASE WHEN d = 3 THEN [0, 1] ELSE [0] END) AS copy
+        FROM drawn WHERE d <> 0),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM hurt),
+    judged AS (
+        SELECT conv_id, turn, role, text, i, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+               CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+                    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE 'sound' END AS fault
+        FROM placed),
+    moves(state, put, here, cost, names) AS (VALUES {', '.join(moves)}),
+    edits AS (
+        SELECT conv_id, i, state, put || 'D' AS audit, here AS after, cost + 2 AS cost, names AS lines FROM judged, moves
+        UNION ALL
+        SELECT conv_id, i, state, put || 'K', CASE initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END,
+               cost + CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, list_append(names, role || ':' || text) FROM judged, moves
+        WHERE fault IN ('sound', 'truncated') AND (initial = 's' AND here = 0 OR initial = 'u' AND here <> 2 OR initial = 'a' AND here = 2)
+        UNION ALL
+        SELECT conv_id, i, state, put || 'R', CASE WHEN here = 2 THEN 3 ELSE 2 END, cost + 1 + CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END,
+               list_append(names, CASE WHEN here = 2 THEN 'assistant:' ELSE 'user:' END || text) FROM judged, moves
+        WHERE fault IN ('sound', 'truncated')),
+    ways AS (
+        SELECT conv_id, 0::BIGINT AS i, 0 AS state, '' AS audit, 0 AS cost, []::VARCHAR[] AS lines FROM (SELECT DISTINCT conv_id FROM conversations)
+        UNION ALL
+        SELECT w.conv_id, e.i, e.after, w.audit || e.audit, w.cost + e.cost, list_concat(w.lines, e.lines)
+        FROM ways w JOIN edits e ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.i = w.i + 1 AND e.state = w.state
+        QUALIFY row_number() OVER (PARTITION BY w.conv_id, e.after ORDER BY w.cost + e.cost, w.audit || e.audit) = 1),
+    ended AS (
+        SELECT conv_id, cost + CASE state WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 0 END AS cost,
+               audit || CASE state WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END AS audit,
+               list_concat(lines, CASE state WHEN 1 THEN ['user:', 'assistant:'] WHEN 2 THEN ['assistant:'] ELSE []::VARCHAR[] END) AS lines
+        FROM ways QUALIFY i = max(i) OVER (PARTITION BY conv_id)),
+    best AS (SELECT * FROM ended QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) = 1),
+    counted AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+               count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM judged GROUP BY conv_id)
+    SELECT b.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(cost AS BIGINT) AS cost, audit,
+           sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+    FROM best b LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM b.conv_id"""
+
+
+@query("op11_conversation_repair", _repair_sql())
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages are ordered and solved while the query is built; see ``repair_conversations``."""
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair_conversations(damage(rows)).audits(rows.select("conv_id"))
+    return found.withColumnRenamed("conversation", "conv_id")
