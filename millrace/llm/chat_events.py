@@ -18,6 +18,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.llm.common import scan
+
 START, END = "<|im_start|>", "<|im_end|>"
 # Control strings of common templates, each as its first character and the rest.
 CONTROL = r"(?=\|im_start\|>|\|im_end\|>|\|endoftext\|>|/?s>|/?INST\]|<SYS>>|</SYS>>)"
@@ -74,22 +76,17 @@ def render(messages: DataFrame, conversation: str = "conv_id", turn: Sequence[st
     shown = packed.select(conversation, F.transform("messages", lambda m: F.struct(
         F.concat(F.lit(START), F.url_encode(m["role"]), F.lit("\n")).alias("head"), escape(m["text"]).alias("body"),
         m["role"].isin(*learn_from).alias("loss"))).alias("shown"))
-    begin = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,text_start:int,text_end:int,end:int,loss:boolean>>").alias("turns"))
-
-    def step(acc: Column, x: Column) -> Column:
+    def step(acc: Column, x: Column) -> tuple[list[Column], Column]:
         text_start = acc["at"] + F.length(x["head"])
         text_end = text_start + F.length(x["body"])
         end = text_end + len(END) + 1
-        return F.struct(end.alias("at"), F.array_append(acc["turns"], F.struct(
-            acc["at"].alias("start"), text_start.alias("text_start"), text_end.alias("text_end"), end.alias("end"),
-            x["loss"].alias("loss"))).alias("turns"))
+        return [end.alias("at")], F.struct(
+            acc["at"].alias("start"), text_start.alias("text_start"), text_end.alias("text_end"), end.alias("end"), x["loss"].alias("loss"))
 
     return shown.select(
         conversation,
         F.array_join(F.transform("shown", lambda x: F.concat(x["head"], x["body"], F.lit(END + "\n"))), "").alias("formatted"),
-        F.aggregate("shown", begin, step, lambda acc: acc["turns"]).alias("turns"))
+        scan(F.col("shown"), {"at": F.lit(0)}, step, "struct<start:int,text_start:int,text_end:int,end:int,loss:boolean>").alias("turns"))
 
 
 def read_back(rendered: DataFrame, conversation: str = "conv_id") -> DataFrame:

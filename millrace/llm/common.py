@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.session import scratch_dir
@@ -56,7 +58,49 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-SPANS = "array<struct<start:int,end:int,value:string>>"
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+CHUNK, LEVELS = 64, 3
+
+
+def _chunks(items: Column) -> Column:
+    """The array cut into arrays of ``CHUNK`` elements."""
+    return let(items, lambda a: F.transform(
+        F.when(F.size(a) > 0, F.sequence(F.lit(0), F.size(a) - 1, F.lit(CHUNK))).otherwise(F.array().cast("array<int>")),
+        lambda i: F.slice(a, i + 1, F.lit(CHUNK))))
+
+
+def scan(items: Column, begin: dict[str, Column], step: Callable[[Column, Column], tuple[list[Column], Column]], out: str) -> Column:
+    """Walk an array from the left and collect what the steps give out, nulls left out.
+
+    ``begin`` names the fields of the state; ``step(state, item)`` returns them, in this order, as they are after the
+    item, and an ``out`` value or null. ``aggregate`` copies its whole state at every step, results so far included, so the
+    walk goes over chunks of chunks, each of which starts with no results: copies grow with the length, not its square.
+    """
+    none = F.array().cast(f"array<{out}>")
+
+    def one(acc: Column, x: Column) -> Column:
+        state, given = step(acc, x)
+        return F.struct(*state, let(given, lambda g: F.when(g.isNull(), acc["done"]).otherwise(F.array_append(acc["done"], g))).alias("done"))
+
+    def over(level: int) -> Callable[[Column, Column], Column]:
+        if level == 0:
+            return one
+        return lambda acc, part: let(
+            F.aggregate(part, F.struct(*[acc[n].alias(n) for n in begin], none.alias("done")), over(level - 1)),
+            lambda r: F.struct(*[r[n].alias(n) for n in begin], F.concat(acc["done"], r["done"]).alias("done")))
+
+    nested = items
+    for _ in range(LEVELS - 1):
+        nested = _chunks(nested)
+    start = F.struct(*[value.alias(n) for n, value in begin.items()], none.alias("done"))
+    return F.aggregate(nested, start, over(LEVELS - 1), lambda acc: acc["done"])
+
+
+SPAN = "struct<start:int,end:int,value:string>"
 
 
 def spans_of(text: Column, pattern: str | Column, group: int = 0, size=F.length) -> Column:
@@ -66,18 +110,17 @@ def spans_of(text: Column, pattern: str | Column, group: int = 0, size=F.length)
     up to the text, so their running lengths are the positions. ``size`` may measure in another unit.
     """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    between = F.transform(F.split(text, pattern, -1), size)
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    values = matches if group == 0 else F.regexp_extract_all(text, pattern, F.lit(group))
-    steps = F.zip_with(
-        F.slice(between, F.lit(1), F.size(matches)), F.arrays_zip(matches.alias("m"), values.alias("v")),
-        lambda gap, x: F.struct(gap.alias("gap"), size(x["m"]).alias("size"), x["v"].alias("value")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("found"))
-    return F.aggregate(
-        steps, begin,
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["size"]).alias("at"),
-            F.array_append(acc["found"], F.struct(
-                (acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["size"]).alias("end"),
-                x["value"].alias("value"))).alias("found")),
-        lambda acc: acc["found"])
+
+    def steps(matches: Column) -> Column:
+        values = matches if group == 0 else F.regexp_extract_all(text, pattern, F.lit(group))
+        between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
+        return F.zip_with(
+            between, F.arrays_zip(matches.alias("m"), values.alias("v")),
+            lambda gap, x: F.struct(size(gap).alias("gap"), size(x["m"]).alias("size"), x["v"].alias("value")))
+
+    def step(acc: Column, x: Column) -> tuple[list[Column], Column]:
+        start = acc["at"] + x["gap"]
+        return [(start + x["size"]).alias("at")], F.struct(start.alias("start"), (start + x["size"]).alias("end"), x["value"].alias("value"))
+
+    return let(F.regexp_extract_all(text, pattern, F.lit(0)), lambda matches: F.when(F.size(matches) > 0, scan(
+        steps(matches), {"at": F.lit(0)}, step, SPAN)).otherwise(F.array().cast(f"array<{SPAN}>")))

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.common import spans_of, whole
+from millrace.llm.common import scan, spans_of, whole
 from millrace.operators.once import with_once
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -223,18 +223,14 @@ def detections(line: Column, opened: Column, rules: list[dict]) -> Column:
         r["number"].alias("number"), r["label"].alias("label"), r["weight"].alias("weight")))))
     # In this order nothing later can contain what came before; reach[p] is the furthest end at priority p.
     levels = max(r["priority"] for r in rules)
-    start = F.struct(
-        F.array_repeat(F.lit(0), levels + 1).alias("reach"),
-        F.array().cast(FOUND).alias("kept"))
-
-    def step(acc: Column, x: Column) -> Column:
+    def step(acc: Column, x: Column) -> tuple[list[Column], Column]:
         end = -x["minus_end"]
         inside = F.array_max(F.slice(acc["reach"], F.lit(1), x["priority"] + 1)) >= end
         reach = F.transform(acc["reach"], lambda r, i: F.when(i == x["priority"], F.greatest(r, end)).otherwise(r))
-        return F.struct(
-            reach.alias("reach"), F.when(inside, acc["kept"]).otherwise(F.array_append(acc["kept"], x)).alias("kept"))
+        return [reach.alias("reach")], F.when(~inside, x)
 
-    return F.when(F.size(opened) > 0, F.aggregate(F.sort_array(raw), start, step, lambda acc: acc["kept"])).otherwise(
+    return F.when(F.size(opened) > 0, scan(
+        F.sort_array(raw), {"reach": F.array_repeat(F.lit(0), levels + 1)}, step, FOUND.removeprefix("array<").removesuffix(">"))).otherwise(
         F.array().cast(FOUND))
 
 

@@ -3,7 +3,7 @@
 Strong spans (assignments, access keys, long hexadecimal runs) are always reported. Weak candidates (access
 identifiers, secret-looking values, endpoints) are ordered by position and swept once in each direction;
 the sweep is an interval join inside a scope, which ends at a blank line. A weak candidate is reported when
-a complementary part lies within reach in its scope: an identifier or endpoint needs a secret, a secret needs
+a complementary part lies in its scope: an identifier or endpoint needs a secret, a secret needs
 an identifier or endpoint. All of it is column functions on one row, so no text moves between tasks.
 
 Defined results: a null or empty text has no spans; repeated rows are scanned each by themselves; extra
@@ -14,23 +14,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.common import spans_of, whole
+from millrace.llm.common import scan, spans_of, whole
 from millrace.operators.once import with_once
 
-# The strong patterns.
+# The strong patterns. Repeats are possessive where they can be: they loop then, where others may recurse or
+# come back.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
-HEX = r"[0-9a-f]+"
+HEX = r"[0-9a-f]{24,}+"
 KINDS = ("assign", "access", "hex", "identifier", "secret", "endpoint", "break")
 
 IDENTIFIER = (r"""(?i)(?<![a-z0-9])(?:user(?:[_-]?(?:name|id))?|login|account(?:[_-]?id)?|client[_-]?id|tenant[_-]?id|"""
-              r"""access[_-]?key[_-]?id|key[_-]?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""")
+              r"""access[_-]?key[_-]?id|key[_-]?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}+""")
 WEAK_SECRET = (r"""(?i)(?<![a-z0-9_])(?:pwd|pass|pass_?phrase|auth|key|credentials?|private_?key|signature)["']?"""
-               r"""\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,}""")
-MIXED = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}"
-ENDPOINT = (r"""(?i)(?<![a-z0-9+.-])(?:[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,}|(?:host|server|endpoint|database|db_?host|url)"""
-            r"""["']?\x20*[:=]\x20*["']?[a-z0-9-]+(?:\.[a-z0-9-]+)+(?::[0-9]{2,5})?)""")
-BLANK_LINE = r"\n[\x20\t\r]*\n"
+               r"""\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,}+""")
+MIXED = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+={0,2}"
+ENDPOINT = (r"""(?i)(?<![a-z0-9+.-])(?:[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,}+|(?:host|server|endpoint|database|db_?host|url)"""
+            r"""["']?\x20*[:=]\x20*["']?[a-z0-9-]++(?:\.[a-z0-9-]++)++(?::[0-9]{2,5})?)""")
+BLANK_LINE = r"\n(?:[\x20\t\r]*+\n)++"
 
 PART = "struct<start:int,rank:int,end:int>"
 PLACE = "struct<start:int,end:int>"
@@ -51,7 +52,7 @@ def when_found(gate: Column, parts: Column) -> Column:
 def strong_parts(text: Column) -> Column:
     assign = F.filter(spans_of(text, ASSIGN, group=2), lambda x: F.length(x["value"]) >= 6)
     access = F.filter(spans_of(text, ACCESS), lambda x: x["end"] - x["start"] >= 20)
-    runs = F.filter(spans_of(text, HEX), lambda x: x["end"] - x["start"] >= 24)
+    runs = spans_of(text, HEX)
     return F.concat(
         when_found(text.rlike("(?i)password|passwd|secret|token|api_?key"), ranked(assign, "assign")),
         when_found(F.contains(text, F.lit("AKIA")), ranked(access, "access")),
@@ -70,51 +71,42 @@ def is_part(x: Column, role: str) -> Column:
     return x["rank"].isin(*roles[role])
 
 
-def sweep(parts: Column, reach: int) -> Column:
+def sweep(parts: Column) -> Column:
     """Parts in order, each with the nearest part of every role before and after it in its scope."""
     none = F.lit(None).cast(PLACE)
     place = lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))
     roles = ("id", "secret", "endpoint")
-
-    def near(seen: Column, x: Column, forward: bool) -> Column:
-        gap = x["start"] - seen["end"] if forward else seen["start"] - x["end"]
-        return F.when(gap <= reach, seen)
+    own = ("start", "rank", "end")
 
     def state(acc: Column, x: Column) -> list[Column]:
         return [F.when(x["rank"] == 6, none).when(is_part(x, r), place(x)).otherwise(acc[r]).alias(r) for r in roles]
 
-    def forward(acc: Column, x: Column) -> Column:
+    def forward(acc: Column, x: Column) -> tuple[list[Column], Column]:
         # A weak value inside a stronger part is that part, not a second one.
         blocked = ((x["rank"] == 3) & (x["start"] < acc["strong_end"])) | ((x["rank"] == 4) & (x["start"] < acc["any_end"]))
-        part = F.struct(
-            x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end"),
-            *[near(acc[r], x, True).alias(f"prev_{r}") for r in roles], *[none.alias(f"next_{r}") for r in roles])
-        moved = F.struct(
+        part = F.struct(*[x[n].alias(n) for n in own], *[acc[r].alias(f"prev_{r}") for r in roles], *[none.alias(f"next_{r}") for r in roles])
+        moved = [
             *state(acc, x),
             F.when(x["rank"] <= 2, F.greatest(acc["strong_end"], x["end"])).otherwise(acc["strong_end"]).alias("strong_end"),
-            F.when(x["rank"] != 6, F.greatest(acc["any_end"], x["end"])).otherwise(acc["any_end"]).alias("any_end"),
-            F.array_append(acc["done"], part).alias("done"))
-        return F.when(blocked, acc).otherwise(moved)
+            F.when(x["rank"] != 6, F.greatest(acc["any_end"], x["end"])).otherwise(acc["any_end"]).alias("any_end")]
+        names = (*roles, "strong_end", "any_end")
+        return [F.when(blocked, acc[n]).otherwise(m).alias(n) for n, m in zip(names, moved, strict=True)], F.when(~blocked, part)
 
-    def backward(acc: Column, x: Column) -> Column:
-        part = F.struct(
-            x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end"),
-            *[x[f"prev_{r}"].alias(f"prev_{r}") for r in roles], *[near(acc[r], x, False).alias(f"next_{r}") for r in roles])
-        return F.struct(*state(acc, x), F.array_append(acc["done"], part).alias("done"))
+    def backward(acc: Column, x: Column) -> tuple[list[Column], Column]:
+        return state(acc, x), F.struct(
+            *[x[n].alias(n) for n in own], *[x[f"prev_{r}"].alias(f"prev_{r}") for r in roles], *[acc[r].alias(f"next_{r}") for r in roles])
 
-    empty = F.array().cast(f"array<{SWEPT}>").alias("done")
-    begin = [none.alias(r) for r in roles]
-    ordered = F.aggregate(
-        F.sort_array(F.array_distinct(parts)),
-        F.struct(*begin, F.lit(-1).alias("strong_end"), F.lit(-1).alias("any_end"), empty), forward, lambda acc: acc["done"])
-    return F.reverse(F.aggregate(F.reverse(ordered), F.struct(*begin, empty), backward, lambda acc: acc["done"]))
+    begin = {r: none for r in roles}
+    # A secret that two patterns find is blocked by itself the second time.
+    ordered = scan(F.sort_array(parts), begin | {"strong_end": F.lit(-1), "any_end": F.lit(-1)}, forward, SWEPT)
+    return F.reverse(scan(F.reverse(ordered), begin, backward, SWEPT))
 
 
 def has(x: Column, role: str) -> Column:
     return x[f"prev_{role}"].isNotNull() | x[f"next_{role}"].isNotNull()
 
 
-def link_secrets(df: DataFrame, text: str = "text", reach: int = 300) -> DataFrame:
+def link_secrets(df: DataFrame, text: str = "text") -> DataFrame:
     """Add the spans of every whole text and the credentials linked from them.
 
     New columns: ``secret_spans``, an array of (start, end, kind) in order of start and kind, and
@@ -129,7 +121,7 @@ def link_secrets(df: DataFrame, text: str = "text", reach: int = 300) -> DataFra
     weak = strong.select(*rest, "_s_strong", when_found(partner, weak_parts(F.col("_s_text"))).alias("_s_weak"))
     no_parts = F.array().cast(f"array<{SWEPT}>")
     parts = F.concat("_s_strong", "_s_weak")
-    swept = weak.select(*rest, F.when(F.size(parts) > 0, sweep(parts, reach)).otherwise(no_parts).alias("_s_swept"))
+    swept = weak.select(*rest, F.when(F.size(parts) > 0, sweep(parts)).otherwise(no_parts).alias("_s_swept"))
     reported = F.filter("_s_swept", lambda x: (x["rank"] <= 2) | (
         ((x["rank"] == 3) | (x["rank"] == 5)) & has(x, "secret")) | ((x["rank"] == 4) & (has(x, "id") | has(x, "endpoint"))))
     kinds = F.array(*[F.lit(k) for k in KINDS])
