@@ -6,7 +6,8 @@ squared counts of partially filled windows. The counts stand in a level array. W
 as allowed, and at the end of a task, windows are filled up exactly by cutting pieces, so that a task leaves
 one window with padding at most.
 
-Defined results: a null or empty text is its end token alone; a null key stays null; repeated rows are packed
+Defined results: ids are those of ``tokenizers`` as they come, so the name of a special token in a text is that token;
+a null or empty text is its end token alone; a null key stays null; repeated rows are packed
 each by themselves; an empty table gives no rows; columns beside key and text are dropped.
 """
 
@@ -146,7 +147,7 @@ def pack_squares(df: DataFrame, key: str = "doc_id", text: str = "text", window:
         from pyspark import TaskContext
 
         first = TaskContext.get().partitionId() << 32
-        codec, packer, key_type = encoder(ranks), SquaresPacker(window, most_open), None
+        codec, packer, key_type = encoder(ranks, special=True), SquaresPacker(window, most_open), None
 
         def rows(placed: list[Placed]) -> pa.RecordBatch:
             raw = [p.ids.tobytes() for p, _, _ in placed]

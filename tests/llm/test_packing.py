@@ -13,6 +13,12 @@ from millrace.llm.squares_packing import Piece, SquaresPacker, pack_squares
 from millrace.llm.token_ids import encoder
 
 
+@pytest.fixture(scope="module")
+def special_ids():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
 @pytest.fixture(scope="module")
 def plain_ids():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -28,6 +34,24 @@ def test_ids_are_those_of_the_tokenizer(documents, plain_ids):
         assert encoder().encode(text).tolist() == plain_ids(text)
 
 
+END = "<|endoftext|>"
+
+
+@pytest.mark.parametrize("text", [END, END * 3, f"{END} x", f"x {END}", f"a {END} b", f"a  {END}\n{END}  b", f"<|{END}|>", "<|endoftext|", f"😀{END}é", f" {END} "])
+def test_names_of_special_tokens(text, special_ids, plain_ids):
+    assert encoder(special=True).encode(text).tolist() == special_ids(text)
+    assert encoder().encode(text).tolist() == plain_ids(text)
+
+
+def test_packed_ids_are_those_of_the_tokenizer(spark, special_ids):
+    texts = [f"a {END} b", END, f"{END}{END}tail", "plain", None, "word " * 3000 + END]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pieces = {}
+    for r in pack_squares(docs, with_ids=True).collect():
+        pieces.setdefault(r.doc_id, []).append((r.start, np.frombuffer(r.ids, "<u4").tolist()))
+    assert {k: [i for _, ids in sorted(p) for i in ids] for k, p in pieces.items()} == {k: [*special_ids(t), 0] for k, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("text", ["a " + " " * 1_100_000 + "b", "a" + "\n" * 1_100_000, "\u3000" * 1_050_000 + "<|endoftext|> b " + "\t" * 1_050_000 + "\x1c"])
 def test_long_runs_of_white_space(text, plain_ids):
     assert encoder().encode(text, 7).tolist() == plain_ids(text) + [7]
