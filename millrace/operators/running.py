@@ -1,10 +1,10 @@
 """Running maximum over an ordered sequence, computed in parallel.
 
-A window over one key (or over no key at all) puts the whole sequence of that key into one task.
-Here the sequences of hot keys are cut into slices of about equal row count: each slice folds to one
-maximum, the slice maxima are scanned (at most one row per slice and key), and each slice then runs
-its own window from the maximum carried in. Key and slice together form the *place* of a row, which
-decides its partition. Keys that are not hot have a single slice and nothing to carry.
+A window over one key (or over no key at all) puts the whole sequence of that key into one task. Here rows
+are cut into slices by ranges of keys and all order columns together, so slices hold about equal numbers of rows
+whatever the keys and ties are: each slice folds to one maximum per key, the folds of keys that lie in several slices
+are scanned, and each slice then runs its own window from the maximum carried in. Slice and key together
+form the *place* of a row, which decides its partition.
 """
 
 from __future__ import annotations
@@ -12,9 +12,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 FEWEST_SLICES = 16
+# Rows looked at per slice to find the ranges; they are all that passes the driver.
+SAMPLE_PER_SLICE = 60
 
 
 def default_slices(df: DataFrame) -> int:
@@ -23,55 +25,41 @@ def default_slices(df: DataFrame) -> int:
     return max(FEWEST_SLICES, wanted)
 
 
-def _position(c: Column, data_type: T.DataType) -> Column:
-    """The order column as a number that sorts the same way."""
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(data_type, T.NumericType):
-        return c
-    raise ValueError("slices need a numeric or time-like first order column")
+def slice_bounds(df: DataFrame, columns: Sequence[str], slices: int) -> list[Row]:
+    """At most ``slices - 1`` rows of the named columns that cut the table into ranges of about equal row count.
 
-
-def hot_keys(df: DataFrame, keys: Sequence[str], slices: int) -> DataFrame:
-    """Keys holding more than one ``slices``-th of all rows.
-
-    There can be fewer than ``slices`` of them whatever the data, so the list may pass through the
-    driver. The counts are folded in each task before they move.
+    They come from a sample whose expected size is set by ``slices``, not by the data.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    least = df.count() / slices
-    found = counts.filter(F.col("n") > least).select(*keys).collect()
-    return df.sparkSession.createDataFrame(found, df.select(*keys).schema)
+    positions = df.select(*columns)
+    wanted, total = slices * SAMPLE_PER_SLICE, df.count()
+    sample = positions if total <= wanted else positions.sample(fraction=wanted / total, seed=1)
+    # Spark sorts, so that the order is that of its structs: nulls first, fields from the left.
+    rows = sample.select(F.struct(*columns).alias("at")).sort("at").collect()
+    cuts = [rows[i * len(rows) // slices]["at"] for i in range(1, slices)] if rows else []
+    return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
 
 
-def slice_bounds(df: DataFrame, order: str, slices: int) -> list:
-    """At most ``slices - 1`` cut points of the order column, from one column scan."""
-    position = _position(F.col(order), df.schema[order].dataType)
-    cuts = [i / slices for i in range(1, slices)]
-    # One row with one array: its length is set by `slices`, not by the data.
-    found = df.agg(F.percentile_approx(position, cuts, 100 * slices).alias("cuts")).first()["cuts"]
-    return sorted(set(found or []))
+def _literal(row: Row, schema: T.StructType) -> Column:
+    return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def slice_number(c: Column, data_type: T.DataType, bounds: list) -> Column:
-    """How many bounds lie below the value, by binary search; null sorts first."""
-    if not bounds:
+def slice_number(position: Column, bounds: Column, count: int) -> Column:
+    """How many of ``count`` bounds lie at or below the position, by binary search."""
+    if not count:
         return F.lit(0)
     widths = [1]
-    while widths[0] * 2 <= len(bounds):
+    while widths[0] * 2 <= count:
         widths.insert(0, widths[0] * 2)
-    position = _position(c, data_type)
-    cuts = F.array(*map(F.lit, bounds))
 
     def advance(at: Column, width: Column) -> Column:
-        return F.when(F.get(cuts, at + width - 1) < position, at + width).otherwise(at)
+        return F.when((at + width <= count) & (F.get(bounds, at + width - 1) <= position), at + width).otherwise(at)
 
-    return F.coalesce(F.aggregate(F.array(*map(F.lit, widths)), F.lit(0), advance), F.lit(0))
+    return F.aggregate(F.array(*map(F.lit, widths)), F.lit(0), advance)
 
 
 @dataclass(frozen=True)
 class Placed:
-    """A table whose rows know their place; ``sliced`` tells whether any key has several slices."""
+    """A table whose rows know their place; ``sliced`` tells whether there are several slices."""
 
     df: DataFrame
     keys: tuple[str, ...]
@@ -86,26 +74,29 @@ class Placed:
 def place_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None
 ) -> Placed:
-    """Add ``__place``, made of key and slice number, and ``__hot`` for keys that are sliced.
+    """Add ``__place``, made of key and slice number, and ``__shared`` for rows whose key may lie in several slices.
 
-    ``order`` must be unique within a key. Slice numbers never decrease along its first column. The
-    place is a struct, so that a null key is a value like any other in joins and windows.
+    ``order`` must be unique within a key. The place is a struct, so that a null key is a value like any
+    other in joins and windows.
     """
-    slices = slices or default_slices(df)
-    hot = hot_keys(df, keys, slices) if keys else None
-    if hot is not None and hot.isEmpty():
-        df = df.withColumns({"__hot": F.lit(False), "__slice": F.lit(0)})
+    columns = [*keys, *[c for c in order if c not in keys]]
+    bounds = slice_bounds(df, columns, slices or default_slices(df))
+    if not bounds:
+        df = df.withColumns({"__slice": F.lit(0), "__shared": F.lit(False)})
         return Placed(df.withColumn("__place", F.struct(*keys, "__slice")), tuple(keys), tuple(order), False)
-    if hot is None:
-        df = df.withColumn("__hot", F.lit(True))
-    else:
-        tag = hot.select(F.struct(*keys).alias("__key"), F.lit(True).alias("__listed"))
-        # Fewer than `slices` rows by construction.
-        df = df.join(F.broadcast(tag), F.struct(*keys) == F.col("__key"), "left")
-        df = df.withColumn("__hot", F.col("__listed").isNotNull()).drop("__listed", "__key")
-    bounds = slice_bounds(df.filter("__hot"), order[0], slices)
-    number = slice_number(F.col(order[0]), df.schema[order[0]].dataType, bounds)
-    df = df.withColumn("__slice", F.when(F.col("__hot"), number).otherwise(F.lit(0)))
+    schema = df.select(*columns).schema
+    cuts = F.array(*[_literal(b, schema) for b in bounds])
+    df = df.withColumn("__slice", slice_number(F.struct(*columns), cuts, len(bounds)))
+    # A key lies in several slices only if a bound is one of its rows: the last bound below this row, or the next one.
+    shared = F.lit(True)
+    for k in keys:
+        shared = shared & F.get(cuts, F.col("__slice") - 1)[k].eqNullSafe(F.col(k))
+    after = F.lit(True)
+    for k in keys:
+        after = after & F.get(cuts, F.col("__slice"))[k].eqNullSafe(F.col(k))
+    below = (F.col("__slice") > 0) & shared
+    above = (F.col("__slice") < len(bounds)) & after
+    df = df.withColumn("__shared", below | above)
     return Placed(df.withColumn("__place", F.struct(*keys, "__slice")), tuple(keys), tuple(order), True)
 
 
@@ -120,11 +111,12 @@ def earlier_max(placed: Placed, value: Column, out: str) -> Placed:
     if not placed.sliced:
         return placed.but(valued.withColumn(out, local).drop("__value"))
     per_slice = (
-        valued.filter("__hot").groupBy(*placed.keys, "__slice", "__place").agg(F.max("__value").alias("__top"))
+        valued.filter("__shared").groupBy(*placed.keys, "__slice", "__place").agg(F.max("__value").alias("__top"))
     )
     scan = Window.partitionBy(*placed.keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_slice.select(F.col("__place").alias("__from"), F.max("__top").over(scan).alias("__carried"))
-    joined = valued.join(carried, F.col("__place") == F.col("__from"), "left")
+    # Each bound has one key, and a key is shared only by the slices beside its bounds: at most two rows per slice.
+    joined = valued.join(F.broadcast(carried), F.col("__place") == F.col("__from"), "left")
     return placed.but(
         joined.withColumn(out, F.greatest(local, F.col("__carried"))).drop("__value", "__carried", "__from")
     )

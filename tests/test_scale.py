@@ -2,10 +2,10 @@
 
 import pytest
 from helpers import values
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from millrace.operators import steps as S
-from millrace.operators.running import earlier_max, hot_keys, place_rows, slice_number
+from millrace.operators.running import earlier_max, place_rows, slice_number
 from millrace.plans.registry import all_queries
 from millrace.sinks import write_curated
 
@@ -54,16 +54,28 @@ def test_hot_join_key_is_split(spark, small_targets, how):
     assert grouped.filter("k = 7").first()[1] == 40_000
 
 
-def test_only_hot_keys_are_sliced(spark):
+def test_hot_keys_lie_in_many_slices(spark):
     df = spark.range(10_000).select(
         F.when(F.col("id") % 2 == 0, None).otherwise(F.col("id") % 97).alias("k"), F.col("id").alias("seq"))
-    assert values(hot_keys(df, ["k"], 32)) == [(None,)]
     placed = place_rows(df, ["k"], ["seq"], 32)
-    per_key = placed.df.groupBy("k").agg(F.count_distinct("__place").alias("n"))
-    assert per_key.filter("k IS NULL").first().n == 32 and per_key.filter("k IS NOT NULL").agg(F.max("n")).first()[0] == 1
-    assert placed.df.groupBy("__place").count().agg(F.max("count")).first()[0] < 500
-    cold = place_rows(df.filter("k IS NOT NULL"), ["k"], ["seq"], 32)
-    assert not cold.sliced
+    per_key = placed.df.groupBy("k").agg(F.count_distinct("__slice").alias("n"))
+    assert per_key.filter("k IS NULL").first().n >= 14
+    assert placed.df.groupBy("__slice").count().agg(F.max("count")).first()[0] < 1000
+    # Rows of keys in one slice carry nothing; those in several all do.
+    several = placed.df.groupBy("k").agg(F.count_distinct("__slice").alias("n"), F.bool_and("__shared").alias("s"))
+    assert several.filter("n > 1 AND NOT s").count() == 0 and several.filter("NOT s").count() > 0
+
+
+@pytest.mark.parametrize("first", ["CAST(NULL AS BIGINT)", "7L", "date'2024-01-01'", "'text'", "double('nan')"])
+def test_a_tied_first_column_spreads_over_all_tasks(spark, first):
+    df = spark.range(0, 100_000, 1, 8).selectExpr(f"{first} AS a", "CAST(id AS STRING) AS b", "pmod(hash(id), 1000) AS v")
+    placed = place_rows(df, [], ["a", "b"], 16)
+    counts = [r["count"] for r in placed.df.groupBy("__slice").count().collect()]
+    assert len(counts) == 16 and max(counts) < 15_000
+    marked = earlier_max(placed, F.col("v"), "before").df
+    window = Window.orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
+    want = df.withColumn("want", F.max("v").over(window)).select("b", "want")
+    assert marked.join(want, "b").filter("NOT (before <=> want)").count() == 0
 
 
 def test_rows_move_once_for_two_running_maxima(spark, small_targets, tmp_path):
@@ -78,8 +90,9 @@ def test_rows_move_once_for_two_running_maxima(spark, small_targets, tmp_path):
 @pytest.mark.parametrize("bounds", [[], [5], [1, 2, 3], [0, 10, 20, 30, 40, 50, 60]])
 def test_slice_number_counts_lower_bounds(spark, bounds):
     df = spark.createDataFrame([(x,) for x in (None, -1, 0, 1, 5, 6, 30, 31, 99)], "x bigint")
-    for r in df.select("x", slice_number(F.col("x"), df.schema["x"].dataType, bounds).alias("s")).collect():
-        assert r.s == (0 if r.x is None else sum(b < r.x for b in bounds))
+    cuts = F.array(*[F.struct(F.lit(b).cast("bigint").alias("x")) for b in bounds])
+    for r in df.select("x", slice_number(F.struct("x"), cuts, len(bounds)).alias("s")).collect():
+        assert r.s == (0 if r.x is None else sum(b <= r.x for b in bounds))
 
 
 def test_large_partition_value_is_written_by_several_tasks(spark, small_targets, tmp_path):
