@@ -58,7 +58,10 @@ def hwm_ts_batch(t: Tables) -> DataFrame:
     SELECT event_id, user_id, happened FROM times WHERE seen_at IS NULL OR happened > seen_at
 """)
 def hwm_stream(t: Tables) -> DataFrame:
-    """Two waves of files with a restart in between; the marks live on in the checkpointed state."""
+    """Two waves of files with a restart in between; the marks live on in the checkpointed state.
+
+    The streams run while the query is built.
+    """
     base = scratch_dir(t.spark, "marks")
     arrivals = _arrivals(t)
     middle = arrivals.agg(F.percentile_approx("arrival", 0.5)).first()[0] or 0
@@ -67,7 +70,7 @@ def hwm_stream(t: Tables) -> DataFrame:
         stream = read_stream(t.spark, f"{base}/landing", arrivals.schema, "parquet")
         high_water_stream(
             stream, order=["arrival", "event_id"], id_column="event_id", time_column="happened",
-            sink=f"{base}/kept", state=f"{base}/state", checkpoint=f"{base}/checkpoint",
+            sink=f"{base}/kept", checkpoint=f"{base}/checkpoint",
         ).awaitTermination()
     return t.spark.read.schema(arrivals.schema).parquet(f"{base}/kept").select("event_id", "user_id", "happened")
 

@@ -7,16 +7,17 @@ read, pass and leave the mark alone. Marks are kept per key; without keys there
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from millrace.functions import event_epoch, number_text
 from millrace.operators.running import Placed, earlier_max, place_rows
 
 ALL = "__all"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _comparable_id(df: DataFrame, id_column: str) -> Column:
@@ -35,11 +36,10 @@ def _comparable_id(df: DataFrame, id_column: str) -> Column:
     ))
 
 
-def _passes(placed: Placed, value: Column, start: str | None) -> Placed:
+def _passes(placed: Placed, value: Column) -> Placed:
     """Rows whose value is null or greater than the mark left by the rows before them."""
     marked = earlier_max(placed.but(placed.df.withColumn("__v", value)), F.col("__v"), "__before").df
-    before = F.greatest("__before", start) if start else F.col("__before")
-    kept = marked.filter(F.col("__v").isNull() | before.isNull() | (F.col("__v") > before))
+    kept = marked.filter(F.col("__v").isNull() | F.col("__before").isNull() | (F.col("__v") > F.col("__before")))
     return placed.but(kept.drop("__v", "__before"))
 
 
@@ -51,86 +51,61 @@ def high_water_filter(
     id_column: str | None = None,
     time_column: str | None = None,
     slices: int | None = None,
-    marks: DataFrame | None = None,
 ) -> DataFrame:
     """Filter a table in arrival order.
 
-    ``order`` is the arrival order, unique within a key; its first column cuts the sequence into
-    slices that are worked on in parallel. ``marks`` continues from earlier marks, as left behind by
-    :func:`high_water_stream`.
+    ``order`` is the arrival order, unique within a key; keys and order together cut the table into slices that are
+    worked on in parallel.
     """
     columns = df.columns
-    if marks is not None:
-        starts = marks.select(F.struct(*keys, ALL).alias("__of"), F.col("id_mark").alias("__id_start"),
-                              F.col("time_mark").alias("__time_start"))
-        df = df.join(starts, F.struct(*keys, F.lit(0).alias(ALL)) == F.col("__of"), "left").drop("__of")
     placed = place_rows(df, keys, order, slices)
     if id_column:
-        placed = _passes(placed, _comparable_id(df, id_column), "__id_start" if marks is not None else None)
+        placed = _passes(placed, _comparable_id(df, id_column))
     if time_column:
-        time = event_epoch(F.col(time_column), df.schema[time_column].dataType)
-        placed = _passes(placed, time, "__time_start" if marks is not None else None)
+        placed = _passes(placed, event_epoch(F.col(time_column), df.schema[time_column].dataType))
     return placed.df.select(*columns)
 
 
-def _moved_marks(
-    batch: DataFrame, kept: DataFrame, keys: Sequence[str], id_column: str | None, time_column: str | None
-) -> DataFrame:
-    """How far a batch moved the marks.
-
-    The greatest id of all rows always passes the id test, and the greatest time of the rows that
-    pass it always passes the time test. So ids are taken from the batch and times from what was kept.
-    """
-    place = [*keys, F.lit(0).alias(ALL)]
-    id_value = F.max(_comparable_id(batch, id_column)) if id_column else F.lit(None).cast("bigint")
-    ids = batch.groupBy(*place).agg(id_value.alias("id_mark"), F.lit(None).cast("double").alias("time_mark"))
-    if not time_column:
-        return ids
-    epoch = event_epoch(F.col(time_column), kept.schema[time_column].dataType)
-    times = kept.groupBy(*place).agg(F.max(epoch).alias("time_mark"))
-    return ids.unionByName(times, allowMissingColumns=True)
-
-
-def _merged(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """One row per key. A mark is a maximum, so parts merge in any order and any number of times."""
-    both = reduce(DataFrame.unionByName, parts)
-    return both.groupBy(*keys, ALL).agg(F.max("id_mark").alias("id_mark"), F.max("time_mark").alias("time_mark"))
-
-
-class _MarkLog:
-    """Marks of a stream as a folder: what each batch moved, and a merged snapshot per period.
-
-    A period is ``every`` batches. Its snapshot holds everything before it. Two halves of folders take
-    turns, so the log stays bounded without deleting, and what a replayed batch needs is still there.
-    """
-
-    def __init__(self, folder: str, keys: Sequence[str], every: int) -> None:
-        self.folder, self.keys, self.every = folder.rstrip("/"), keys, every
-
-    def _snapshot(self, period: int) -> str:
-        return f"{self.folder}/half={period % 2}/snapshot"
-
-    def _delta(self, batch_id: int) -> str:
-        period, place = divmod(batch_id, self.every)
-        return f"{self.folder}/half={period % 2}/delta-{place}"
-
-    def _parts(self, spark: SparkSession, period: int, end: int) -> list[DataFrame]:
-        """Snapshot of a period and the batches of it before ``end``."""
-        paths = [self._snapshot(period)] if period else []
-        paths += [self._delta(b) for b in range(period * self.every, end)]
-        return [spark.read.parquet(p) for p in paths]
-
-    def before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """The marks all earlier batches left; the first batch of a period writes its snapshot."""
-        period = batch_id // self.every
-        if period and batch_id == period * self.every:
-            merged = _merged(self._parts(spark, period - 1, batch_id), self.keys)
-            merged.write.mode("overwrite").parquet(self._snapshot(period))
-        parts = self._parts(spark, period, batch_id)
-        return _merged(parts, self.keys) if parts else None
-
-    def write(self, moved: DataFrame, batch_id: int) -> None:
-        _merged([moved], self.keys).write.mode("overwrite").parquet(self._delta(batch_id))
+class _MarkKeeper(StatefulProcessor):
+    """Marks of one key in Spark's keyed state; lets the rows of a batch pass in arrival order."""
+
+    def __init__(self, mark_schema: T.StructType, columns: Sequence[str], order: Sequence[str]) -> None:
+        self.mark_schema, self.columns, self.order = mark_schema, list(columns), list(order)
+        self.parts = mark_schema.names[:-1]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.marks = handle.getValueState("marks", self.mark_schema)
+
+    def handleInputRows(self, key: object, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:  # noqa: N802, N803
+        held = self.marks.get() if self.marks.exists() else None
+        # The state is flat: the parts of the id, all null before the first one, and the time.
+        seen_id, seen_at = (tuple(held[:-1]), held[-1]) if held else (None, None)
+        if seen_id is not None and all(v is None for v in seen_id):
+            seen_id = None
+        moved, made = None, Row(*self.columns)
+        for row in sorted(rows, key=lambda r: [_ordered(r[c]) for c in self.order]):
+            own, at = tuple(row[p] for p in self.parts), row["__at"]
+            if own[0] is not None:
+                if seen_id is not None and _ordered(own) <= _ordered(seen_id):
+                    continue
+                seen_id, moved = own, True
+            if at is not None:
+                if seen_at is not None and at <= seen_at:
+                    continue
+                seen_at, moved = at, True
+            yield made(*[row[c] for c in self.columns])
+        if moved:
+            self.marks.update((*(seen_id or [None] * len(self.parts)), seen_at))
+
+    def close(self) -> None:
+        pass
+
+
+def _ordered(value: object) -> tuple:
+    """A value that compares like Spark's: nulls first, several values one after the other."""
+    if isinstance(value, tuple):
+        return tuple(_ordered(v) for v in value)
+    return (0,) if value is None else (1, value)
 
 
 def high_water_stream(
@@ -138,41 +113,41 @@ def high_water_stream(
     *,
     order: Sequence[str],
     sink: str,
-    state: str,
     checkpoint: str,
     keys: Sequence[str] = (),
     id_column: str | None = None,
     time_column: str | None = None,
-    slices: int | None = None,
-    snapshot_every: int = 20,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Run the same filter over a stream and append what passes to ``sink``.
 
-    Each micro-batch is filtered with the parallel plan above, starting from the marks of the batches
-    before, so a hot key (or the single global mark) does not end up in one task. ``sink``, ``state``
-    and ``checkpoint`` are folders all executors share.
+    The marks of a key are a value in Spark's keyed state, in the RocksDB store: a batch reads and writes the marks of
+    the keys that it holds and no others, and a restart finds them in the checkpoint. ``sink`` and
+    ``checkpoint`` are folders all executors share; the sink's log makes replayed batches count once.
 
-    A batch writes only the marks it moved; all marks are merged every ``snapshot_every`` batches, a
-    number that must stay the same over restarts. A batch that is replayed after a failure reads the
-    same earlier marks and overwrites its own output, so nothing is lost or doubled. Read the sink
-    with its schema, since it is laid out by batch.
+    Rows of one key (or all of them, without keys) pass in arrival order, so a batch sorts the rows of a key in one task.
+    Those rows are bounded by what a batch admits (``maxFilesPerTrigger`` or the like on the source).
     """
-    marks = _MarkLog(state, keys, snapshot_every)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        old = marks.before(spark, batch_id)
-        batch = batch.persist()
-        try:
-            target = f"{sink.rstrip('/')}/batch={batch_id}"
-            high_water_filter(
-                batch, order=order, keys=keys, id_column=id_column, time_column=time_column, slices=slices, marks=old,
-            ).write.mode("overwrite").parquet(target)
-            kept = spark.read.schema(batch.schema).parquet(target)
-            marks.write(_moved_marks(batch, kept, keys, id_column, time_column), batch_id)
-        finally:
-            batch.unpersist()
-
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    columns = stream.columns
+    id_value = _comparable_id(stream, id_column) if id_column else F.lit(None).cast("bigint")
+    at = event_epoch(F.col(time_column), stream.schema[time_column].dataType) if time_column else F.lit(None).cast("double")
+    valued = stream.withColumns({"__id": id_value, "__at": at, ALL: F.lit(0)})
+    # Keyed state and its rows hold plain values, so a structured id is taken apart.
+    id_type = valued.schema["__id"].dataType
+    own = {f"__id_{f.name}": F.col(f"__id.{f.name}") for f in id_type} if isinstance(id_type, T.StructType) else {"__id_value": F.col("__id")}
+    valued = valued.withColumns(own).drop("__id")
+    mark = T.StructType([valued.schema[n] for n in (*own, "__at")])
+    kept = valued.groupBy(*(keys or [ALL])).transformWithState(
+        statefulProcessor=_MarkKeeper(mark, columns, order), outputStructType=stream.schema, outputMode="Append", timeMode="None")
+    spark = stream.sparkSession
+    before = spark.conf.get(STATE_STORE, None)
+    # A query keeps the settings that it starts with.
+    spark.conf.set(STATE_STORE, ROCKS)
+    try:
+        writer = kept.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+        return writer.trigger(**(trigger or {"availableNow": True})).start(sink)
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
