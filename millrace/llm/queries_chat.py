@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.llm.chat_events import fold_events, read_back, render
 from millrace.llm.common import table
@@ -13,31 +13,84 @@ CONTROL_CASE = "</s>[INST] ok [/INST]"
 
 
 def conversation_log(rows: DataFrame) -> DataFrame:
-    """A log that leads to the given rows: every message is opened with its first half and streamed on."""
-    ranked = rows.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).groupBy("conv_id", "turn").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("role", F.lit("")).alias("role"), "text"))).alias("rows"))
-    each = ranked.select("conv_id", "turn", F.posexplode("rows").alias("copy", "row"))
-    text, half = F.col("row.text"), F.floor(F.length("row.text") / 2).cast("int")
-    events = F.array(
-        F.struct(F.lit(0).alias("seq"), F.lit("open").alias("kind"), F.substr(text, F.lit(1), half).alias("text")),
-        F.struct(F.lit(1).alias("seq"), F.lit("delta").alias("kind"), F.substr(text, half + 1).alias("text")))
-    return each.select("conv_id", "turn", "copy", F.col("row.role").alias("role"), F.explode(events).alias("event")).select(
-        "conv_id", "turn", "copy", "role", "event.*")
+    """A log that leads to the given rows by every kind of event.
+
+    Each message is opened with a draft (its text backwards), streamed on, then edited to its first half and streamed to
+    its end. A third of the turns are regenerated after that: they and all later turns of the conversation are
+    streamed anew, and a turn that stood behind them is not said again. One delta of each message comes twice, and events
+    stand in falling sequence.
+    """
+    text = F.coalesce("text", F.lit(""))
+    ranked = rows.select("conv_id", "turn", F.struct(F.coalesce("role", F.lit("")).alias("role"), text.alias("text")).alias("row")).groupBy(
+        "conv_id", "turn").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("conv_id", "turn")])
+    again = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long") % 3 == 0
+    so_far = Window.partitionBy("conv_id").orderBy("turn")
+    told = ranked.withColumn("again", again).withColumn("cut", F.bool_or("again").over(so_far))
+    each = told.select("conv_id", "turn", "again", "cut", F.posexplode("rows").alias("copy", "row"))
+    body = F.col("row.text")
+    half = F.floor(F.length(body) / 2).cast("int")
+    first, rest = F.substr(body, F.lit(1), half), F.substr(body, half + 1)
+    role = F.col("row.role")
+
+    def event(seq: int, kind: str, said: Column, who: Column | None = None, copy: Column | None = None) -> Column:
+        return F.struct(
+            (copy if copy is not None else F.col("copy")).alias("copy"), (who if who is not None else F.lit(None).cast("string")).alias("role"),
+            F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), said.alias("text"))
+
+    none = F.lit(None).cast("string")
+    streamed = F.when(F.col("cut"), F.array(event(120, "delta", rest), event(110, "delta", first)))
+    regenerated = F.when(F.col("again"), F.array(
+        event(100, "regenerate", none), event(30, "open", F.lit("not said again"), F.lit("user"), F.lit(1_000_000))))
+    drafted = F.array(
+        event(60, "delta", rest), event(50, "edit", first), event(20, "delta", F.lit(" ...")), event(20, "delta", F.lit(" ...")),
+        event(10, "open", F.reverse(body), role))
+    nothing = F.slice(drafted, 1, 0)
+    events = F.concat(F.coalesce(streamed, nothing), F.coalesce(regenerated, nothing), drafted)
+    return each.select("conv_id", "turn", F.explode(events).alias("event")).select("conv_id", "turn", "event.*")
 
 
 @query("op7_chat_events", r"""
     WITH c AS (
         SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
         UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+    ), r AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY role, text) - 1 AS copy, length(text) // 2 AS half,
+               CAST('0x' || substr(md5(coalesce(CAST(conv_id AS VARCHAR), '') || ':' || coalesce(CAST(turn AS VARCHAR), '')), 1, 8) AS BIGINT) % 3 = 0 AS again
+        FROM c
+    ), k AS (
+        SELECT *, bool_or(again) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cut FROM r
+    ), log AS (
+        SELECT conv_id, turn, copy, 10 AS seq, 'open' AS kind, role, reverse(text) AS text FROM k
+        UNION ALL SELECT conv_id, turn, copy, 20, 'delta', NULL, ' ...' FROM k, range(2)
+        UNION ALL SELECT conv_id, turn, copy, 50, 'edit', NULL, left(text, half) FROM k
+        UNION ALL SELECT conv_id, turn, copy, 60, 'delta', NULL, substr(text, half + 1) FROM k
+        UNION ALL SELECT conv_id, turn, copy, 100, 'regenerate', NULL, NULL FROM k WHERE again
+        UNION ALL SELECT conv_id, turn, 1000000, 30, 'open', 'user', 'not said again' FROM k WHERE again
+        UNION ALL SELECT conv_id, turn, copy, 110, 'delta', NULL, left(text, half) FROM k WHERE cut
+        UNION ALL SELECT conv_id, turn, copy, 120, 'delta', NULL, substr(text, half + 1) FROM k WHERE cut
+    ), once AS (SELECT DISTINCT * FROM log),
+    cuts AS (
+        SELECT *, max(CASE WHEN kind = 'regenerate' THEN seq END) OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, copy RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS dropped FROM once
+    ), alive AS (
+        SELECT *, max(CASE WHEN kind <> 'delta' THEN seq END) OVER (PARTITION BY conv_id, turn, copy) AS reset FROM cuts WHERE dropped IS NULL OR seq >= dropped
+    ), said AS (
+        SELECT conv_id, turn, copy, string_agg(coalesce(text, ''), '' ORDER BY seq) AS text FROM alive WHERE reset IS NULL OR seq >= reset GROUP BY conv_id, turn, copy
+    ), named AS (
+        SELECT conv_id, turn, copy, arg_min(role, seq) AS role FROM once WHERE kind = 'open' GROUP BY conv_id, turn, copy
+    ), messages AS (
+        SELECT s.conv_id, s.turn, s.copy, coalesce(n.role, '') AS role, s.text FROM said s LEFT JOIN named n
+        ON n.conv_id IS NOT DISTINCT FROM s.conv_id AND n.turn IS NOT DISTINCT FROM s.turn AND n.copy = s.copy
     ), shown AS (
         SELECT *, '<|im_start|>' || url_encode(role) || chr(10) || regexp_replace(text,
             '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|/?s>|/?INST\]|<SYS>>|</SYS>>)', '\1\\\2\3', 'g')
-            || '<|im_end|>' || chr(10) AS block FROM c
+            || '<|im_end|>' || chr(10) AS block FROM messages
     )
     SELECT conv_id, count(*) AS n_turns,
-           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, copy)) AS turns_sha256,
            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, copy) FILTER (role = 'assistant'), '')) AS loss_sha256,
            CAST(sum(length(block)) AS BIGINT) AS formatted_chars
     FROM shown GROUP BY conv_id
 """)

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm.chat_events import escape, fold_events, read_back, render, unescape
+from millrace.llm.queries_chat import conversation_log
 
 LOG = "conv_id long, turn long, seq long, kind string, role string, text string"
 
@@ -54,3 +55,26 @@ def test_rendered_text_reads_back(spark):
     assert [(m.role, m.text) for m in read[1].messages] == [(r, t) for _, _, r, t in rows[:len(TEXTS)]]
     assert read[1].learnt == [t for i, t in enumerate(TEXTS) if i % 2]
     assert read[2].messages[0].role == "a\nb <|im_end|>" and read[3].messages[0].text == ""
+
+
+LOGGED = [(1, i, "assistant" if i % 2 else "user", f"text {i} of this") for i in range(6)] + [(2, 0, "user", "a"), (2, 0, "user", "a"), (2, 1, "assistant", ""), (None, None, None, None)] + [
+    (c, t, "user", f"{c} {t}") for c in range(3, 20) for t in range(4)]
+
+
+def test_the_registered_log_folds_to_its_rows(spark):
+    rows = spark.createDataFrame(LOGGED, "conv_id long, turn long, role string, text string")
+    log = conversation_log(rows)
+    kinds = {r.kind: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert set(kinds) == {"open", "delta", "edit", "regenerate"} and log.filter("text = 'not said again'").count() > 5
+    assert log.count() > log.distinct().count() == log.dropDuplicates(["conv_id", "turn", "copy", "seq"]).count()
+    messages = fold_events(log, turn=("turn", "copy"))
+    have = sorted((repr(r.conv_id), repr(r.turn), r.role, r["text"]) for r in messages.collect())
+    assert have == sorted((repr(c), repr(t), r or "", x or "") for c, t, r, x in LOGGED)
+
+
+@pytest.mark.parametrize("kind", ["edit", "regenerate"])
+def test_every_reset_counts(spark, kind):
+    rows = spark.createDataFrame(LOGGED, "conv_id long, turn long, role string, text string")
+    messages = fold_events(conversation_log(rows).filter(f"kind <> '{kind}'"), turn=("turn", "copy"))
+    have = sorted((repr(r.conv_id), repr(r.turn), r.role, r["text"]) for r in messages.collect())
+    assert have != sorted((repr(c), repr(t), r or "", x or "") for c, t, r, x in LOGGED)
