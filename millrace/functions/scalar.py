@@ -235,13 +235,15 @@ def _json_path(path: str | None, quote: str) -> str:
 def whole_json(text: Any) -> Column:
     """Variant of a text that is one JSON value and nothing else; null otherwise. Of repeated keys the last counts.
 
-    The parser stops after the first value. Inside brackets anything that follows is an error or a second
-    element; inside an object what could close the brackets early is an error.
+    The parser stops after the first value, so the text is parsed as the first of two elements. The second is a hash of the
+    text, which the text cannot hold itself: it is only found in its place if nothing in the text closed the brackets.
     """
     text = _col(text)
-    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
-    named = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return F.when(named.isNotNull() & (F.size(listed) == 1), F.get(listed, 0))
+    mark = F.xxhash64(text)
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]"))), "$", "array<variant>")
+    # Named once, so that the text is not parsed for each use.
+    return F.element_at(F.transform(F.array(listed), lambda a: F.when(
+        (F.size(a) == 2) & (F.try_variant_get(F.get(a, 1), "$", "bigint") == mark), F.get(a, 0))), 1)
 
 
 def json_lookup(c: Column, path: str | None) -> Column:

@@ -9,7 +9,7 @@ from millrace.plans.registry import Tables, query
 from millrace.session import scratch_dir
 from millrace.sinks import write_curated, write_jsonl, write_raw
 from millrace.sinks.lake import overwrite_table
-from millrace.sources.files import json_documents, merge_datasets, read_table
+from millrace.sources.files import json_documents, json_elements, merge_datasets, read_table
 from millrace.sources.payloads import (
     BATCH_ENVELOPE_KEYS,
     FEATURE_KEYS,
@@ -40,6 +40,23 @@ def scan_csv_roundtrip(t: Tables) -> DataFrame:
     return read_table(t.spark, path, "csv", schema=t.customer.schema)
 
 
+@query("scan_json_array", """
+    SELECT o_orderkey, o_orderstatus, o_totalprice, NULL AS doc, NULL AS corrupt FROM orders
+    UNION ALL SELECT DISTINCT NULL, NULL, NULL, o_orderkey // 20000, '[{"o_orderkey":}]' FROM orders WHERE o_orderkey // 20000 % 3 = 1
+""")
+def scan_json_array(t: Tables) -> DataFrame:
+    """Large top-level arrays, element by element; a third of the files hold an element that is broken."""
+    records = F.to_json(F.collect_list(F.struct("o_orderkey", "o_orderstatus", "o_totalprice")))
+    arrays = t.orders.groupBy(F.expr("o_orderkey DIV 20000").alias("doc")).agg(records.alias("text"))
+    broken = F.concat(F.expr("left(text, length(text) - 1)"), F.lit(',{"o_orderkey":}]'))
+    path = scratch_dir(t.spark, "arrays")
+    arrays.select("doc", F.when(F.col("doc") % 3 == 1, broken).otherwise(F.col("text")).alias("value")).write.partitionBy("doc").text(path)
+    read = json_elements(t.spark, path)
+    typed = F.variant_get(F.col("record"), "$", "struct<o_orderkey:bigint,o_orderstatus:string,o_totalprice:double>")
+    number = F.when(F.col("corrupt").isNotNull(), F.regexp_extract("path", "doc=([0-9]+)", 1).cast("bigint"))
+    return read.select(typed.alias("r"), number.alias("doc"), "corrupt").select("r.*", "doc", "corrupt")
+
+
 @query("scan_jsonl_roundtrip", """
     SELECT event_id, user_id, event_type, value, props,
            strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text
@@ -231,8 +248,12 @@ def sse_records(t: Tables) -> DataFrame:
         .when(F.col("value") > 100, F.lit("data: [DONE]"))
         .otherwise(F.lit("id: 1\nretry: 10"))
     )
+    # Half of the files end their lines with line feeds (and mix them), half with carriage returns before them.
     path = scratch_dir(t.spark, "sse")
-    t.events.select(block.alias("value")).write.option("lineSep", "\n\n").text(path)
+    odd = F.col("event_id") % 2 == 1
+    t.events.filter(~odd).select(block.alias("value")).write.option("lineSep", "\n\n").text(f"{path}/ends=feed")
+    returned = F.regexp_replace(block, r"\r?\n", "\r\n")
+    t.events.filter(odd).select(returned.alias("value")).write.option("lineSep", "\r\n\r\n").text(f"{path}/ends=return")
     parsed = parse_sse(read_sse(t.spark, path))
     return parsed.select(
         F.try_variant_get("record", "$.event_id", "bigint").alias("event_id"),

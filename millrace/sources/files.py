@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from millrace.functions import whole_json
 from millrace.operators.once import with_once
 from millrace.sources.payloads import BATCH_ENVELOPE_KEYS, unwrap_envelope
+from millrace.sources.pieces import array_parts
 
 SUFFIX_FORMATS = {
     ".csv": "csv", ".json": "json", ".jsonl": "jsonl", ".ndjson": "jsonl", ".parquet": "parquet",
@@ -73,6 +74,21 @@ def read_json_document(
     return unwrap_envelope(documents.select(strict.alias("body")), "body", keys=keys)
 
 
+def json_elements(spark: SparkSession, path: str) -> DataFrame:
+    """Objects of files that are top-level JSON arrays of any size, element by element: ``path, record, corrupt``.
+
+    Several tasks read a file, and only an element has to fit into a row. What is not part of an array stands as text in
+    ``corrupt``, beside the path of its file; records before and after it are still told.
+    """
+    parts = array_parts(spark, path)
+    parsed = with_once(parts, "elements", F.try_variant_get(whole_json("body"), "$", "array<variant>"))
+    wrong = F.when(F.col("elements").isNull(), F.coalesce("problem", "body"))
+    # One row without a record for a part that is none.
+    listed = F.when(F.col("elements").isNull(), F.array(F.lit(None).cast("variant"))).otherwise(
+        F.filter("elements", lambda v: F.schema_of_variant(v).startswith("OBJECT")))
+    return parsed.select(F.col("file").alias("path"), F.explode(listed).alias("record"), wrong.alias("corrupt"))
+
+
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: ``path``, its document as a variant ``body``, and the ``problem`` of a file that has none."""
     texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")

@@ -6,20 +6,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions import strip_text, whole_json
 from millrace.operators.once import with_once
+from millrace.sources.pieces import gather, read_pieces
 
 DONE = "[DONE]"
 TO_END = 2**31 - 1
 
 
-def read_sse(spark: SparkSession, path: str, *, stream: bool = False, newline: str = "\n") -> DataFrame:
-    """Event blocks of landed text files, one per row. Files stay splittable at the blank lines.
+def read_sse(spark: SparkSession, path: str, *, stream: bool = False, newline: str | None = None) -> DataFrame:
+    """Event blocks of landed text files, one per row.
 
-    ``newline`` is how the lines of most files end. Blocks parted by blank lines of the other kind are still
-    told apart, but only after such a stretch was read as one.
+    Blocks end at blank lines, whichever line ends a file uses or mixes, and may lie across the ranges that a file is
+    cut into. Where all files are known to end their lines with ``newline``, blocks are split by the reader alone and
+    nothing moves; so they are in a stream, whose line end is a line feed unless named.
     """
-    reader = spark.readStream if stream else spark.read
-    blocks = reader.option("lineSep", newline * 2).text(path)
-    return blocks.select(F.explode(F.split("value", r"\r?\n\r?\n")).alias("value"))
+    if stream or newline:
+        reader = spark.readStream if stream else spark.read
+        blocks = reader.option("lineSep", (newline or "\n") * 2).text(path)
+        return blocks.select(F.explode(F.split("value", r"\r?\n\r?\n")).alias("value"))
+    lines = read_pieces(spark, path)
+    # The blank line that closes a block is its last piece.
+    blocks = gather(lines, F.col("piece") == "", "\n").select(F.rtrim(F.col("value"), F.lit("\n")).alias("value"))
+    return blocks.filter("value <> ''")
 
 
 def sse_fields(block: Column) -> tuple[Column, Column]:
