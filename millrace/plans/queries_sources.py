@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import json_lookup, parse_count, parse_measure, whole_json
 from millrace.plans.registry import Tables, query
 from millrace.session import scratch_dir
-from millrace.sinks import write_curated, write_jsonl, write_raw
+from millrace.sinks import EmptyWriteError, WriteReceipt, write_curated, write_jsonl, write_raw
 from millrace.sinks.lake import overwrite_table
 from millrace.sources.files import json_documents, json_elements, merge_datasets, read_table
 from millrace.sources.payloads import (
@@ -368,10 +369,30 @@ def overwrite_dynamic(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+@query("overwrite_failing", "SELECT o_orderkey, o_totalprice, o_orderstatus, 'refused' AS outcome FROM orders")
+def overwrite_failing(t: Tables) -> DataFrame:
+    """Overwrites that fail half-way, whole or by partition, and one without rows: the table stays as it was."""
+    path = scratch_dir(t.spark, "overwrite")
+    orders = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    overwrite_table(orders, path, ["o_orderstatus"])
+    late = F.when(F.col("o_orderkey") % 1000 == 1, F.raise_error(F.lit("half-way")).cast("double")).otherwise(0.0)
+    outcome = "refused"
+    for df, dynamic in ((orders.withColumn("o_totalprice", late), False), (orders.withColumn("o_totalprice", late), True), (orders.filter("false"), False)):
+        try:
+            overwrite_table(df, path, ["o_orderstatus"], dynamic=dynamic)
+            outcome = "written"
+        except (EmptyWriteError, PySparkException):
+            pass
+    return t.spark.read.parquet(path).withColumn("outcome", F.lit(outcome))
+
+
 @query("write_receipts", """
     SELECT 'raw' AS zone, count(*) AS records_written, true AS has_bytes, 'batch=b1' AS partitions, 'parquet' AS format FROM orders
     UNION ALL SELECT 'raw, again', count(*), true, 'batch=b1', 'parquet' FROM orders
     UNION ALL SELECT 'curated', count(*), true, 'l_returnflag', 'parquet' FROM lineitem
+    UNION ALL SELECT 'local curated', count(*), true, 'o_orderstatus', 'json' FROM orders
+    UNION ALL SELECT 'lines', count(*), true, '', 'json' FROM nation
+    UNION ALL SELECT 'empty', 0, false, 'refused', 'parquet'
 """)
 def write_receipts(t: Tables) -> DataFrame:
     base = scratch_dir(t.spark, "receipts")
@@ -379,6 +400,12 @@ def write_receipts(t: Tables) -> DataFrame:
         "raw": write_raw(t.orders, base, "orders", {"batch": "b1"}),
         "raw, again": write_raw(t.orders, base, "orders", {"batch": "b1"}),
         "curated": write_curated(t.lineitem, "sales.lines", ["l_returnflag"], base=base),
+        "local curated": write_curated(t.orders, "orders", ["o_orderstatus"], base=f"{base}/local", fmt="json"),
+        "lines": write_jsonl(t.nation, base, "nation"),
     }
+    try:
+        receipts["empty"] = write_raw(t.orders.filter("false"), base, "nothing")
+    except EmptyWriteError:
+        receipts["empty"] = WriteReceipt("", 0, 0, ["refused"], "parquet")
     rows = [(zone, r.records_written, r.bytes_written > 0, ",".join(r.partitions), r.format) for zone, r in receipts.items()]
     return t.spark.createDataFrame(rows, "zone string, records_written long, has_bytes boolean, partitions string, format string")

@@ -7,8 +7,10 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+
+from millrace.sinks.staged import Folder, publish
 
 
 class EmptyWriteError(ValueError):
@@ -26,12 +28,8 @@ class WriteReceipt:
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the data files below a path, from the file listing alone."""
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
-    except AnalysisException:  # the path does not exist yet
-        return 0
+    """Total size of the data files below a path, from the file system alone."""
+    return sum(size for _, size in Folder(spark, path.rpartition("/")[0]).files(path.rstrip("/").rpartition("/")[2]))
 
 
 def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -40,18 +38,25 @@ def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    if df.isEmpty():
-        raise EmptyWriteError("refusing to write a dataset without rows")
     observation = Observation()
     return df.observe(observation, F.count(F.lit(1)).alias("records")), observation
 
 
-def _save(writer: DataFrameWriter, spark: SparkSession, path: str, fmt: str, observation: Observation,
-          partitions: Sequence[str]) -> WriteReceipt:
-    before = stored_bytes(spark, path)
-    writer.format(fmt).save(path)
-    written = stored_bytes(spark, path) - before
-    return WriteReceipt(path, observation.get["records"], max(written, 0), list(partitions), fmt)
+def _save(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str], told: Sequence[str], mode: str = "append") -> WriteReceipt:
+    """One job: it writes the files, counts the rows and shows, in the files it wrote, their bytes."""
+    counted, observation = _counted(df)
+
+    def write(stage: str) -> int:
+        _spread(counted, partition_by).write.partitionBy(*partition_by).format(fmt).save(stage)
+        try:
+            return observation.get["records"]
+        except Py4JJavaError:
+            return 0  # a plan known to be empty is not run, so nothing was observed
+
+    rows, size = publish(df.sparkSession, path, write, mode)
+    if not rows:
+        raise EmptyWriteError("refusing to write a dataset without rows")
+    return WriteReceipt(path, rows, size, list(told), fmt)
 
 
 def write_raw(
@@ -69,8 +74,7 @@ def write_raw(
     parts = [f"{k}={v}" for k, v in sorted((partition_values or {}).items())]
     path = "/".join([base.rstrip("/"), "raw", source_id, *parts])
     constant = [c for c in df.columns if c in (partition_values or {})]
-    counted, observation = _counted(df.drop(*constant))
-    return _save(counted.write.mode("append"), df.sparkSession, path, fmt, observation, parts)
+    return _save(df.drop(*constant), path, fmt, (), parts)
 
 
 def write_jsonl(df: DataFrame, base: str, source_id: str) -> WriteReceipt:
@@ -91,13 +95,14 @@ def write_curated(
     With ``base`` the table is a folder ``<base>/curated/<table>``. Without it the table lives in the
     session catalog; ``fmt="iceberg"`` then uses that connector when it is on the class path.
     """
+    if base is not None:
+        return _save(df, f"{base.rstrip('/')}/curated/{table.replace('.', '_')}", fmt, partition_by, partition_by)
+    # A catalog table has a commit of its own, so its emptiness is looked at before.
+    if df.isEmpty():
+        raise EmptyWriteError("refusing to write a dataset without rows")
     spark = df.sparkSession
     counted, observation = _counted(df)
     spread = _spread(counted, partition_by)
-    if base is not None:
-        path = f"{base.rstrip('/')}/curated/{table.replace('.', '_')}"
-        writer = spread.write.mode("append").partitionBy(*partition_by)
-        return _save(writer, spark, path, fmt, observation, partition_by)
     exists = spark.catalog.tableExists(table)
     before = _table_bytes(spark, table, fmt) if exists else 0
     if fmt != "iceberg":
@@ -124,11 +129,8 @@ def _table_bytes(spark: SparkSession, table: str, fmt: str) -> int:
 def overwrite_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), *, fmt: str = "parquet", dynamic: bool = False
 ) -> WriteReceipt:
-    """Replace a folder, or with ``dynamic`` only the partitions that occur in the data."""
-    counted, observation = _counted(df)
-    writer = _spread(counted, partition_by).write.mode("overwrite").partitionBy(*partition_by)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.format(fmt).save(path)
-    return WriteReceipt(path, observation.get["records"], stored_bytes(df.sparkSession, path),
-                        list(partition_by), fmt)
+    """Replace a folder, or with ``dynamic`` only the partitions that occur in the data.
+
+    The old data stay until the new ones are written: a write that fails half-way changes nothing.
+    """
+    return _save(df, path, fmt, partition_by, partition_by, "partitions" if dynamic and partition_by else "overwrite")

@@ -5,8 +5,7 @@ from helpers import values
 from pyspark.sql import functions as F
 
 from millrace.functions import whole_json
-from millrace.sinks import EmptyWriteError, overwrite_table, write_curated, write_jsonl, write_raw
-
+from millrace.sinks import EmptyWriteError, overwrite_table, staged, write_curated, write_jsonl, write_raw
 from millrace.sources import files, payloads as P, sse, stats
 
 
@@ -175,3 +174,48 @@ def test_overwrite_whole_or_by_partition(spark, products, tmp_path):
     assert values(spark.read.parquet(path), "name") == [("Apple",), ("Carrot",), ("Milk",), ("Steak",)]
     overwrite_table(products.filter("name = 'Apple'"), path, ["category"])
     assert spark.read.parquet(path).count() == 1
+
+
+def test_a_failed_overwrite_changes_nothing(spark, products, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_table(products, path, ["category"])
+    before = values(spark.read.parquet(path))
+    broken = products.withColumn("price", F.when(F.col("name") == "Milk", F.raise_error(F.lit("late")).cast("double")).otherwise(F.col("price")))
+    for dynamic in (False, True):
+        with pytest.raises(Exception, match="late"):
+            overwrite_table(broken.repartition(3), path, ["category"], dynamic=dynamic)
+        with pytest.raises(EmptyWriteError):
+            overwrite_table(products.filter("false"), path, ["category"], dynamic=dynamic)
+        assert values(spark.read.parquet(path)) == before
+    assert not [p for p in (tmp_path / "t").iterdir() if p.name.startswith(("_stage", "_aside"))]
+
+
+def test_a_failed_swap_is_undone(spark, products, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    overwrite_table(products, path, ["category"])
+    before = values(spark.read.parquet(path))
+    move, seen = staged.Folder.move, []
+
+    def failing(self, source, target):
+        seen.append(source)
+        if len(seen) == 6:
+            raise OSError("no")
+        move(self, source, target)
+
+    monkeypatch.setattr(staged.Folder, "move", failing)
+    with pytest.raises(OSError, match="no"):
+        overwrite_table(products.withColumn("price", F.lit(0.0)), path, ["category"])
+    assert values(spark.read.parquet(path)) == before
+
+
+def test_a_write_is_one_job_and_tells_its_bytes(spark, products, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("one-write", "")
+    receipt = write_raw(products.repartition(3), str(tmp_path), "shop")
+    jobs = tracker.getJobIdsForGroup("one-write")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in jobs for s in tracker.getJobInfo(j).stageIds]
+    assert len(jobs) <= 2 and len(stages) <= 3  # adaptive execution runs the shuffle of the repartition as a job of its own
+    assert receipt.bytes_written == sum(p.stat().st_size for p in (tmp_path / "raw" / "shop").glob("*.parquet"))
+    again = write_raw(products, str(tmp_path), "shop")
+    assert again.bytes_written + receipt.bytes_written == sum(p.stat().st_size for p in (tmp_path / "raw" / "shop").glob("*.parquet"))
