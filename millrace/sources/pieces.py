@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from millrace.session import scratch_dir
+
 BLOCK = ("file", "start")
 
 
@@ -26,16 +28,18 @@ def read_pieces(spark: SparkSession, path: str, separator: str | None = None) ->
         F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("seq"), F.col("value").alias("piece"))
 
 
-def from_block_starts(pieces: DataFrame, step: Column, name: str) -> DataFrame:
-    """Add ``name``: the sum of ``step`` over all earlier pieces of the file."""
-    sums = pieces.groupBy(*BLOCK).agg(F.sum(step).alias("_n"))
+def from_block_starts(pieces: DataFrame, **steps: Column) -> DataFrame:
+    """Add, by name, the sum of each step over all earlier pieces of the file."""
+    sums = pieces.groupBy(*BLOCK).agg(*[F.sum(step).alias(f"_n_{name}") for name, step in steps.items()])
     # One row per block of a file.
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(F.col("file").alias("_file"), F.col("start").alias("_start"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    offsets = sums.select(F.col("file").alias("_file"), F.col("start").alias("_start"), *[
+        F.coalesce(F.sum(f"_n_{name}").over(before), F.lit(0)).alias(f"_o_{name}") for name in steps])
     joined = pieces.join(offsets, (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start")))
     earlier = Window.partitionBy(*BLOCK).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.coalesce(F.sum(step).over(earlier), F.lit(0))
-    return joined.withColumn(name, F.col("_offset") + inside).drop("_file", "_start", "_offset")
+    inside = {name: F.coalesce(F.sum(step).over(earlier), F.lit(0)) for name, step in steps.items()}
+    return joined.withColumns({name: F.col(f"_o_{name}") + inside[name] for name in steps}).drop(
+        "_file", "_start", *[f"_o_{name}" for name in steps])
 
 
 def gather(pieces: DataFrame, closes: Column, joiner: str) -> DataFrame:
@@ -43,7 +47,7 @@ def gather(pieces: DataFrame, closes: Column, joiner: str) -> DataFrame:
 
     ``record`` counts from 0 in each file. The last record of a file may be left open.
     """
-    numbered = from_block_starts(pieces.withColumn("_closes", closes), F.col("_closes").cast("long"), "record")
+    numbered = from_block_starts(pieces.withColumn("_closes", closes), record=F.col("_closes").cast("long"))
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "piece"))), lambda x: x["piece"]), joiner)
     runs = numbered.groupBy(*BLOCK, "record").agg(text.alias("value"), F.bool_or("_closes").alias("closed"))
     # Runs of one block have numbers of their own, but for the first and the last one.
@@ -66,7 +70,8 @@ def array_parts(spark: SparkSession, path: str) -> DataFrame:
     ``body`` is the JSON text of an array of the elements of a part: one object, and what stands before it that is no
     object. ``problem`` holds the raw text of a part that cannot be one. A part is all that has to fit into a row.
 
-    A brace that ends an element is told from one inside it by the sums of quotes and brackets before it.
+    A brace that ends an element is told from one inside it by the sums of quotes and brackets before it. These are made
+    in a job of their own, when this is called.
     """
     raw = read_pieces(spark, path, "}")
     bare = F.regexp_replace("piece", ESCAPE, "")
@@ -76,15 +81,18 @@ def array_parts(spark: SparkSession, path: str) -> DataFrame:
     told = raw.select(
         *BLOCK, "seq", "piece", "file_size", F.octet_length("piece").alias("bytes"), (count(bare, '"') % 2).alias("quotes"),
         depth(F.regexp_replace(bare, IN_QUOTES, "")).alias("outside"), depth(F.regexp_replace(F.concat(F.lit('"'), bare), IN_QUOTES, "")).alias("inside"))
-    placed = from_block_starts(told, F.col("bytes") + 1, "before")
+    placed = from_block_starts(told, before=F.col("bytes") + 1, quotes_before=F.col("quotes"))
     braced = placed.withColumn("brace", F.col("before") + F.col("bytes") < F.col("file_size"))
-    quoted = from_block_starts(braced, F.col("quotes"), "quotes_before").withColumn("in_text", F.col("quotes_before") % 2 == 1)
     ends_outside = (F.col("quotes_before") + F.col("quotes")) % 2 == 0
-    step = F.when(F.col("in_text"), F.col("inside")).otherwise(F.col("outside")) - F.when(F.col("brace") & ends_outside, 1).otherwise(0)
-    deep = from_block_starts(quoted.withColumn("step", step), F.col("step"), "depth_before")
+    step = F.when(F.col("quotes_before") % 2 == 1, F.col("inside")).otherwise(F.col("outside")) - F.when(F.col("brace") & ends_outside, 1).otherwise(0)
+    deep = from_block_starts(braced.withColumn("step", step), depth_before=F.col("step"))
     closes = F.col("brace") & ends_outside & (F.col("depth_before") + F.col("step") == 1)
     whole = F.when(F.col("brace"), F.concat("piece", F.lit("}"))).otherwise(F.col("piece"))
-    parts = gather(deep.select(*BLOCK, "seq", whole.alias("piece"), closes.alias("closing")), F.col("closing"), "")
+    # Written down, so that the sums are made once and not for every use of them below.
+    kept = scratch_dir(spark, "pieces")
+    told = deep.select(*BLOCK, "seq", whole.alias("piece"), closes.alias("closing"))
+    told.write.parquet(kept)
+    parts = gather(spark.read.schema(told.schema).parquet(kept), F.col("closing"), "")
     first = F.col("record") == 0
     head = F.when(first, r"^[\x20\t\r\n]*\[").otherwise(r"^[\x20\t\r\n]*,")
     tail = r"\][\x20\t\r\n]*$"
