@@ -26,7 +26,7 @@ from millrace.llm.common import whole
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]
 
-LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 ADDRESS = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 DIGIT_GROUPS = re.compile(r"[0-9]+(?:[\x20-][0-9]+)*")
@@ -42,11 +42,12 @@ def luhn(digits: str) -> bool:
 
 
 def emails(text: str) -> Iterator[Span]:
-    # From each @ back over the local part and on over the domain: linear even in endless words.
+    # From each @ back over the local part and on over the domain. Local parts hold no @, so no character is passed twice.
     done, at = 0, text.find("@")
     while at >= 0:
-        part = text[done:at]
-        start = done + len(part.rstrip(LOCAL))
+        start = at
+        while start > done and text[start - 1] in LOCAL:
+            start -= 1
         found = DOMAIN.match(text, at) if start < at else None
         if found:
             yield start, found.end(), "email"
@@ -100,18 +101,27 @@ DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "fo
 ODD = re.compile("[" + re.escape("".join(LOOKALIKES)) + INVISIBLE + "！-～٠-٩۰-۹\U0001d400-\U0001d7ff]")
 SPELLED = re.compile(rf"(?i)(?<![a-z])(?:plus[\x20,.-]{{1,2}})?(?:{'|'.join(DIGIT_WORDS)})(?![a-z])(?:[\x20,.-]{{1,2}}(?:{'|'.join(DIGIT_WORDS)}|[0-9])(?![a-z]))+")
 DIGIT_WORD = re.compile(rf"(?i)plus|{'|'.join(DIGIT_WORDS)}|[0-9]")
-BRACKETED = re.compile(r"(?i)\x20{0,2}[\[({<]\x20{0,2}(at|dot|punkt|point|punto|arroba|period|plus)\x20{0,2}[\])}>]\x20{0,2}")
+# White space around a sign in words: a few blanks, tabs or line ends.
+GAP = r"[\x20\t\r\n]{1,3}"
+NO_GAP = r"[\x20\t\r\n]{0,3}"
+BRACKETED = re.compile(rf"(?i){NO_GAP}[\[({{<]{NO_GAP}(at|dot|punkt|point|punto|arroba|period|plus){NO_GAP}[\])}}>]{NO_GAP}")
 # Bare words only count in the whole shape of an address: name at host dot end. Each sign may be real or a word. Parts
 # are taken as they stand, without a way back, so that long chains stay linear.
-NAME = re.compile(r"(?i)[a-z0-9_%+-]++(?:(?:\.|\x20dot\x20)[a-z0-9_%+-]++)*+")
-BARE_AT = re.compile(r"(?i)@|\x20at\x20")
-HOST = re.compile(r"(?i)[a-z0-9-]++(?:(?:\.|\x20dot\x20)[a-z0-9-]++)*+")
-HOST_DOT = re.compile(r"(?i)\.|\x20dot\x20")
-HOST_END = re.compile(r"(?i)[a-z]{2,24}(?![a-z0-9])")
-DOTTED_NUMBERS = re.compile(r"(?i)(?<![0-9])[0-9]{1,3}(?:(?:\.|\x20dot\x20)[0-9]{1,3}){3}(?![0-9])")
-BARE_DOT = re.compile(r"(?i)\x20dot\x20")
+NAME = re.compile(rf"(?i)[a-z0-9_%+-]++(?:(?:\.|{GAP}dot{GAP})[a-z0-9_%+-]++)*+")
+BARE_AT = re.compile(rf"(?i)@|{GAP}at{GAP}")
+HOST = re.compile(rf"(?i)[a-z0-9-]++(?:(?:\.|{GAP}dot{GAP})[a-z0-9-]++)*+")
+HOST_DOT = re.compile(rf"(?i)\.|{GAP}dot{GAP}")
+HOST_END = re.compile(r"(?i)[a-z]{2,}+(?![a-z0-9])")
+DOTTED_NUMBERS = re.compile(rf"(?i)(?<![0-9])[0-9]{{1,3}}(?:(?:\.|{GAP}dot{GAP})[0-9]{{1,3}}){{3}}(?![0-9])")
+BARE_DOT = re.compile(rf"(?i){GAP}dot{GAP}")
+# Four parts of one to three digits, in figures or words, between real or spelled dots.
+ANY_DOT = rf"(?:{NO_GAP}[\[({{<]{NO_GAP}(?:dot|punkt|point|punto|period){NO_GAP}[\])}}>]{NO_GAP}|{GAP}dot{GAP}|\.)"
+ANY_DIGIT = rf"(?:{'|'.join(DIGIT_WORDS)}|[0-9])"
+ANY_PART = rf"{ANY_DIGIT}(?:[\x20-]?{ANY_DIGIT}){{0,2}}+"
+SPELLED_ADDRESS = re.compile(rf"(?i)(?<![a-z0-9.]){ANY_PART}(?:{ANY_DOT}{ANY_PART}){{3}}(?![a-z0-9])")
 SPACED_SIGN = re.compile(r"(?<=[A-Za-z0-9])\x20{1,2}@\x20{1,2}(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])\x20@(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@\x20(?=[A-Za-z0-9])")
 SIGNS = {"at": "@", "arroba": "@", "dot": ".", "punkt": ".", "point": ".", "punto": ".", "period": ".", "plus": "+"}
+ADDRESS_TOKEN = re.compile(rf"(?i){'|'.join(DIGIT_WORDS)}|[0-9]|dot|punkt|point|punto|period|\.")
 
 NOT_HOSTS = {"a", "an", "any", "each", "every", "my", "our", "that", "the", "this", "your"}
 
@@ -140,6 +150,15 @@ def spelled_digits(text: str) -> Iterator[Rewrite]:
             yield (words[i - 1].end() if i else w.start()), w.end(), (DIGIT_WORDS | SIGNS).get(w[0].lower(), w[0])
 
 
+def spelled_addresses(text: str) -> Iterator[Rewrite]:
+    """Dotted numbers with words among their digits, however short the parts are."""
+    for m in SPELLED_ADDRESS.finditer(text):
+        done = m.start()
+        for w in ADDRESS_TOKEN.finditer(text, m.start(), m.end()):
+            yield done, w.end(), DIGIT_WORDS.get(w[0].lower(), w[0] if w[0].isdigit() else ".")
+            done = w.end()
+
+
 def spelled_phones(text: str) -> Iterator[Span]:
     """Ten to fifteen digits, most of them words, need no plus sign to be a phone number."""
     for m in SPELLED.finditer(text):
@@ -256,7 +275,7 @@ class Tape:
         return tape
 
 
-CUES = re.compile(r"(?i)[\[({<]\x20{0,2}(?:at|dot|punkt|point|punto|arroba|period|plus)\x20{0,2}[\])}>]|\x20dot\x20|\x20@|@\x20")
+CUES = re.compile(rf"(?i)[\[({{<]{NO_GAP}(?:at|dot|punkt|point|punto|arroba|period|plus){NO_GAP}[\])}}>]|{GAP}dot{GAP}|\x20@|@\x20")
 SPELLED_CUE = re.compile(rf"(?i)(?<![a-z])(?:{'|'.join(DIGIT_WORDS)})(?![a-z])[\x20,.-]{{1,2}}(?:{'|'.join(DIGIT_WORDS)}|[0-9])(?![a-z])")
 
 
@@ -266,7 +285,7 @@ def disguised_spans(text: str, known: list[Span]) -> list[Span]:
     if not (odd or CUES.search(text) or SPELLED_CUE.search(text)):
         return []
     tape = Tape(text)
-    for transducer in (odd_characters, spelled_digits, marked_signs):
+    for transducer in (odd_characters, spelled_addresses, spelled_digits, marked_signs):
         if rewrites := list(transducer(tape.text)):
             tape = tape.rewrite(rewrites)
     if rewrites := list(bare_signs(tape)):

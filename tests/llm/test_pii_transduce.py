@@ -1,3 +1,4 @@
+import random
 import re
 import time
 
@@ -100,3 +101,61 @@ def test_masking(spark):
     rows = [(1, "a@b.org and jane [at] x (dot) com, 10.0.0.1"), (2, None), (3, ""), (4, "clean")]
     out = spark.createDataFrame(rows, "doc_id long, text string").withColumn("m", mask_personal_data(F.col("text")))
     assert [r.m for r in out.orderBy("doc_id").collect()] == ["[EMAIL] and [EMAIL], [IP]", None, "", "clean"]
+
+
+STYLES = {
+    "at": ["@", " at ", " [at] ", "(at)", "\tAT\n", " @ ", "<at>"], "dot": [".", " dot ", "[dot]", " (punkt) ", "\ndot ", " [period] "],
+}
+WORDS = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"]
+
+
+def disguise(rng, text):
+    """The text with its signs and digits written in some of many ways, at least one of them a disguise."""
+    while True:
+        out, hidden = "", False
+        for c in text:
+            kind = {"@": "at", ".": "dot"}.get(c)
+            if kind:
+                written = rng.choice(STYLES[kind])
+                hidden |= written.strip() != c
+                out += written
+            else:
+                out += c
+        # A bare "at" counts only beside a dot in disguise.
+        if hidden and ("." not in text or re.search("(?i)dot|punkt|period|[\\[(<]at|@", out)):
+            return out
+
+
+def test_any_mixture_of_disguises_maps_back():
+    rng, missed = random.Random(6), []
+    for _ in range(600):
+        name = f"{rng.choice(['jane', 'bob_k', 'x-y'])}@{rng.choice(['example', 'mail-7'])}.{rng.choice(['com', 'co.uk', 'internationaladdressingpublicdomain'])}"
+        written = disguise(rng, name)
+        text = f"Write, {written}; soon"
+        if (text[7:7 + len(written)], "email") not in {(text[s:e], k) for s, e, k in sum(all_spans(text), [])} and not re.search(r"(?i)[^\]\[()<>@]\sat\s(?!.*(dot|punkt|period))", written):
+            missed.append(written)
+    assert not missed
+
+
+def test_addresses_spelled_in_part():
+    rng = random.Random(7)
+    for _ in range(300):
+        digits = [[rng.choice("012") if n == 3 and i == 0 else rng.choice("01234") for i in range(n)] for n in (rng.randint(1, 3) for _ in range(4))]
+        spelled = [[WORDS[int(d)] if rng.random() < 0.6 else d for d in part] for part in digits]
+        if not any(len(d) > 1 for part in spelled for d in part):
+            spelled[0] = [WORDS[int(d)] for d in digits[0]]
+        parts = [" ".join(p) if any(len(d) > 1 for d in p) else "".join(p) for p in spelled]
+        written = parts[0] + "".join(rng.choice([" dot ", "[dot]", " dot\n"]) + p for p in parts[1:])
+        text = f"host: {written}, up"
+        assert (written, "ip") in {(text[s:e], k) for s, e, k in sum(all_spans(text), [])}, written
+
+
+@pytest.mark.parametrize("text", ["a@ " * 200_000, "a" * 500_000 + "@ " * 100_000, "one dot " * 60_000, "1.1.one." * 60_000, "a.b at c dot " * 50_000, "[dot]" * 60_000])
+def test_long_texts_stay_linear(text):
+    def seconds(t):
+        begun = time.perf_counter()
+        all_spans(t)
+        return time.perf_counter() - begun
+
+    short = min(seconds(text[:len(text) // 4]) for _ in range(2))
+    assert seconds(text) < 10 * short + 1
