@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from millrace.llm.common import keep, table
+from millrace.llm.common import free_name, keep, table
 from millrace.llm.line_quality import clean_lines
 from millrace.llm.pii_transduce import mask_personal_data
 from millrace.llm.signature_trees import jaccard_groups
@@ -36,15 +36,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id. Rows of one id are one document;
-    rows without id have no group and stay."""
-    groups = jaccard_groups(docs, width=5, percent=80)
-    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    stay = docs.join(first, "doc_id", "left_semi")
+    """One row of each group of near copies stays: the one with the smallest id, then the smallest hash of its text.
+
+    Rows are told apart by id and text, so different texts that share an id are documents of their own. Rows without
+    id have no group and stay.
+    """
+    row, copy = free_name(docs, "_row", "_copy")
+    told = docs.withColumn(row, F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("text_hash"))))
+    groups = jaccard_groups(told.select(row, "text"), width=5, percent=80, key=row)
+    first = groups.filter("doc_id = component_id").select(F.col("doc_id").alias(row)).distinct()
+    stay = told.join(first, row, "left_semi")
     others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]))
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), others)
-    one = stay.withColumn("_copy", F.row_number().over(order)).filter("_copy = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return one.unionAll(docs.filter("doc_id IS NULL"))
+    # Of equal rows each task passes one on.
+    one = stay.withColumn(copy, F.row_number().over(Window.partitionBy(row).orderBy(others))).filter(F.col(copy) == 1)
+    return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionAll(docs.filter("doc_id IS NULL"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -55,6 +55,14 @@ def test_odd_tables(spark, odd_documents, no_documents):
             assert out.columns == docs.columns
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, b), (5, c), (5, c), (5, a + " more"), (None, a)]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, `_row` int")
+    kept = stage("near_duplicates")(spark, docs, FOLDER).collect()
+    assert sorted((str(r.doc_id), r.text[0]) for r in kept) == [("1", "a"), ("2", "b"), ("5", "c"), ("None", "a")]
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, FOLDER).collect()
     assert out and all(re.fullmatch(r"\d+", str(r.sequence_id)) for r in out)
