@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.plans.flow import plan_flow
+from millrace.operators.steps import aggregate_rows, join_tables
+from millrace.plans.flow import plan_flow, validate_spec
 from millrace.plans.registry import Tables, query
 from millrace.plans.queries_steps import line_measures
 from millrace.plans.shipped import BRACKETS, ENRICHMENT
@@ -80,3 +81,33 @@ def flow_report(t: Tables) -> DataFrame:
     report = flow.report()
     failed = ",".join(f"{v['check']}:{v['rule']}:{v['failed']}" for v in report["quality_violations"])
     return t.spark.createDataFrame([(report["rows_in"], report["rows_out"], failed)], "rows_in long, rows_out long, failed string")
+
+
+@query("refused_steps", """
+    SELECT v.*, n FROM (VALUES
+        ('join without keys', 'join needs at least one key column'), ('unknown aggregate', 'refused'), ('unknown join', 'refused'),
+        ('specification', 'specification: the setting transform_id is missing'), ('specification', 'output: the setting format is missing'),
+        ('specification', 'step 1 (fold): there is no such step'), ('specification', 'step 2 (aggregate), measures 1: there is no such aggregate'),
+        ('specification', 'step 3 (join): on is empty'), ('specification', 'step 4 (quality_gate), checks 1: a not_null check names its columns')
+    ) v(what, outcome), (SELECT count(*) AS n FROM orders)
+""")
+def refused_steps(t: Tables) -> DataFrame:
+    """Steps and specifications that cannot run are refused before any row is read."""
+    tries = {
+        "join without keys": lambda: join_tables(t.orders, t.customer, []),
+        "unknown aggregate": lambda: aggregate_rows(t.orders, ["o_orderstatus"], [{"column": "o_totalprice", "function": "median of means", "alias": "m"}]),
+        "unknown join": lambda: join_tables(t.orders, t.customer.withColumnRenamed("c_custkey", "o_custkey"), ["o_custkey"], "sideways"),
+    }
+    told = []
+    for what, attempt in tries.items():
+        try:
+            attempt()
+            told.append((what, "accepted"))
+        except ValueError as exc:
+            told.append((what, str(exc) if "keys" in what else "refused"))
+    spec = {"source": "orders", "output": {"table": "t"}, "steps": [
+        {"type": "fold"}, {"type": "aggregate", "group_by": [], "measures": [{"column": "o_totalprice", "function": "mode"}]},
+        {"type": "join", "right_source": "customer", "on": []}, {"type": "quality_gate", "checks": [{"type": "not_null"}]}]}
+    told += [("specification", problem) for problem in validate_spec(spec)]
+    rows = F.array(*[F.struct(F.lit(w).alias("what"), F.lit(o).alias("outcome")) for w, o in told])
+    return t.orders.agg(F.count(F.lit(1)).alias("n")).select(F.explode(rows).alias("r"), "n").select("r.*", "n")

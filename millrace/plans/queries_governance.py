@@ -153,12 +153,12 @@ def lineage_neighbors(t: Tables) -> DataFrame:
 
 @query("lineage_facets", """
     SELECT 'lake' AS namespace, 'orders' AS name, count(*) AS row_count, count(*) - count(o_orderstatus) AS null_count,
-           count(DISTINCT o_orderstatus) AS unique_count, 'o_orderkey' AS first_field, 'bigint' AS first_type,
-           'derive' AS second_step, 'shop' AS source_id
-    FROM (SELECT nullif(o_orderstatus, 'P') AS o_orderstatus FROM orders)
+           count(DISTINCT o_orderstatus) AS unique_count, count(DISTINCT o_totalprice) AS unique_prices, count(DISTINCT o_orderdate) AS unique_dates,
+           'o_orderkey' AS first_field, 'bigint' AS first_type, 'o_orderpriority' AS last_field, 'derive' AS second_step, 'shop' AS source_id
+    FROM (SELECT o_totalprice, o_orderdate, nullif(o_orderstatus, 'P') AS o_orderstatus FROM orders)
 """)
 def lineage_facets(t: Tables) -> DataFrame:
-    orders = t.orders.select("o_orderkey", F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("o_orderstatus"))
+    orders = t.orders.withColumn("o_orderstatus", F.nullif(F.col("o_orderstatus"), F.lit("P")))
     ref = L.dataset_with_facets(orders, "lake", "orders", profile=quality_profile(orders),
                                 steps=["filter", "derive"], source_id="shop")
 
@@ -170,7 +170,9 @@ def lineage_facets(t: Tables) -> DataFrame:
         at("$.dataQuality.rowCount").cast("bigint").alias("row_count"),
         at("$.dataQuality.nullCounts.o_orderstatus").cast("bigint").alias("null_count"),
         at("$.dataQuality.uniqueCounts.o_orderstatus").cast("bigint").alias("unique_count"),
-        at("$.schema.fields[0].name").alias("first_field"), at("$.schema.fields[0].type").alias("first_type"),
+        at("$.dataQuality.uniqueCounts.o_totalprice").cast("bigint").alias("unique_prices"),
+        at("$.dataQuality.uniqueCounts.o_orderdate").cast("bigint").alias("unique_dates"),
+        at("$.schema.fields[5].name").alias("last_field"), at("$.schema.fields[0].name").alias("first_field"), at("$.schema.fields[0].type").alias("first_type"),
         at("$.transform.steps[1]").alias("second_step"), at("$.source.source_id").alias("source_id"))
 
 

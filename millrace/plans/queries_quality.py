@@ -6,10 +6,11 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators.profile import null_profile, quality_profile
+from millrace.operators.profile import SKETCH_ERROR, merged_profile, null_profile, profile_sketches, quality_profile
 from millrace.operators.quality import evaluate_checks, gate, parse_checks, sample_failures, violations
 from millrace.plans.flow import gate_table
 from millrace.plans.registry import Tables, query
+from millrace.session import scratch_dir
 
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 
@@ -246,6 +247,25 @@ def profile_facet(t: Tables) -> DataFrame:
     return quality_profile(t.documents, ["doc_id", "text", "lang", "source", "n_chars"])
 
 
+@query("profile_facet_merged", """
+    SELECT 'o_orderkey' AS "column", count(*) AS row_count, count(*) - count(o_orderkey) AS null_count, true AS close FROM orders
+    UNION ALL SELECT 'o_custkey', count(*), count(*) - count(o_custkey), true FROM orders
+    UNION ALL SELECT 'o_orderstatus', count(*), count(*) - count(o_orderstatus), true FROM orders
+    UNION ALL SELECT 'o_totalprice', count(*), count(*) - count(o_totalprice), true FROM orders
+    UNION ALL SELECT 'o_orderdate', count(*), count(*) - count(o_orderdate), true FROM orders
+    UNION ALL SELECT 'o_orderpriority', count(*), count(*) - count(o_orderpriority), true FROM orders
+""")
+def profile_facet_merged(t: Tables) -> DataFrame:
+    """Sketches kept per partition of a table, merged; distinct counts must lie within their stated error of the exact ones."""
+    columns = t.orders.columns
+    path = scratch_dir(t.spark, "sketches")
+    profile_sketches(t.orders, columns, ["o_orderpriority"]).drop("o_orderpriority").write.parquet(path)
+    merged = merged_profile(t.spark.read.parquet(path), columns)
+    exact = quality_profile(t.orders, columns).select("column", F.col("unique_count").alias("exact"))
+    close = F.abs(F.col("unique_count") - F.col("exact")) <= F.ceil(F.col("exact") * SKETCH_ERROR)
+    return merged.join(exact, "column").select("column", "row_count", "null_count", close.alias("close"))
+
+
 @query("dq_check_that_fails", """
     SELECT 'valid_range' AS check_type, 'nothing' AS "column", 'warning' AS severity, count(*) AS failed_count, true AS violated FROM orders
     UNION ALL SELECT 'unique_key', 'nothing', 'critical', count(*), true FROM orders

@@ -10,7 +10,7 @@ from millrace.plans.registry import Tables, query
 from millrace.session import scratch_dir
 from millrace.sinks import EmptyWriteError, WriteReceipt, write_curated, write_jsonl, write_raw
 from millrace.sinks.lake import overwrite_table
-from millrace.sources.files import json_documents, json_elements, merge_datasets, read_table
+from millrace.sources.files import json_documents, json_elements, merge_datasets, read_table, rows_to_table
 from millrace.sources.payloads import (
     BATCH_ENVELOPE_KEYS,
     FEATURE_KEYS,
@@ -172,6 +172,18 @@ def header_rows_loose(t: Tables) -> DataFrame:
     return record.select(*[F.col("record")[c].alias(c) for c in ("key", "name", "row", "value")])
 
 
+@query("in_memory_rows", """
+    SELECT n_name AS name, CASE WHEN n_regionkey = 0 THEN NULL ELSE n_regionkey END AS region, count(c_custkey) AS customers
+    FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2
+""")
+def in_memory_rows(t: Tables) -> DataFrame:
+    """Rows that the driver holds (the nations, a table that does not grow) beside a table that Spark reads; a missing key is null."""
+    held = [{"key": r.n_nationkey, "name": r.n_name} | ({"region": r.n_regionkey} if r.n_regionkey else {}) for r in t.nation.collect()]
+    nations = rows_to_table(t.spark, held, "key int, name string, region int")
+    counts = t.customer.groupBy(F.col("c_nationkey").alias("key")).agg(F.count(F.lit(1)).alias("customers"))
+    return nations.join(counts, "key", "left").select("name", "region", F.coalesce("customers", F.lit(0)).alias("customers"))
+
+
 @query("merge_datasets", """
     SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment FROM customer
     UNION ALL

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.functions import whole_json
+from millrace.operators.once import with_once
 from millrace.plans.registry import Tables, query
 from millrace.session import scratch_dir
 from millrace.streaming.marks import high_water_filter, high_water_stream
 from millrace.streaming.messages import quarantined_messages, valid_messages
-from millrace.streaming.streams import land_stream, read_stream
+from millrace.streaming.progress import BatchStats, observe_gate, observe_stream
+from millrace.streaming.streams import land_stream, normalize_polls, read_stream
 
 
 def _arrivals(t: Tables) -> DataFrame:
@@ -116,3 +119,61 @@ def validate_messages(t: Tables) -> DataFrame:
 def quarantine_messages(t: Tables) -> DataFrame:
     return quarantined_messages(_messages(t), "message").select(
         "event_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+FILES, FILES_PER_BATCH = 12, 2
+
+
+@query("source_stats", """
+    SELECT CAST(6 AS BIGINT) AS batches, count(*) AS records, sum(strlen(props)) + 2 * count(*) FILTER (event_id % 10 = 0) AS bytes,
+           count(*) FILTER (event_id % 10 = 0) AS bad, count(*) FILTER (value > 50) AS dear, count(*) AS landed,
+           count(*) FILTER (event_id % 10 = 0) AS unread
+    FROM events
+""")
+def source_stats(t: Tables) -> DataFrame:
+    """Landed responses streamed in several batches; a tenth of them cannot be read. Each batch tells what it held.
+
+    The stream runs while the query is built.
+    """
+    base = scratch_dir(t.spark, "stats")
+    broken = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("{{"), F.col("props"))).otherwise(F.col("props"))
+    landed = t.events.select("event_id", "value", broken.alias("body"))
+    landed.repartition(FILES).write.parquet(f"{base}/landing")
+    stream = read_stream(t.spark, f"{base}/landing", landed.schema, "parquet", files_per_trigger=FILES_PER_BATCH)
+    parsed = with_once(stream, "parsed", whole_json("body"))
+    watched = observe_gate(observe_stream(parsed, payload=F.col("body"), bad=F.col("parsed").isNull()), [{"type": "valid_range", "column": "value", "max": 50}])
+    with BatchStats(t.spark) as stats:
+        stats.wait(land_stream(watched.select("event_id", F.col("parsed").isNull().alias("unread")), f"{base}/landed", f"{base}/checkpoint"))
+    told = stats.take()
+    # A handful of batches, each a row of counts.
+    totals = {name: sum(b[name] for b in told) for name in ("records", "bytes", "bad")}
+    totals |= {"batches": len(told), "dear": sum(f["failed"] for b in told for f in b["findings"])}
+    kept = t.spark.read.schema("event_id bigint, unread boolean").parquet(f"{base}/landed")
+    return kept.agg(*[F.lit(n).cast("long").alias(name) for name, n in totals.items()],
+                    F.count(F.lit(1)).alias("landed"), F.count_if("unread").alias("unread"))
+
+
+@query("stream_polls", """
+    SELECT event_id, 'K' || user_id AS station_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS temperature_c,
+           CASE WHEN event_type = 'error' THEN 'fetch_error' ELSE 'clear' END AS description FROM events
+""")
+def stream_polls(t: Tables) -> DataFrame:
+    """Polls, failed ones included, admitted a few files at a time over two runs of one stream that loses and doubles none.
+
+    The streams run while the query is built.
+    """
+    base = scratch_dir(t.spark, "polls")
+    body = F.when(F.col("event_type") != "error", F.format_string(
+        '{"properties":{"temperature":{"value":%s},"textDescription":"clear"}}', F.col("value").cast("string")))
+    polls = t.events.select(
+        "event_id", F.concat(F.lit("K"), "user_id").alias("station"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("fetched_at"), body.alias("body"))
+    for wave in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1):
+        polls.filter(wave).repartition(FILES).write.mode("append").parquet(f"{base}/landing")
+        stream = read_stream(t.spark, f"{base}/landing", polls.schema, "parquet", files_per_trigger=FILES_PER_BATCH)
+        flat = normalize_polls(stream, "body", "station", "fetched_at").select("event_id", "station_id", "temperature_c", "description")
+        query = land_stream(flat, f"{base}/landed", f"{base}/checkpoint")
+        query.awaitTermination()
+        admitted = sum(p.numInputRows > 0 for p in query.recentProgress)
+        if admitted > FILES // FILES_PER_BATCH:
+            raise AssertionError(f"{admitted} batches admitted more than the files of this wave")
+    return t.spark.read.schema("event_id bigint, station_id string, temperature_c double, description string").parquet(f"{base}/landed")

@@ -77,27 +77,46 @@ def header_rows(df: DataFrame, body: str, *, strict: bool = True, into: str = "r
     held = with_once(held, "__table", F.try_variant_get("__json", "$", "array<array<string>>"))
     data = F.slice("__table", 2, F.greatest(F.size("__table") - 1, F.lit(0)))
     header = F.element_at("__table", 1)
-    rows = held.filter(F.size("__table") >= 2).select(*rest, "__json", header.alias("__header"), F.explode(data).alias("__row"))
+    rows = _with_header(held.filter(F.size("__table") >= 2), header, rest).select(*rest, "__header", "__names", "__places", F.explode(data).alias("__row"))
     if strict:
-        same = rows.filter(F.size("__row") == F.size("__header"))
-        return same.select(*rest, named_values(F.col("__header"), F.col("__row")).alias(into))
+        return rows.filter(F.size("__row") == F.size("__header")).select(*rest, _by_places().alias(into))
     texts = F.forall(F.try_variant_get("__json", "$[0]", "array<variant>"), lambda n: F.schema_of_variant(n) == "STRING")
     has_header = F.coalesce(texts, F.lit(False)) & (F.size("__elements") >= 2)
     both = with_once(held, "__elements", F.try_variant_get("__json", "$", "array<variant>"))
     both = with_once(both, "__has_header", has_header)
     shorter = F.least(F.size("__header"), F.size("__row"))
-    zipped = both.filter("__has_header").select(*rest, header.alias("__header"), F.explode(data).alias("__row")).select(
-        *rest, named_values(F.slice("__header", 1, shorter), F.slice("__row", 1, shorter)).alias(into))
+    listed = _with_header(both.filter("__has_header"), header, rest).select(*rest, "__header", "__names", "__places", F.explode(data).alias("__row"))
+    # Only a row shorter than the header needs places of its own.
+    shorter = F.size("__row")
+    record = F.when(shorter >= F.size("__header"), _by_places()).otherwise(named_values(F.slice("__header", 1, shorter), F.col("__row")))
+    zipped = listed.select(*rest, record.alias(into))
     numbered = both.filter("NOT __has_header").select(*rest, F.posexplode("__elements").alias("__at", "__element")).select(
         *rest, F.create_map(F.lit("row"), F.col("__at").cast("string"), F.lit("value"), F.col("__element").try_cast("string")).alias(into))
     return zipped.unionByName(numbered)
 
 
-def named_values(names: Column, values: Column) -> Column:
-    """Map of names to values of the same place; of a repeated name the last counts, a null name is left out."""
+def _with_header(bodies: DataFrame, header: Column, rest: Sequence[str]) -> DataFrame:
+    """Bodies with ``__header``, and the names and places that it gives to rows of its length, found once per body."""
+    held = with_once(bodies, "__header", header)
+    placed = with_once(held, "__places", _places(F.col("__header")))
+    return with_once(placed, "__names", F.transform("__places", lambda i: F.get(F.col("__header"), i))).select(
+        *rest, "__table", "__header", "__places", "__names")
+
+
+def _by_places() -> Column:
+    return F.map_from_arrays("__names", F.transform("__places", lambda i: F.get(F.col("__row"), i)))
+
+
+def _places(names: Column) -> Column:
+    """Places of the names that count: the last of a repeated one, no null ones."""
     last = F.filter(F.sequence(F.lit(0), F.size(names) - 1), lambda i: F.get(names, i).isNotNull() & ~F.coalesce(
         F.array_contains(F.slice(names, i + 2, F.size(names)), F.get(names, i)), F.lit(False)))
-    kept = F.when(F.size(names) > 0, last).otherwise(F.array().cast("array<int>"))
+    return F.when(F.size(names) > 0, last).otherwise(F.array().cast("array<int>"))
+
+
+def named_values(names: Column, values: Column) -> Column:
+    """Map of names to values of the same place; of a repeated name the last counts, a null name is left out."""
+    kept = _places(names)
     return F.map_from_arrays(F.transform(kept, lambda i: F.get(names, i)), F.transform(kept, lambda i: F.get(values, i)))
 
 

@@ -149,3 +149,23 @@ def test_order_and_samples(spark):
     assert values(top, "id") == [(94,), (95,), (96,), (97,), (98,), (99,)]
     runs = recent_runs(spark.range(30).selectExpr("id", "id AS at"), "at", "id")
     assert (runs.count(), runs.agg(F.min("id"), F.max("total_runs")).first()) == (20, (10, 30))
+
+
+def test_profiles_merge_within_their_error(spark):
+    df = spark.range(0, 40_000, 1, 4).selectExpr("id % 7 AS part", "md5(CAST(id % 9000 AS STRING)) AS text", "IF(id % 10 = 0, NULL, id) AS n", "CAST(NULL AS STRING) AS gone")
+    parts = D.profile_sketches(df, ["text", "n", "gone"], ["part"])
+    assert parts.count() == 7
+    merged = {r.column: r for r in D.merged_profile(parts, ["text", "n", "gone"]).collect()}
+    exact = {r.column: r for r in D.quality_profile(df, ["text", "n", "gone"]).collect()}
+    for c, r in exact.items():
+        assert (merged[c].row_count, merged[c].null_count) == (r.row_count, r.null_count)
+        assert abs(merged[c].unique_count - r.unique_count) <= r.unique_count * D.SKETCH_ERROR
+    assert (exact["text"].unique_count, exact["n"].unique_count, exact["gone"].unique_count) == (9000, 36_000, 0)
+    empty = {r.column: r.unique_count for r in D.merged_profile(D.profile_sketches(df.filter("false"), ["n"], ["part"]), ["n"]).collect()}
+    assert empty == {"n": 0}
+
+
+def test_no_text_is_expanded(spark):
+    df = spark.range(10).selectExpr("id", "md5(CAST(id AS STRING)) AS text")
+    plan = D.quality_profile(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" in plan and "text" not in plan.split("Expand")[1].split("\n")[0]

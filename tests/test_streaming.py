@@ -2,9 +2,11 @@ import random
 
 import pytest
 from helpers import values
+from pyspark.sql import functions as F
 
 from millrace.streaming import messages as M
 from millrace.streaming.marks import high_water_filter, high_water_stream
+from millrace.streaming.progress import BatchStats, observe_gate, observe_stream
 from millrace.streaming.streams import land_stream, normalize_polls, read_kafka, read_stream
 
 SCHEMA = "seq bigint, key string, id bigint, at double"
@@ -160,3 +162,23 @@ def test_polls_as_stream(spark, tmp_path):
     flat = normalize_polls(read_stream(spark, f"{tmp_path}/in", df.schema), "body", "st", "f")
     land_stream(flat, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").select("station_id", "timestamp").first() == ("A", "f1")
+
+
+def test_batches_tell_what_they_held(spark, tmp_path):
+    df = spark.range(0, 60).selectExpr("id", "IF(id % 7 = 0, NULL, repeat('é', CAST(id AS INT))) AS body", "CAST(id AS DOUBLE) AS v")
+    for low in range(0, 60, 20):
+        df.filter(f"id >= {low} AND id < {low + 20}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = read_stream(spark, f"{tmp_path}/in", df.schema, "parquet", files_per_trigger=1)
+    watched = observe_gate(observe_stream(stream, payload=F.col("body"), bad=F.col("body").isNull()), [
+        {"type": "not_null", "columns": ["body"]}, {"type": "valid_range", "column": "v", "min": 20}])
+    with BatchStats(spark) as stats:
+        stats.wait(land_stream(watched, f"{tmp_path}/out", f"{tmp_path}/cp"))
+    told = stats.take()
+    assert len(told) == 3 and stats.take() == []
+    assert sorted(b["records"] for b in told) == [20, 20, 20] and sum(b["bad"] for b in told) == 9
+    assert sum(b["bytes"] for b in told) == sum(2 * i for i in range(60) if i % 7)
+    failed = {}
+    for b in told:
+        for f in b["findings"]:
+            failed[f["rule"]] = failed.get(f["rule"], 0) + (f["failed"] if f["column"] is None else 0)
+    assert failed == {"not_null": 9, "valid_range": 20}
