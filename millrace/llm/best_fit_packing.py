@@ -79,7 +79,7 @@ def pack_best_fit(df: DataFrame, key: str = "doc_id", text: str = "text", window
     """One row per window.
 
     Columns: ``window_id`` (the task's number times 2^32 plus a count), ``input_ids`` (one matrix row: window times
-    ``id_bytes`` little-endian bytes, padded with ``end_id``), ``n_tokens``, ``cu_seqlens`` (segment ends from 0 on),
+    ``id_bytes`` little-endian bytes, padded with ``end_id``; an id that needs more fails the job), ``n_tokens``, ``cu_seqlens`` (segment ends from 0 on),
     ``position_resets`` (where positions start from 0 again; padding is a segment of its own), ``keys`` and ``starts``
     (document of each segment, and its ids before it).
     """
@@ -97,6 +97,9 @@ def pack_best_fit(df: DataFrame, key: str = "doc_id", text: str = "text", window
 
         def rows(windows: list[list[Part]]) -> pa.RecordBatch:
             nonlocal number
+            most = max((max(ids) for parts in windows for _, _, ids in parts), default=0)
+            if max(most, end_id) > np.iinfo(kind).max:
+                raise ValueError(f"the id {max(most, end_id)} does not fit into {id_bytes} bytes: set id_bytes=4")
             matrix = np.full((len(windows), window), end_id, kind)
             ends = []
             for row, parts in zip(matrix, windows, strict=True):

@@ -170,3 +170,11 @@ def test_best_fit_documents(spark, documents, odd_documents, no_documents, plain
     write_matrices(pack_best_fit(odd_documents, window=256), str(tmp_path / "m"))
     row = read_matrix(spark, str(tmp_path / "m"), window=256).first()
     assert len(row.ids) == len(row.positions) == 256 and row.positions[0] == 0
+
+
+def test_ids_that_do_not_fit_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    with pytest.raises(Exception, match="does not fit into 2 bytes"):
+        pack_best_fit(docs, window=16, end_id=70_000).collect()
+    row = pack_best_fit(docs, window=16, end_id=70_000, id_bytes=4).first()
+    assert np.frombuffer(row.input_ids, "<u4")[-1] == 70_000
