@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import whole_json
@@ -53,34 +55,48 @@ def pii_value_scan(t: Tables) -> DataFrame:
     return P.scan_columns(t.documents, "doc_id", columns=["lang", "source", "text"])
 
 
-@query("pii_columns", """
-    SELECT c AS "column", k AS by_name, CAST(NULL AS VARCHAR) AS by_value, k AS pii_type, n AS scanned_rows
-    FROM (SELECT count(*) AS n FROM lineitem),
-         (VALUES ('l_comment_email', 'email'), ('l_orderkey', NULL), ('l_shipdate', 'ip_address'), ('l_returnflag', NULL)) v(c, k)
+def _scan_sql(table: str, order: str, columns: Sequence[str]) -> str:
+    """Rows (c, kind, n): the type found first by value in each column of a table, and the rows of the table."""
+    parts = [f"SELECT '{c}' AS c, arg_min(kind, row(place, kind)) FILTER (kind IS NOT NULL) AS kind, count(*) AS n FROM ("
+             f"SELECT {order} AS place, {KIND_SQL} AS kind FROM (SELECT {order}, CAST({c} AS VARCHAR) AS text FROM {table}))" for c in columns]
+    return " UNION ALL ".join(parts)
+
+
+LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+                "l_linestatus")
+
+
+@query("pii_columns", f"""
+    WITH found AS ({_scan_sql("lineitem", "l_orderkey", LINE_COLUMNS)})
+    SELECT c AS "column", CAST(NULL AS VARCHAR) AS by_name, kind AS by_value, kind AS pii_type, n AS scanned_rows FROM found
+    UNION ALL SELECT c, k, NULL, k, n FROM (SELECT count(*) AS n FROM lineitem), (VALUES ('l_comment_email', 'email'), ('l_shipdate', 'ip_address')) v(c, k)
 """)
 def pii_columns(t: Tables) -> DataFrame:
-    lines = t.lineitem.select("l_orderkey", "l_returnflag", "l_shipdate",
-                              F.lit("-").alias("l_comment_email"), "l_linenumber")
-    return P.scan_columns(lines, "l_orderkey",
-                          columns=["l_orderkey", "l_returnflag", "l_shipdate", "l_comment_email"])
+    """Every column of the table by name, and by value where its name says nothing."""
+    return P.scan_columns(t.lineitem.withColumn("l_comment_email", F.lit("-")), "l_orderkey")
 
 
 @query("classify_tables", f"""
-    WITH d AS (SELECT arg_min(kind, doc_id) FILTER (kind IS NOT NULL) AS kind, count(*) AS n
-               FROM (SELECT doc_id, {KIND_SQL} AS kind FROM documents))
-    SELECT 'documents' AS source_id, CASE WHEN kind IS NULL THEN 'public' ELSE 'confidential' END AS classification,
-           coalesce('text:' || kind, '') AS pii, CAST(3 AS BIGINT) AS scanned_columns, n AS scanned_rows FROM d
-    UNION ALL SELECT 'customer', 'confidential', 'c_name:name', 2, count(*) FROM customer
-    UNION ALL SELECT 'labels', 'public', '', 2, count(*) FROM labels
-    UNION ALL SELECT 'part', 'internal', 'p_name:name', 2, count(*) FROM part
+    WITH d AS ({_scan_sql("documents", "doc_id", ("doc_id", "text", "lang", "source", "n_chars"))}),
+    c AS ({_scan_sql("customer", "c_custkey", ("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"))}),
+    l AS ({_scan_sql("labels", "doc_id", ("doc_id", "quality", "toxic"))}),
+    p AS ({_scan_sql("part", "p_partkey", ("p_partkey", "p_brand", "p_type", "p_size", "p_retailprice"))}),
+    named AS (
+        SELECT 'documents' AS source_id, 'public' AS level, c, kind, n FROM d
+        UNION ALL SELECT 'customer', 'public', c, kind, n FROM c UNION ALL SELECT 'customer', 'public', 'c_name', 'name', count(*) FROM customer
+        UNION ALL SELECT 'labels', 'public', c, kind, n FROM l
+        UNION ALL SELECT 'part', 'internal', c, kind, n FROM p UNION ALL SELECT 'part', 'internal', 'p_name', 'name', count(*) FROM part)
+    SELECT source_id, CASE WHEN level = 'public' AND count(kind) > 0 THEN 'confidential' ELSE level END AS classification,
+           coalesce(string_agg(c || ':' || kind, ',' ORDER BY c) FILTER (kind IS NOT NULL), '') AS pii, count(*) AS scanned_columns, max(n) AS scanned_rows
+    FROM named GROUP BY source_id, level
 """)
 def classify_tables(t: Tables) -> DataFrame:
     public = {"classification": "Public"}
     found = [
-        P.classify(t.documents.select("doc_id", "source", "text"), "documents", "doc_id", public),
-        P.classify(t.customer.select("c_name", "c_mktsegment"), "customer", "c_name", public),
-        P.classify(t.labels.select("quality", "toxic"), "labels", "quality", public),
-        P.classify(t.part.select("p_name", "p_brand"), "part", "p_name", {"classification": "secret"}),
+        P.classify(t.documents, "documents", "doc_id", public),
+        P.classify(t.customer, "customer", "c_custkey", public),
+        P.classify(t.labels, "labels", "doc_id", public),
+        P.classify(t.part, "part", "p_partkey", {"classification": "secret"}),
     ]
     entries = F.transform(F.map_entries("pii_fields"), lambda e: F.concat(e.key, F.lit(":"), e.value))
     result = found[0]
