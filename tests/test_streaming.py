@@ -97,6 +97,47 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert values(got.select("seq", "key", "id", "at")) == sorted(reference_filter(rows, False), key=repr)
 
 
+def test_a_stream_without_keys_is_filtered_by_many_tasks(spark, tmp_path):
+    rows = [(seq, None, rid, at) for seq, _, rid, at in make_rows(7, 4000)]
+    everything = spark.createDataFrame(rows, SCHEMA)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        for low in (0, 2000):
+            everything.filter(f"seq >= {low} AND seq < {low + 2000}").write.mode("append").json(f"{tmp_path}/in")
+            query = high_water_stream(read_stream(spark, f"{tmp_path}/in", everything.schema), order=["seq"], id_column="id",
+                                      time_column="at", sink=f"{tmp_path}/out", checkpoint=f"{tmp_path}/cp")
+            query.awaitTermination()
+            # No state that takes all rows of a batch into one task.
+            assert query.lastProgress.stateOperators == []
+    finally:
+        spark.conf.set(coalesce, before)
+    got = spark.read.schema(everything.schema).parquet(f"{tmp_path}/out")
+    assert values(got.select("seq", "key", "id", "at")) == sorted(reference_filter(rows, False), key=repr)
+    assert got.select(F.input_file_name()).distinct().count() >= 8
+
+
+def test_a_batch_that_died_before_its_marks_is_written_again(spark, tmp_path):
+    rows = make_rows(9, 120)
+    everything = spark.createDataFrame(rows, SCHEMA)
+
+    def run():
+        high_water_stream(read_stream(spark, f"{tmp_path}/in", everything.schema), order=["seq"], id_column="id", time_column="at",
+                          sink=f"{tmp_path}/out", checkpoint=f"{tmp_path}/cp").awaitTermination()
+
+    for low in (0, 60):
+        everything.filter(f"seq >= {low} AND seq < {low + 60}").coalesce(1).write.mode("append").json(f"{tmp_path}/in")
+        run()
+    for committed in (tmp_path / "cp" / "commits").glob("*1*"):
+        committed.unlink()
+    for part in (tmp_path / "cp" / "marks" / "1").iterdir():
+        part.unlink()
+    run()
+    got = spark.read.schema(everything.schema).parquet(f"{tmp_path}/out")
+    assert values(got.select("seq", "key", "id", "at")) == sorted(reference_filter(rows, False), key=repr)
+
+
 def test_text_ids_in_a_stream(spark, tmp_path):
     for part, ids in enumerate((["9", "10"], ["10.0", "b"], ["a", "c"])):
         df = spark.createDataFrame([(part * 10 + i, v) for i, v in enumerate(ids)], "seq bigint, id string")
