@@ -8,6 +8,8 @@ belong together, are joined once more. So a block is the most that one task hold
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.session import scratch_dir
@@ -28,35 +30,58 @@ def read_pieces(spark: SparkSession, path: str, separator: str | None = None) ->
         F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("seq"), F.col("value").alias("piece"))
 
 
-def from_block_starts(pieces: DataFrame, **steps: Column) -> DataFrame:
-    """Add, by name, the sum of each step over all earlier pieces of the file."""
-    sums = pieces.groupBy(*BLOCK).agg(*[F.sum(step).alias(f"_n_{name}") for name, step in steps.items()])
+def _block_offsets(rows: DataFrame, **steps: Column) -> DataFrame:
+    """By block, the sum of each step over all earlier blocks of the file: ``_file, _start, _o_<name>``."""
+    sums = rows.groupBy(*BLOCK).agg(*[F.sum(step).alias(f"_n_{name}") for name, step in steps.items()])
     # One row per block of a file.
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(F.col("file").alias("_file"), F.col("start").alias("_start"), *[
+    return sums.select(F.col("file").alias("_file"), F.col("start").alias("_start"), *[
         F.coalesce(F.sum(f"_n_{name}").over(before), F.lit(0)).alias(f"_o_{name}") for name in steps])
-    joined = pieces.join(offsets, (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start")))
+
+
+def _with_offsets(rows: DataFrame, offsets: DataFrame) -> DataFrame:
+    return rows.join(offsets, (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start")))
+
+
+def _earlier_sum(step: Column) -> Column:
+    """The sum of a step over the earlier pieces of the block."""
     earlier = Window.partitionBy(*BLOCK).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    inside = {name: F.coalesce(F.sum(step).over(earlier), F.lit(0)) for name, step in steps.items()}
-    return joined.withColumns({name: F.col(f"_o_{name}") + inside[name] for name in steps}).drop(
+    return F.coalesce(F.sum(step).over(earlier), F.lit(0))
+
+
+def from_block_starts(pieces: DataFrame, **steps: Column) -> DataFrame:
+    """Add, by name, the sum of each step over all earlier pieces of the file."""
+    joined = _with_offsets(pieces, _block_offsets(pieces, **steps))
+    return joined.withColumns({name: F.col(f"_o_{name}") + _earlier_sum(step) for name, step in steps.items()}).drop(
         "_file", "_start", *[f"_o_{name}" for name in steps])
 
 
-def gather(pieces: DataFrame, closes: Column, joiner: str) -> DataFrame:
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """The table read back from the scratch folder, so that what made it runs once and not for every use."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def gather(pieces: DataFrame, closes: Column, joiner: str, *, written: bool = False) -> DataFrame:
     """Records as ``file, record, value, closed``: pieces up to and with one that ``closes``, joined.
 
-    ``record`` counts from 0 in each file. The last record of a file may be left open.
+    ``record`` counts from 0 in each file. The last record of a file may be left open. With ``written`` the runs of
+    all blocks are written down when this is called, and what made the pieces runs no second time.
     """
-    numbered = from_block_starts(pieces.withColumn("_closes", closes), record=F.col("_closes").cast("long"))
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "piece"))), lambda x: x["piece"]), joiner)
-    runs = numbered.groupBy(*BLOCK, "record").agg(text.alias("value"), F.bool_or("_closes").alias("closed"))
-    # Runs of one block have numbers of their own, but for the first and the last one.
-    ends = Window.partitionBy(*BLOCK)
-    runs = runs.withColumn("_edge", (F.col("record") == F.min("record").over(ends)) | ~F.col("closed"))
-    joined = runs.filter("_edge").groupBy("file", "record").agg(
+    numbered = pieces.withColumn("_closes", closes).withColumn("_run", _earlier_sum(F.col("_closes").cast("long")))
+    runs = numbered.groupBy(*BLOCK, "_run").agg(text.alias("value"), F.bool_or("_closes").alias("closed"))
+    if written:
+        runs = _written(runs, "runs")
+    offsets = _block_offsets(runs, record=F.col("closed").cast("long"))
+    placed = _with_offsets(runs, offsets).withColumn("record", F.col("_o_record") + F.col("_run"))
+    # Runs of one block have numbers of their own, but for the first and an open last one.
+    edge = (F.col("_run") == 0) | ~F.col("closed")
+    joined = placed.filter(edge).groupBy("file", "record").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "value"))), lambda x: x["value"]), joiner).alias("value"),
         F.bool_or("closed").alias("closed"))
-    return runs.filter("NOT _edge").select("file", "record", "value", "closed").unionByName(joined)
+    return placed.filter(~edge).select("file", "record", "value", "closed").unionByName(joined)
 
 
 ESCAPE = r"(?s)\\."
@@ -70,17 +95,22 @@ def array_parts(spark: SparkSession, path: str) -> DataFrame:
     ``body`` is the JSON text of an array of the elements of a part: one object, and what stands before it that is no
     object. ``problem`` holds the raw text of a part that cannot be one. A part is all that has to fit into a row.
 
-    A brace that ends an element is told from one inside it by the sums of quotes and brackets before it. These are made
-    in a job of their own, when this is called.
+    A brace that ends an element is told from one inside it by the sums of quotes and brackets before it. Pieces with what
+    is counted in them, and the runs they make up, are written down in jobs of their own, when this is called.
     """
     raw = read_pieces(spark, path, "}")
-    bare = F.regexp_replace("piece", ESCAPE, "")
-    count = lambda c, s: F.length(c) - F.length(F.translate(c, s, ""))
-    depth = lambda c: count(c, "{[") - count(c, "]")
+    bare = F.when(F.contains("piece", F.lit("\\")), F.regexp_replace("piece", ESCAPE, "")).otherwise(F.col("piece"))
+    # Bytes without some signs; ``replace`` searches bytes, where ``translate`` looks up every character.
+    without = lambda c, signs: F.octet_length(reduce(lambda x, sign: F.replace(x, F.lit(sign), F.lit("")), signs, c))
+    # Opening brackets less closing ones.
+    depth = lambda c: without(c, "]") - without(c, "{[")
     # All pieces but a last one without it have lost a brace; the bytes of the file tell.
-    told = raw.select(
-        *BLOCK, "seq", "piece", "file_size", F.octet_length("piece").alias("bytes"), (count(bare, '"') % 2).alias("quotes"),
-        depth(F.regexp_replace(bare, IN_QUOTES, "")).alias("outside"), depth(F.regexp_replace(F.concat(F.lit('"'), bare), IN_QUOTES, "")).alias("inside"))
+    counted = raw.select(
+        *BLOCK, "seq", "piece", "file_size", F.octet_length("piece").alias("bytes"),
+        ((F.octet_length(bare) - without(bare, '"')) % 2).alias("quotes"),
+        depth(bare).alias("all"), depth(F.regexp_replace(bare, IN_QUOTES, "")).alias("outside"))
+    # A piece that begins inside quotes has outside what another has inside.
+    told = _written(counted, "pieces").withColumn("inside", F.col("all") - F.col("outside"))
     placed = from_block_starts(told, before=F.col("bytes") + 1, quotes_before=F.col("quotes"))
     braced = placed.withColumn("brace", F.col("before") + F.col("bytes") < F.col("file_size"))
     ends_outside = (F.col("quotes_before") + F.col("quotes")) % 2 == 0
@@ -88,16 +118,13 @@ def array_parts(spark: SparkSession, path: str) -> DataFrame:
     deep = from_block_starts(braced.withColumn("step", step), depth_before=F.col("step"))
     closes = F.col("brace") & ends_outside & (F.col("depth_before") + F.col("step") == 1)
     whole = F.when(F.col("brace"), F.concat("piece", F.lit("}"))).otherwise(F.col("piece"))
-    # Written down, so that the sums are made once and not for every use of them below.
-    kept = scratch_dir(spark, "pieces")
-    told = deep.select(*BLOCK, "seq", whole.alias("piece"), closes.alias("closing"))
-    told.write.parquet(kept)
-    parts = gather(spark.read.schema(told.schema).parquet(kept), F.col("closing"), "")
+    parts = gather(deep.select(*BLOCK, "seq", whole.alias("piece"), closes.alias("closing")), F.col("closing"), "", written=True)
     first = F.col("record") == 0
-    head = F.when(first, r"^[\x20\t\r\n]*\[").otherwise(r"^[\x20\t\r\n]*,")
-    tail = r"\][\x20\t\r\n]*$"
-    opened, ended = F.rlike("value", head), F.rlike("value", F.lit(tail))
-    inner = F.regexp_replace("value", head, F.lit(""))
+    opening, comma, tail = F.lit(r"^[\x20\t\r\n]*\["), F.lit(r"^[\x20\t\r\n]*,"), r"\][\x20\t\r\n]*$"
+    # Constant patterns, which are compiled once; others are for every row.
+    opened = F.when(first, F.rlike("value", opening)).otherwise(F.rlike("value", comma))
+    ended = F.rlike("value", F.lit(tail))
+    inner = F.when(first, F.regexp_replace("value", opening, F.lit(""))).otherwise(F.regexp_replace("value", comma, F.lit("")))
     rest = F.regexp_replace(inner, tail, "")
     # The end may follow an element at once; a comma before it must be followed by something.
     bare_end = ~F.col("closed") & ~first & F.rlike("value", F.lit(r"^[\x20\t\r\n]*\][\x20\t\r\n]*$"))

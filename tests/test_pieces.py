@@ -96,3 +96,13 @@ def test_broken_arrays_are_named(spark, cut, tmp_path):
         rows = files.json_elements(spark, str(tmp_path)).collect()
         assert {r.path.rsplit("/", 1)[1] for r in rows if r.corrupt is not None} == {f"bad{i}.json" for i in range(len(BROKEN))}
         assert sum(r.record is not None and r.path.endswith("good.json") for r in rows) == 2
+
+
+def test_pieces_of_arrays_are_numbered_once(spark, cut, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"i": i} for i in range(300)]))
+    cut(500)
+    read = files.json_elements(spark, str(tmp_path))
+    # What is left when the query runs works on whole runs: no text is read, and no piece is sorted in its block again.
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and "seq#" not in plan
+    assert sorted(r.i for r in read.select(F.variant_get("record", "$.i", "int").alias("i")).collect()) == list(range(300))
