@@ -109,8 +109,8 @@ def array_parts(spark: SparkSession, path: str) -> DataFrame:
         *BLOCK, "seq", "piece", "file_size", F.octet_length("piece").alias("bytes"),
         ((F.octet_length(bare) - without(bare, '"')) % 2).alias("quotes"),
         depth(bare).alias("all"), depth(F.regexp_replace(bare, IN_QUOTES, "")).alias("outside"))
-    # A piece that begins inside quotes has outside what another has inside.
-    told = _written(counted, "pieces").withColumn("inside", F.col("all") - F.col("outside"))
+    # A piece that begins inside quotes has outside what another has inside. Blocks are put together, for few files.
+    told = _written(counted.repartition(*BLOCK), "pieces").withColumn("inside", F.col("all") - F.col("outside"))
     placed = from_block_starts(told, before=F.col("bytes") + 1, quotes_before=F.col("quotes"))
     braced = placed.withColumn("brace", F.col("before") + F.col("bytes") < F.col("file_size"))
     ends_outside = (F.col("quotes_before") + F.col("quotes")) % 2 == 0
