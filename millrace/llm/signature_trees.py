@@ -1,17 +1,19 @@
 """N-gram Jaccard join: documents whose word shingles overlap enough, and the groups they form.
 
 1. Documents with equal shingle sets form a class; one row per class goes on.
-2. Two sets that are similar enough share one of their first shingles in any common order. A first round orders by
-   hash and counts; the second puts those found often last, so that first shingles are rare. Sets of fitting
-   size that share one lie in the same neighbourhood (a connected component), and no link crosses neighbourhoods.
+2. Two sets that are similar enough share ``EVIDENCE`` of their first shingles in any common order. A first round
+   orders by hash and counts; the second puts those found often last, so that first shingles are rare. Sets of fitting
+   size that share so many lie in the same neighbourhood (a connected component), and no link crosses neighbourhoods.
+   One shared shingle would not do: by chance alone, it ties most of a large input into one neighbourhood.
 3. In a neighbourhood the sets stand in a signature tree: every node holds the union of the bitmaps below it and
    their range of sizes. Two nodes are walked down together only while the overlap that their bitmaps and
    sizes allow reaches the threshold; pairs of leaves are compared exactly. Sets that are already connected are
    not compared again, so a group of near copies costs about one comparison a member.
 4. Links are joined to components.
 
-Shingles are compared as 64-bit hashes and classes are numbered by 64 bits. Sets are computed from texts where they
-are needed instead of being stored. A neighbourhood with more shingles than a task should hold is dealt out in
+Shingles are compared as 64-bit hashes and classes are numbered by 64 bits; neighbourhoods are told by the upper 42 bits
+of shingles, which travel as packed blocks. Sets are computed from texts where they are needed instead of being
+stored, and only texts of neighbourhoods are shuffled. A neighbourhood with more shingles than a task should hold is dealt out in
 blocks by size and hash, and pairs of blocks of fitting size are joined in tasks of their own.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked with nothing; a row
@@ -29,13 +31,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-from millrace.llm.common import keep, whole
+from millrace.llm.common import keep, may_be_among, whole
 from millrace.llm.components import connected_components
 
 BLOCK_SHINGLES = 8_000_000  # shingles of a neighbourhood in one task
 FREQUENT = 5  # sets with a shingle among their first, at which it goes to the end of the order
 FREQUENT_KEPT = 1_000_000  # the order remembers so many shingles at most; any order gives the same links
 PARTS = 64  # tasks that share a frequent shingle
+EVIDENCE = 4  # first shingles that two similar sets share, if the smaller one has enough
+PAIRED = 8  # holders of a shingle up to which every two count as sharing it; more are chained
+KEY_SHIFT, BUCKET_BITS = 22, 10  # a shingle's key are its upper bits; the lower ones of the key are its bucket
+FLUSH = 2_000_000  # rows that a task packs at once
 FANOUT = 16
 
 
@@ -59,19 +65,29 @@ def class_number(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype(np.int64))
 
 
+def least_shared(size: np.ndarray, percent: int) -> np.ndarray:
+    """Fewest common shingles of a set of this size with a similar one that is no smaller."""
+    return -(-percent * size // 100)
+
+
 def least_overlap(sizes: int | np.ndarray, percent: int) -> int | np.ndarray:
     """Fewest common shingles of two similar sets with so many shingles together."""
     return -(-percent * sizes // (100 + percent))
 
 
-def first_shingles(shingles: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """So many shingles in the common order that two similar sets share one; ``frequent`` is sorted by hash."""
-    count = len(shingles) + (-percent * len(shingles) // 100) + 1
+def first_keys(shingles: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """Keys of so many shingles in the common order that two similar sets share ``EVIDENCE``, and how many are not late.
+
+    ``frequent`` are the keys that come last, in order.
+    """
+    count = len(shingles) + (-percent * len(shingles) // 100) + EVIDENCE
+    keys = shingles >> np.uint64(KEY_SHIFT)
     if not len(frequent):
-        return shingles[:count]
-    at = np.searchsorted(frequent, shingles)
-    late = frequent[np.minimum(at, len(frequent) - 1)] == shingles
-    return np.concatenate([shingles[~late], shingles[late]])[:count]
+        return keys[:count], min(count, len(keys))
+    at = np.searchsorted(frequent, keys)
+    late = frequent[np.minimum(at, len(frequent) - 1)] == keys
+    early = keys[~late]
+    return np.concatenate([early, keys[late]])[:count], min(count, len(early))
 
 
 class SignatureTree:
@@ -176,15 +192,84 @@ def _number_documents(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _first_of_documents(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Rows (shingle, part, node, n): first shingles of every class and the size of its set.
+def _blocks(bucket: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """Rows (bucket, block): the numbers of a bucket in order of the first column, columns one behind the other.
+
+    A column is written by planes, the first byte of all numbers before the second: high bytes, mostly alike, shrink
+    to nothing when Spark compresses.
+    """
+    order = np.lexsort((columns[0], bucket))
+    bucket, columns = bucket[order], [c[order] for c in columns]
+    starts = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] - 1))
+    spans = zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)])
+    packed = [b"".join(c[i:j].view(np.uint8).reshape(j - i, -1).T.tobytes() for c in columns) for i, j in spans]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), pa.array(packed, pa.binary())], names=["bucket", "block"])
+
+
+def _buckets(batches: Iterator[pa.RecordBatch], kinds: Callable[[int], list[type]]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Columns of every bucket, from its blocks in a row; ``kinds`` are their types."""
+    at, blocks = None, []
+
+    def unpacked() -> list[np.ndarray]:
+        found = [[] for _ in kinds(at)]
+        for block in blocks:
+            count, start = len(block) // sum(np.dtype(k).itemsize for k in kinds(at)), 0
+            for column, kind in zip(found, kinds(at), strict=True):
+                end = start + count * np.dtype(kind).itemsize
+                column.append(np.ascontiguousarray(block[start:end].reshape(-1, count).T).view(kind).ravel())
+                start = end
+        return [np.concatenate(column) for column in found]
+
+    for batch in batches:
+        for bucket, block in zip(batch.column("bucket").to_pylist(), batch.column("block"), strict=True):
+            if bucket != at and blocks:
+                yield at, unpacked()
+                blocks = []
+            at = bucket
+            blocks.append(np.frombuffer(block.as_buffer(), np.uint8))
+    if blocks:
+        yield at, unpacked()
+
+
+RARE, LATE = [np.uint32, np.int64, np.int32], [np.uint64, np.int32, np.int64, np.int32]  # (key), part, node, size
+
+
+def _bucket_and_rest(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (keys & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64), (keys >> np.uint64(BUCKET_BITS)).astype(np.uint32)
 
-    Part is -1; frequent shingles are dealt to parts by size band and, within a band, by node.
+
+def _first_of_documents(docs: DataFrame, frequent: np.ndarray | None, width: int, percent: int) -> DataFrame:
+    """Blocks of the keys of every class's first shingles; without ``frequent``, to be counted, of nothing but keys.
+
+    Else with the class's number and the size of its set. Keys of frequent shingles stand in buckets of their own,
+    dealt to parts by size band and, within a band, by node.
     """
+    none = np.empty(0, np.uint64)
+
+    def packed(found: list[np.ndarray], early: list[int], nodes: list[int], sizes: list[int]) -> Iterator[pa.RecordBatch]:
+        keys = np.concatenate(found)
+        if frequent is None:
+            bucket, rest = _bucket_and_rest(keys)
+            yield _blocks(bucket, [rest])
+            return
+        counts = np.array([len(f) for f in found])
+        node, size = np.repeat(np.array(nodes, np.int64), counts), np.repeat(np.array(sizes, np.int32), counts)
+        place = np.arange(len(keys)) - np.repeat(np.cumsum(counts) - counts, counts)
+        rare = place < np.repeat(np.array(early), counts)
+        if rare.any():
+            bucket, rest = _bucket_and_rest(keys[rare])
+            yield _blocks(bucket, [rest, node[rare], size[rare]])
+        if not rare.all():
+            keys, node, size = keys[~rare], node[~rare], size[~rare]
+            band = np.floor(np.log(size) / np.log(100 / percent)).astype(np.int64)
+            part = (band * PARTS + (node & (PARTS - 1))).astype(np.int32)
+            mixed = (keys + part.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            yield _blocks((1 << BUCKET_BITS) + (mixed >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), [keys, part, node, size])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies in one task are told once; rows told twice do no harm
+        found, early, nodes, sizes, held = [], [], [], [], 0
         for batch in batches:
-            found, nodes, sizes = [], [], []
             for body in batch.column("text"):
                 shingles = shingle_set(body.as_py(), width)
                 number = class_number(shingles) if len(shingles) else None
@@ -193,39 +278,114 @@ def _first_of_documents(docs: DataFrame, frequent: np.ndarray, width: int, perce
                 if len(seen) > 1_000_000:
                     seen.clear()
                 seen.add(number)
-                found.append(first_shingles(shingles, frequent, percent))
+                keys, rare = first_keys(shingles, none if frequent is None else frequent, percent)
+                found.append(keys)
+                early.append(rare)
                 nodes.append(number)
                 sizes.append(len(shingles))
-            if found:
-                counts = [len(f) for f in found]
-                values = np.concatenate(found)
-                node, size = np.repeat(np.array(nodes, np.int64), counts), np.repeat(np.array(sizes, np.int32), counts)
-                late = np.isin(values, frequent) if len(frequent) else np.zeros(len(values), bool)
-                band = np.floor(np.log(size) / np.log(100 / percent)).astype(np.int64)
-                part = np.where(late, band * PARTS + (node & (PARTS - 1)), -1).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values.view(np.int64)), pa.array(part), pa.array(node), pa.array(size)], names=["shingle", "part", "node", "n"])
+                held += len(keys)
+                if held > FLUSH:
+                    yield from packed(found, early, nodes, sizes)
+                    found, early, nodes, sizes, held = [], [], [], [], 0
+        if found:
+            yield from packed(found, early, nodes, sizes)
+
+    return docs.select("text").mapInArrow(run, "bucket int, block binary").repartition("bucket").sortWithinPartitions("bucket")
+
+
+def _often(blocks: DataFrame) -> np.ndarray:
+    """Keys found ``FREQUENT`` times or more, in order; of too many, those found most."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, (rest,) in _buckets(batches, lambda _: RARE[:1]):
+            found, counts = np.unique(rest, return_counts=True)
+            often = counts >= FREQUENT
+            keys = (found[often].astype(np.int64) << BUCKET_BITS) | bucket
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts[often].astype(np.int64))], names=["key", "count"])
 
-    return docs.select("text").mapInArrow(run, "shingle long, part int, node long, n int")
+    most = blocks.mapInArrow(run, "key long, count long").orderBy(F.desc("count"), "key").limit(FREQUENT_KEPT)
+    return np.sort(np.array([r[0] for r in most.select("key").collect()], np.int64).view(np.uint64))
+
+
+def shared_keys(key: np.ndarray, part: np.ndarray, node: np.ndarray, n: np.ndarray, percent: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Pairs (a, b, need, votes) of classes of fitting size that share keys, and (key, part, n, a, n, b) of frequent keys' parts.
+
+    Every key that two classes share is a vote; ``need`` is how many they must share to be similar. Keys of many holders,
+    and frequent ones, link each holder to the one before in order of size, which needs no other votes: between two
+    of fitting size all steps fit.
+    """
+    order = np.lexsort((node, n, part, key))
+    key, part, node, n = key[order], part[order], node[order], n[order].astype(np.int64)
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (part[1:] != part[:-1])
+    once = new.copy()
+    once[1:] |= node[1:] != node[:-1]
+    key, part, node, n, new = key[once], part[once], node[once], n[once], new[once]
+    starts = np.flatnonzero(new)
+    holders = np.diff(starts, append=len(key))
+    paired = (part[starts] < 0) & (holders <= PAIRED)
+    step = ~new & ~np.repeat(paired, holders)
+    large = [np.flatnonzero(step)]
+    small, need = [large[0] - 1], [np.zeros(len(large[0]), np.int64)]
+    for h in range(2, PAIRED + 1):
+        at = starts[paired & (holders == h)]
+        for i, j in ((i, j) for j in range(1, h) for i in range(j)) if len(at) else ():
+            small.append(at + i)
+            large.append(at + j)
+            # One vote less: two shared shingles may have the same key.
+            need.append(np.clip(least_shared(n[at + i], percent), 2, EVIDENCE) - 1)
+    small, large, need = np.concatenate(small), np.concatenate(large), np.concatenate(need)
+    fits = n[small] * 100 >= n[large] * percent
+    pairs = summed([node[small[fits]], node[large[fits]], need[fits], np.ones(fits.sum(), np.int64)])
+    first = starts[part[starts] >= 0]
+    last = (starts + holders - 1)[part[starts] >= 0]
+    return pairs, [key[first].astype(np.int64), part[first], n[first], node[first], n[last], node[last]]
+
+
+def summed(pairs: list[np.ndarray]) -> list[np.ndarray]:
+    """One row (a, b, need, votes) for each pair."""
+    a, b, need, votes = np.minimum(pairs[0], pairs[1]), np.maximum(pairs[0], pairs[1]), *pairs[2:]
+    order = np.lexsort((need, b, a))
+    a, b, need, votes = a[order], b[order], need[order], votes[order]
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(a)), bool), (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    return [a[starts], b[starts], need[starts], np.add.reduceat(votes, starts) if len(starts) else votes]
 
 
 def _neighbour_edges(first: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) that connect all classes which share a first shingle and are of fitting size.
+    """Edges (a, b) that connect all classes which share as many first shingles as similar ones and are of fitting size.
 
-    The holders of a shingle stand in order of size and each is linked to the one before, if that is large
-    enough: between two of fitting size all steps fit. The parts of a frequent shingle are linked afterwards.
+    The parts of a frequent shingle, each with its smallest and its largest class, are linked afterwards.
     """
     fits = lambda small, large: small * 100 >= large * percent
-    order = Window.partitionBy("shingle", "part").orderBy("n", "node")
-    before = F.lag(F.struct("n", "node")).over(order)
-    near = keep(first.withColumn("before", before).select(
-        F.when(F.col("part") >= 0, F.col("shingle")).alias("shingle"), F.when(F.col("part") >= 0, F.col("part")).alias("part"),
-        "n", "node", F.when(fits(F.col("before.n"), F.col("n")), F.col("before.node")).alias("before"),
-    ).filter("before IS NOT NULL OR part IS NOT NULL").distinct(), "near")
-    steps = near.filter("before IS NOT NULL").select(F.col("before").alias("a"), F.col("node").alias("b"))
-    least, most = F.min(F.struct("n", "node")), F.max(F.struct("n", "node"))
-    parts = near.filter("part IS NOT NULL").groupBy("shingle", "part").agg(least.alias("least"), most.alias("most"))
-    banded = parts.withColumn("band", F.floor(F.col("part") / PARTS))
+    names = ["a", "b", "need", "votes", "shingle", "part", "least", "most"]
+
+    def rows(pairs: list[np.ndarray]) -> pa.RecordBatch:
+        none = [pa.nulls(len(pairs[0]), t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64())]
+        return pa.RecordBatch.from_arrays([*map(pa.array, pairs), *none], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for bucket, columns in _buckets(batches, lambda at: LATE if at >> BUCKET_BITS else RARE):
+            if bucket >> BUCKET_BITS:
+                pairs, parts = shared_keys(*columns, percent)
+                key, part, least_n, least, most_n, most = parts
+                none = pa.nulls(len(key), pa.int64())
+                yield pa.RecordBatch.from_arrays([*map(pa.array, (least, most)), none, none, *map(pa.array, (key, part, least_n, most_n))], names=names)
+            else:
+                rest, node, n = columns
+                pairs, _ = shared_keys(rest, np.full(len(rest), -1, np.int32), node, n, percent)
+            held.append(pairs)
+            if sum(len(p[0]) for p in held) > FLUSH:
+                yield rows(summed([np.concatenate(c) for c in zip(*held)]))
+                held = []
+        if held:
+            yield rows(summed([np.concatenate(c) for c in zip(*held)]))
+
+    near = keep(first.mapInArrow(run, "a long, b long, need long, votes long, shingle long, part int, least long, most long"), "near")
+    steps = near.filter("shingle IS NULL").groupBy("a", "b").agg(
+        F.min("need").alias("need"), F.sum("votes").alias("votes")).filter("votes >= need").select("a", "b")
+    banded = near.filter("shingle IS NOT NULL").select(
+        "shingle", F.floor(F.col("part") / PARTS).alias("band"), F.struct(F.col("least").alias("n"), F.col("a").alias("node")).alias("least"),
+        F.struct(F.col("most").alias("n"), F.col("b").alias("node")).alias("most"))
     bands = banded.groupBy("shingle", "band").agg(F.min("least").alias("least"), F.max("most").alias("most"))
     in_band = banded.select("shingle", "band", F.col("least.node").alias("b")).join(
         bands.select("shingle", "band", F.col("least.node").alias("a")), ["shingle", "band"]).select("a", "b")
@@ -251,7 +411,7 @@ def _tasks(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
                        F.hash("band", "block").alias("part"))
     alone = members.join(total.select("root"), "root", "left_anti").select(
         "doc_id", "node", F.col("root").alias("task"), F.lit(0).alias("part"))
-    return docs.join(alone.unionByName(split), "doc_id")
+    return docs.filter(may_be_among(members, "doc_id")(F.col("doc_id"))).join(alone.unionByName(split), "doc_id")
 
 
 def _compare(rows: DataFrame, width: int, percent: int) -> DataFrame:
@@ -295,9 +455,7 @@ def jaccard_groups(df: DataFrame, width: int = 5, percent: int = 80, key: str =
     docs = df.select(F.col(f"`{key}`").alias("doc_id"), whole(F.col(f"`{text}`")).alias("text"))
     documents = keep(_number_documents(docs, width), "documents")
     with_id = docs.filter("doc_id IS NOT NULL")
-    often = _first_of_documents(with_id, np.empty(0, np.uint64), width, percent).groupBy("shingle").count().filter(
-        F.col("count") >= FREQUENT).orderBy(F.desc("count"), "shingle").limit(FREQUENT_KEPT).select("shingle")
-    frequent = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
+    frequent = _often(_first_of_documents(with_id, None, width, percent))
     first = _first_of_documents(with_id, frequent, width, percent)
     hoods = connected_components(_neighbour_edges(first, percent))
     classes = keep(documents.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(
