@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from millrace.llm.common import free_name, keep, table
+from millrace.llm.common import free_name, keep, may_be_among, table
 from millrace.llm.line_quality import clean_lines
 from millrace.llm.pii_transduce import mask_personal_data
 from millrace.llm.signature_trees import jaccard_groups
@@ -39,17 +39,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One row of each group of near copies stays: the one with the smallest id, then the smallest hash of its text.
 
     Rows are told apart by id and text, so different texts that share an id are documents of their own. Rows without
-    id have no group and stay.
+    id have no group and stay. Texts are shuffled only of rows that may have to go.
     """
     row, copy = free_name(docs, "_row", "_copy")
     told = docs.withColumn(row, F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("text_hash"))))
-    groups = jaccard_groups(told.select(row, "text"), width=5, percent=80, key=row)
-    first = groups.filter("doc_id = component_id").select(F.col("doc_id").alias(row)).distinct()
-    stay = told.join(first, row, "left_semi")
+    groups = keep(jaccard_groups(told.select(row, "text"), width=5, percent=80, key=row).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("component_id")), "groups")
+    unsure = may_be_among(groups.filter("rows > 1 OR doc_id <> component_id"), "doc_id")(F.col(row))
+    first = groups.filter("doc_id = component_id").select(F.col("doc_id").alias(row))
+    stay = told.filter(F.col(row).isNotNull() & unsure).join(first, row, "left_semi")
     others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]))
     # Of equal rows each task passes one on.
     one = stay.withColumn(copy, F.row_number().over(Window.partitionBy(row).orderBy(others))).filter(F.col(copy) == 1)
-    return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionAll(docs.filter("doc_id IS NULL"))
+    sure = told.filter(F.col(row).isNull() | ~unsure)
+    return one.unionByName(sure, allowMissingColumns=True).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -66,3 +67,15 @@ def test_texts_of_one_id_are_documents_of_their_own(spark):
 def test_run(spark):
     out = corpus_pipeline.run(spark, FOLDER).collect()
     assert out and all(re.fullmatch(r"\d+", str(r.sequence_id)) for r in out)
+
+
+def test_only_texts_that_may_go_are_shuffled(spark):
+    from test_signature_trees import shuffle_bytes
+
+    rng = random.Random(4)
+    texts = [" ".join(str(rng.random()) for _ in range(2_000)) for _ in range(60)]
+    rows = [*enumerate(texts), (60, texts[3] + " more"), (7, texts[7]), (None, texts[5])]
+    single = stage("near_duplicates")(spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER)
+    before = set(shuffle_bytes(spark))
+    assert sorted(r.doc_id if r.doc_id is not None else -1 for r in single.collect()) == [-1, *range(60)]
+    assert sum(n for f, n in shuffle_bytes(spark).items() if f not in before) < sum(map(len, texts)) / 5
