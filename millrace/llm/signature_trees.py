@@ -41,7 +41,7 @@ PARTS = 64  # tasks that share a frequent shingle
 EVIDENCE = 4  # first shingles that two similar sets share, if the smaller one has enough
 PAIRED = 8  # holders of a shingle up to which every two count as sharing it; more are chained
 KEY_SHIFT, BUCKET_BITS = 22, 10  # a shingle's key are its upper bits; the lower ones of the key are its bucket
-FLUSH = 2_000_000  # rows that a task packs at once
+FLUSH = 250_000  # rows that a task packs at once
 FANOUT = 16
 
 
@@ -193,12 +193,12 @@ def _number_documents(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _blocks(bucket: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
-    """Rows (bucket, block): the numbers of a bucket in order of the first column, columns one behind the other.
+    """Rows (bucket, block): the numbers of a bucket, by the first column's lower 32 bits, columns one behind the other.
 
     A column is written by planes, the first byte of all numbers before the second: high bytes, mostly alike, shrink
     to nothing when Spark compresses.
     """
-    order = np.lexsort((columns[0], bucket))
+    order = np.argsort((bucket << 32) | (columns[0] & np.uint32(0xFFFFFFFF)).astype(np.int64))
     bucket, columns = bucket[order], [c[order] for c in columns]
     starts = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] - 1))
     spans = zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)])
@@ -374,7 +374,7 @@ def _neighbour_edges(first: DataFrame, percent: int) -> DataFrame:
                 rest, node, n = columns
                 pairs, _ = shared_keys(rest, np.full(len(rest), -1, np.int32), node, n, percent)
             held.append(pairs)
-            if sum(len(p[0]) for p in held) > FLUSH:
+            if sum(len(p[0]) for p in held) > 4 * FLUSH:
                 yield rows(summed([np.concatenate(c) for c in zip(*held)]))
                 held = []
         if held:
